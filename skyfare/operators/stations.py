@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from skyfare.functions.labels import UNKNOWN
 from skyfare.operators.lookup import lookup_join
+from skyfare.scratch import Held
 
 
 def latest_per_station(raw_weather: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def latest_per_station(raw_weather: DataFrame) -> DataFrame:
 
 
 def zone_station_mapping(
-    taxi_zone: DataFrame, borough_map: DataFrame, raw_weather: DataFrame
+    taxi_zone: DataFrame, borough_map: Held | DataFrame, raw_weather: DataFrame
 ) -> DataFrame:
     """Station of each zone, by borough. Zones of an unmapped borough, or whose station has never
     reported, drop out."""
@@ -48,7 +49,9 @@ def zone_station_mapping(
     )
 
 
-def station_lookup(rows: DataFrame, stations: DataFrame, key: str = "file_station") -> DataFrame:
+def station_lookup(
+    rows: DataFrame, stations: Held | DataFrame, key: str = "file_station"
+) -> DataFrame:
     """Add the configured name and zone of the station in `key`, Unknown when it is not listed."""
     listed = stations.select(
         F.col("id"), F.col("name").alias("station_name"), F.col("zone").alias("station_zone")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from skyfare.functions.labels import (
     DEFAULT_MIN_DATE,
@@ -41,15 +41,9 @@ _FACT_TRIP = [
 ]
 
 
-def _columns(table: Held | DataFrame, *columns: str | Column) -> Held | DataFrame:
-    if isinstance(table, Held):
-        return Held(table.df.select(*columns), table.size)
-    return table.select(*columns)
-
-
 def with_station(trips: DataFrame, mapping: Held | DataFrame) -> DataFrame:
     """Add the weather station of the pickup zone."""
-    side = _columns(mapping, "taxi_zone_id", *_STATION)
+    side = mapping.select("taxi_zone_id", *_STATION)
     return lookup_join(trips, side, {"pickup_location_id": "taxi_zone_id"})
 
 
@@ -57,7 +51,7 @@ def with_weather(
     trips: DataFrame, hourly: Held | DataFrame, columns: list[str], station: str = "station_id"
 ) -> DataFrame:
     """Add weather of the hour the pickup falls in, at the trip's station."""
-    side = _columns(hourly, "station", "observation_hour", *columns)
+    side = hourly.select("station", "observation_hour", *columns)
     return lookup_join(trips, side, {station: "station", "pickup_hour_rounded": "observation_hour"})
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from skyfare.operators.projection import clean_numeric, parse_valid, project, with_lineage
 from skyfare.operators.stations import station_lookup
 from skyfare.schemas import TRIPS, WEATHER
-from skyfare.scratch import hold
+from skyfare.scratch import Held, hold
 from skyfare.sinks.tables import append_evolving, ensure_table, materialize
 from skyfare.sources.dimensions import stations_frame
 from skyfare.sources.files import file_stats, list_files, loaded_files, new_files, prune_files
@@ -63,7 +63,9 @@ def _load_new(
     )
 
 
-def weather_rows(parsed: DataFrame, stations: DataFrame, processed_at: dt.datetime) -> DataFrame:
+def weather_rows(
+    parsed: DataFrame, stations: Held | DataFrame, processed_at: dt.datetime
+) -> DataFrame:
     """Text rows of weather files as rows of the raw weather table."""
     typed = parse_valid(clean_numeric(parsed))
     rows = with_lineage(station_lookup(typed, stations), processed_at)

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 _FIXED_WIDTH = 8
@@ -37,11 +39,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 @dataclass(frozen=True)
 class Held:
-    """A held table and the measured size of its rows in memory."""
+    """A held table and the known size of its rows in memory."""
 
     df: DataFrame
     size: int
 
+    def select(self, *columns: str | Column) -> Held:
+        """A projection: no larger than the whole, so the known size stays a bound."""
+        return Held(self.df.select(*columns), self.size)
+
 
 def row_bytes(df: DataFrame) -> Column:
     """Approximate in-memory bytes of a row: text by its length, everything else as eight bytes."""
@@ -64,3 +70,12 @@ def hold(df: DataFrame, name: str = "held") -> Held:
 def measure(df: DataFrame) -> int:
     """Bytes of `df`, as one aggregate row."""
     return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
+
+def literal(spark: SparkSession, rows: Sequence[tuple[str, ...]], columns: Sequence[str]) -> Held:
+    """Text rows given inline, as a relation inside the plan: nothing is stored or computed."""
+    arrow = pa.table({c: pa.array([r[i] for r in rows], pa.string()) for i, c in enumerate(columns)})
+    size = sum(
+        _ROW_OVERHEAD + sum(_FIXED_WIDTH + len((cell or "").encode()) for cell in row) for row in rows
+    )
+    return Held(spark.createDataFrame(arrow), size)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from skyfare.functions.labels import UNKNOWN
 from skyfare.schemas import STATIONS
+from skyfare.scratch import Held, literal
 
 # The weather station that stands for each borough.
 DEFAULT_BOROUGH_STATIONS = (
@@ -22,14 +23,14 @@ DEFAULT_BOROUGH_STATIONS = (
 
 def borough_station(
     spark: SparkSession, rows: Iterable[tuple[str, str]] = DEFAULT_BOROUGH_STATIONS
-) -> DataFrame:
-    return spark.createDataFrame(list(rows), "borough string, station_id string")
+) -> Held:
+    return literal(spark, list(rows), ["borough", "station_id"])
 
 
-def stations_frame(spark: SparkSession, stations: Iterable[Mapping[str, str]]) -> DataFrame:
+def stations_frame(spark: SparkSession, stations: Iterable[Mapping[str, str]]) -> Held:
     """Configured stations; of entries with the same id the first one counts."""
     first: dict[str, Mapping[str, str]] = {}
     for station in stations:
         first.setdefault(station["id"], station)
     rows = [(i, s.get("name", UNKNOWN), s.get("zone", UNKNOWN)) for i, s in first.items()]
-    return spark.createDataFrame(rows, STATIONS)
+    return literal(spark, rows, STATIONS.fieldNames())

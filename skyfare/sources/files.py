@@ -45,6 +45,7 @@ def loaded_files(spark: SparkSession, table: str, column: str = "source_file") -
     any other problem with the table is an error, not an empty ledger."""
     if not spark.catalog.tableExists(table):
         return spark.createDataFrame([], "source_file string")
+    spark.catalog.refreshTable(table)  # another session may have added files
     names = spark.table(table).select(F.col(column).alias("source_file"))
     return names.where(F.col("source_file").isNotNull()).distinct()
 

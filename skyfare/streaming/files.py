@@ -7,7 +7,7 @@ repeated after a failure leaves out the files the table already has, so it does
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -19,7 +19,9 @@ from skyfare.sources.files import loaded_files
 from skyfare.sources.weather import parse_weather_lines
 
 
-def _drain(stream: DataFrame, write: object, checkpoint: str) -> None:
+def _drain(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, table: str
+) -> None:
     query = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -27,6 +29,8 @@ def _drain(stream: DataFrame, write: object, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    # micro-batches write from a session of their own
+    stream.sparkSession.catalog.refreshTable(table)
 
 
 def _not_loaded(batch: DataFrame, table: str) -> DataFrame:
@@ -57,7 +61,7 @@ def stream_trips(
         trips.select(*trips.columns, F.col("_metadata.file_name").alias("source_file")), fields
     )
     ensure_table(spark, table, rows.schema, path=table_path)
-    _drain(rows, lambda batch, _: append(_not_loaded(batch, table), table), checkpoint)
+    _drain(rows, lambda batch, _: append(_not_loaded(batch, table), table), checkpoint, table)
 
 
 def stream_weather(
@@ -90,4 +94,4 @@ def stream_weather(
         rows = weather_rows(parse_weather_lines(_not_loaded(batch, table)), known, moment)
         append(rows, table, ["valid_date"], ["station"])
 
-    _drain(lines, write, checkpoint)
+    _drain(lines, write, checkpoint, table)
