@@ -7,7 +7,7 @@ from skyfare.functions.labels import (
     missing_values_flag,
     weather_condition,
 )
-from skyfare.functions.names import date_token, station_token
+from skyfare.functions.names import date_token, scanned_file, station_token
 from skyfare.functions.ratios import PartialMean, celsius, mean_ratio, safe_ratio
 from skyfare.functions.times import hour_bucket, months_before, weekday, whole_seconds
 
@@ -27,6 +27,7 @@ __all__ = [
     "safe_int",
     "safe_ratio",
     "safe_string",
+    "scanned_file",
     "station_token",
     "weather_condition",
     "weekday",

@@ -16,6 +16,12 @@ def _period(ts: Column, unit: str) -> Column:
     return F.make_timestamp_ntz(F.year(ts), F.month(ts), day, hour, F.lit(0), F.lit(0))
 
 
+def _spine(first: Column, last: Column, unit: str) -> Column:
+    """One row per period. A sequence may not run backwards, so callers drop the rows of an empty
+    span and this one ends where it starts."""
+    return F.explode(F.sequence(first, F.greatest(first, last), F.expr(_STEP[unit])))
+
+
 def coverage_gaps(
     observations: DataFrame,
     stations: DataFrame,
@@ -28,10 +34,11 @@ def coverage_gaps(
 
     Each station's periods are generated on its own row, so nothing is crossed.
     """
-    first, last = (_period(F.lit(t).cast("timestamp_ntz"), unit) for t in (start, end))
-    expected = stations.select(
-        F.col("id").alias("station"),
-        F.explode(F.sequence(first, last, F.expr(_STEP[unit]))).alias("period"),
+    # by way of text: a datetime literal would pass through the session time zone
+    bounds = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (start, end))
+    first, last = (_period(bound, unit) for bound in bounds)
+    expected = stations.where(F.lit(start <= end)).select(
+        F.col("id").alias("station"), _spine(first, last, unit).alias("period")
     )
     observed = observations.select(
         "station", _period(F.col("valid").cast("timestamp_ntz"), unit).alias("period")
@@ -40,10 +47,8 @@ def coverage_gaps(
 
 
 def _with_months(df: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
-    month = F.explode(
-        F.sequence(F.trunc(F.lit(start), "month"), F.lit(as_of), F.expr(_STEP["month"]))
-    )
-    months = df.where(F.lit(start) <= F.lit(as_of)).select("*", month.alias("_month"))
+    month = _spine(F.trunc(F.lit(start), "month"), F.lit(as_of), "month")
+    months = df.where(F.lit(start <= as_of)).select("*", month.alias("_month"))
     return months.select(
         *df.columns,
         F.greatest("_month", F.lit(start)).alias("start_date"),

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -18,6 +19,11 @@ _FIXED_WIDTH = 8
 _ROW_OVERHEAD = 16
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="skyfare-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for held tables, from `spark.checkpoint.dir`.
 
@@ -28,8 +34,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        shared = tempfile.mkdtemp(prefix="skyfare-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _own_folder(spark.conf.get("spark.app.id", ""))
     return shared.rstrip("/")
 
 

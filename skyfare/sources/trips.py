@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from skyfare.functions.names import scanned_file
 
 
 def read_trips(spark: SparkSession, *paths: str, glob: str = "*.parquet") -> DataFrame:
@@ -15,7 +17,7 @@ def read_trips(spark: SparkSession, *paths: str, glob: str = "*.parquet") -> Dat
         .option("recursiveFileLookup", True)
         .parquet(*paths)
     )
-    return trips.select(*trips.columns, F.col("_metadata.file_name").alias("source_file"))
+    return trips.select(*trips.columns, scanned_file().alias("source_file"))
 
 
 def available(df: DataFrame, wanted: Sequence[str]) -> list[str]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skyfare.functions.names import station_token
+from skyfare.functions.names import scanned_file, station_token
 from skyfare.operators.lookup import lookup_join
 from skyfare.schemas import WEATHER_FILE_FIELDS
 from skyfare.scratch import hold
@@ -17,18 +17,21 @@ from skyfare.scratch import hold
 _HEADER_LINE = r'(^|,)\s*"?(' + "|".join(WEATHER_FILE_FIELDS) + r')"?\s*(,|$)'
 
 
-def weather_lines(spark: SparkSession, *paths: str, glob: str = "*.csv") -> DataFrame:
-    """Lines of weather files as (file_path, source_file, value)."""
-    text = (
-        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(list(paths))
-    )
+def lines_of(text: DataFrame) -> DataFrame:
+    """Scanned text lines as (file_path, source_file, value)."""
     return text.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("source_file"),
+        scanned_file("path").alias("file_path"),
+        scanned_file().alias("source_file"),
         "value",
     )
 
 
+def weather_lines(spark: SparkSession, *paths: str, glob: str = "*.csv") -> DataFrame:
+    """Lines of weather files."""
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return lines_of(reader.text(list(paths)))
+
+
 def _fields(line: Column, width: int) -> Column:
     columns = [f"c{i}" for i in range(width)]
     parsed = F.from_csv(line, ", ".join(f"{c} string" for c in columns))

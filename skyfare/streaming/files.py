@@ -9,14 +9,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
+from skyfare.functions.names import scanned_file
 from skyfare.plans.ingest import WEATHER_TABLE, trip_rows, weather_rows
 from skyfare.schemas import TRIPS
 from skyfare.sinks.tables import append, ensure_table
 from skyfare.sources.dimensions import stations_frame
 from skyfare.sources.files import loaded_files
-from skyfare.sources.weather import parse_weather_lines
+from skyfare.sources.weather import lines_of, parse_weather_lines
 
 
 def _drain(
@@ -58,7 +59,7 @@ def stream_trips(
         .parquet(path)
     )
     rows = trip_rows(
-        trips.select(*trips.columns, F.col("_metadata.file_name").alias("source_file")), fields
+        trips.select(*trips.columns, scanned_file().alias("source_file")), fields
     )
     ensure_table(spark, table, rows.schema, path=table_path)
     _drain(rows, lambda batch, _: append(_not_loaded(batch, table), table), checkpoint, table)
@@ -81,11 +82,7 @@ def stream_weather(
         .option("maxFilesPerTrigger", files_per_batch)
         .text(path)
     )
-    lines = text.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("source_file"),
-        "value",
-    )
+    lines = lines_of(text)
     ensure_table(spark, table, WEATHER_TABLE, ["valid_date"], table_path)
     known = stations_frame(spark, stations)
 

@@ -10,11 +10,11 @@ def num(expression: str) -> str:
 
 
 def stamp(expression: str) -> str:
-    return f"strftime({expression}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"CAST({expression} AS VARCHAR)"
 
 
 def day(expression: str) -> str:
-    return f"strftime({expression}, '%Y-%m-%d')"
+    return f"CAST(CAST({expression} AS DATE) AS VARCHAR)"
 
 
 def tidy(names: str, numbers: str = "", stamps: str = "", days: str = "") -> str:
@@ -470,6 +470,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT {stamp('pu_hour')} AS pickup_hour_rounded, dayofweek(pu) + 1 AS pickup_weekday,
                    count(*) AS trips
             FROM stg GROUP BY ALL"""),
+        "views_by_name": sql(STG_A, """
+            SELECT Borough, count(*) AS trips FROM stg JOIN zones ON LocationID = pu_zone GROUP BY 1"""),
         "column_subset": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
         "config_projection": """
             SELECT o_orderkey, year(o_orderdate) AS order_year, o_orderpriority LIKE '1%' AS is_urgent
@@ -478,14 +480,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT station AS file_station, {LISTED_NAME} AS station_name, {LISTED_ZONE} AS station_zone,
                    count(*) AS observations
             FROM obs GROUP BY ALL"""),
-        "files_loaded": sql(FILE_ROWS, "SELECT DISTINCT source_file FROM files WHERE day(ts) % 3 = 0"),
-        "files_new": sql(FILE_ROWS, """
+        "loaded_files": sql(FILE_ROWS, "SELECT DISTINCT source_file FROM files WHERE day(ts) % 3 = 0"),
+        "new_files": sql(FILE_ROWS, """
             SELECT source_file FROM files EXCEPT SELECT source_file FROM files WHERE day(ts) % 3 = 0"""),
-        "files_pruned": sql(FILE_ROWS, """
+        "prune_files": sql(FILE_ROWS, """
             SELECT DISTINCT source_file FROM files
             WHERE NOT contains(source_file, '_')
                OR split_part(source_file, '_', 2) BETWEEN '20240105' AND '20240120'"""),
-        "file_row_counts": sql(FILE_ROWS, "SELECT source_file, count(*) AS rows FROM files GROUP BY 1"),
+        "file_stats": sql(FILE_ROWS, "SELECT source_file, count(*) AS rows FROM files GROUP BY 1"),
         "coverage_gaps": sql(RAW, f"""
             SELECT s.station, {stamp('g.period')} AS period
             FROM (SELECT DISTINCT station FROM obs) s,
@@ -505,8 +507,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT strftime(m, '%Y/%m') AS year_month, 'orders_' || strftime(m, '%Y-%m') || '.parquet' AS source_file
             FROM generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2003-06-01', INTERVAL 1 MONTH) g(m)
             WHERE NOT EXISTS (SELECT 1 FROM orders WHERE date_trunc('month', o_orderdate) = m)""",
-        "weather_ingested": WEATHER_TABLE,
-        "weather_streamed": WEATHER_TABLE,
+        "ingest_weather": WEATHER_TABLE,
+        "stream_weather": WEATHER_TABLE,
         "weather_file_lines": sql(RAW, f"""
             SELECT station, {stamp('valid')} AS valid, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat,
                    {", ".join(f"{num(c)} AS {c}" for c in ("tmpf", "p01i", "vsby", "sknt"))},
@@ -517,9 +519,9 @@ def oracle_sql() -> dict[str, str]:
                        AS source_file,
                    {day('valid')} AS valid_date
             FROM obs"""),
-        "trips_ingested": raw_trips(CHARGES),
-        "trips_streamed": raw_trips(CHARGES),
-        "trips_ingested_fields": sql(RAW, f"""
+        "ingest_trips": raw_trips(CHARGES),
+        "stream_trips": raw_trips(CHARGES),
+        "ingest_trips_fields": sql(RAW, f"""
             SELECT {stamp('pu')} AS tpep_pickup_datetime, {num('dist')} AS trip_distance,
                    pu_zone AS PULocationID, {num('total - tip')} AS net_amount, event_type AS source_file
             FROM trips_a"""),
@@ -544,7 +546,7 @@ def oracle_sql() -> dict[str, str]:
                     AND b.pickup_location_id = s.pickup_location_id
                     AND b.dropoff_location_id = s.dropoff_location_id AND b.vendor_id = s.vendor_id)
                 UNION ALL SELECT * FROM batch)"""),
-        "append_evolved": """
+        "append_evolving": """
             SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
                    CASE WHEN l_orderkey % 2 = 1 THEN l_returnflag END AS l_returnflag
             FROM lineitem""",

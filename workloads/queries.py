@@ -29,6 +29,7 @@ from skyfare.sinks import (
     above_high_water,
     append,
     append_evolving,
+    as_view,
     ensure_table,
     incremental,
     materialize,
@@ -54,7 +55,8 @@ TIE = 3e-9  # moves an exact tie off the edge, so both engines round it the same
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore keeps it apart from an operator."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -65,10 +67,8 @@ def tidy(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.round(c + F.lit(TIE), 6)
-        elif isinstance(f.dataType, T.TimestampNTZType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampNTZType, T.DateType)):
+            c = c.cast("string")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             c = c.cast("bigint")
         columns.append(c.alias(f.name))
@@ -292,7 +292,7 @@ def _text_cells(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("value").cast("string"))
         .alias("tmpf"),
         F.when(F.col("event_id") % 4 == 0, F.lit("M"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm"))
+        .otherwise(F.substring(F.col("ts").cast("string"), 1, 16))
         .alias("valid"),
     )
 
@@ -314,6 +314,18 @@ def hour_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(trips.agg(F.count(F.lit(1)).alias("trips")))
 
 
+@query
+def views_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged trips and the zone table found by name, each behind a view."""
+    trips, zones = (f"skyfare_{what}_{uuid.uuid4().hex}" for what in ("stg", "zones"))
+    as_view(_stg(spark, sf), trips)
+    as_view(fx.taxi_zone(spark, sf), zones)
+    joined = spark.table(trips).join(
+        spark.table(zones), F.col("pickup_location_id") == F.col("LocationID")
+    )
+    return joined.groupBy("Borough").agg(F.count(F.lit(1)).alias("trips"))
+
+
 @query
 def column_subset(spark: SparkSession, sf: str) -> DataFrame:
     wanted = ["l_orderkey", "l_linenumber", "l_quantity", "no_such_column"]
@@ -352,7 +364,7 @@ def _file_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def files_loaded(spark: SparkSession, sf: str) -> DataFrame:
+def loaded_files_(spark: SparkSession, sf: str) -> DataFrame:
     """Ledger of a table that has a third of the files, and rows that came from no file."""
     rows = _file_rows(spark, sf)
     name, path = new_table(spark, "ledger")
@@ -362,20 +374,20 @@ def files_loaded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def files_new(spark: SparkSession, sf: str) -> DataFrame:
+def new_files_(spark: SparkSession, sf: str) -> DataFrame:
     rows = _file_rows(spark, sf)
     loaded = rows.where(F.dayofmonth("ts") % 3 == 0).select("source_file").distinct()
     return new_files(rows.select("source_file").distinct(), loaded)
 
 
 @query
-def files_pruned(spark: SparkSession, sf: str) -> DataFrame:
+def prune_files_(spark: SparkSession, sf: str) -> DataFrame:
     files = _file_rows(spark, sf).select("source_file").distinct()
     return prune_files(files, "2024-01-05", "2024-01-20")
 
 
 @query
-def file_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+def file_stats_(spark: SparkSession, sf: str) -> DataFrame:
     return file_stats(_file_rows(spark, sf))
 
 
@@ -444,7 +456,7 @@ def _weather_state(spark: SparkSession, name: str) -> DataFrame:
 
 
 @query
-def weather_ingested(spark: SparkSession, sf: str) -> DataFrame:
+def ingest_weather_(spark: SparkSession, sf: str) -> DataFrame:
     """Weather files loaded twice: the second time there is nothing new."""
     path = _write_weather_files(spark, sf)
     name, place = new_table(spark, "weather")
@@ -456,7 +468,7 @@ def weather_ingested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def weather_streamed(spark: SparkSession, sf: str) -> DataFrame:
+def stream_weather_(spark: SparkSession, sf: str) -> DataFrame:
     path = _write_weather_files(spark, sf)
     name, place = new_table(spark, "weather")
     checkpoint = scratch_path(spark, "stream")
@@ -507,7 +519,7 @@ def _trip_state(spark: SparkSession, name: str) -> DataFrame:
 
 
 @query
-def trips_ingested(spark: SparkSession, sf: str) -> DataFrame:
+def ingest_trips_(spark: SparkSession, sf: str) -> DataFrame:
     """Trip files loaded twice: the second time there is nothing new."""
     path = _write_trip_files(spark, sf)
     name, place = new_table(spark, "trips")
@@ -517,7 +529,7 @@ def trips_ingested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def trips_ingested_fields(spark: SparkSession, sf: str) -> DataFrame:
+def ingest_trips_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Configured fields only, one of them computed."""
     path = _write_trip_files(spark, sf)
     name, place = new_table(spark, "trips")
@@ -532,7 +544,7 @@ def trips_ingested_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def trips_streamed(spark: SparkSession, sf: str) -> DataFrame:
+def stream_trips_(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "trip-files")
     trips = fx.trips_a(spark, sf)
     for kind in ("click", "purchase", "view"):
@@ -607,7 +619,7 @@ def upsert_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def append_evolved(spark: SparkSession, sf: str) -> DataFrame:
+def append_evolving_(spark: SparkSession, sf: str) -> DataFrame:
     """Second append brings a column the table did not have."""
     items = fx.table(spark, sf, "lineitem")
     base = items.select("l_orderkey", "l_linenumber", "l_quantity")
