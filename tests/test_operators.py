@@ -63,6 +63,36 @@ def test_lookup_join_is_the_same_broadcast_or_shuffled(spark):
         assert rows(small) == rows(op.lookup_join(facts, keys, {"k": "key"}, how, max_bytes=0))
 
 
+def test_hot_key_of_a_shuffled_lookup_is_split(spark):
+    """A third of the rows share one key; adaptive execution must split them, and the grouping on
+    that key above the join must not stop it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.sql("SELECT IF(id % 3 = 0, 1, id % 5000) AS k, id AS v, uuid() AS h FROM range(0, 600000, 1, 8)")
+        lookup = spark.sql("SELECT id AS key, id * 2 AS twice FROM range(5000)")
+        joined = op.lookup_join(facts, lookup, {"k": "key"}, max_bytes=0)
+        report = joined.groupBy("k").agg(F.count("h").alias("n"), F.max("twice").alias("twice"))
+        got = report.where("k = 1").collect()
+        report.collect()
+        final = plan(report)
+        hot = facts.where("k = 1").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert [(r.n, r.twice) for r in got] == [(hot, 2)]
+    assert "skew=true" in final
+
+
 def test_held_size_is_measured(spark):
     df = spark.sql("SELECT id, repeat('x', 10) AS t FROM range(100)")
     held = hold(df)

@@ -52,19 +52,19 @@ def taxi_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "error"))
-    code = _station_code()
-    return events.select(
+    code, k = _station_code(), F.col("k")
+    return events.withColumn("k", _k()).select(
         code.alias("station"),
         F.col("ts").alias("valid"),
         (F.lit(-74.0) + F.col("user_id") % 4).alias("lon"),
         (F.lit(40.0) + F.col("user_id") % 4).alias("lat"),
         F.col("value").alias("tmpf"),
-        (_k() / 500).alias("p01i"),
-        (_k() % 11).cast("double").alias("vsby"),
-        (_k() % 30).cast("double").alias("sknt"),
-        F.nullif((_k() % 3), F.lit(0)).cast("double").alias("gust"),
-        F.when(_k() % 2 == 0, "CLR").otherwise("OVC").alias("skyc1"),
-        F.when(_k() % 5 == 0, "RA").alias("wxcodes"),
+        (k / 500).alias("p01i"),
+        (k % 11).cast("double").alias("vsby"),
+        (k % 30).cast("double").alias("sknt"),
+        F.nullif(k % 3, F.lit(0)).cast("double").alias("gust"),
+        F.when(k % 2 == 0, "CLR").otherwise("OVC").alias("skyc1"),
+        F.when(k % 5 == 0, "RA").alias("wxcodes"),
         F.concat(code, F.lit(" airfield")).alias("station_name"),
         F.concat(F.lit("zone of "), code).alias("station_zone"),
         F.concat(code, F.lit("_"), F.date_format("ts", "yyyyMMdd")).alias("source_file"),
