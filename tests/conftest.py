@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(root / "shared"))
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

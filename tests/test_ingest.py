@@ -129,6 +129,25 @@ def test_ingest_trips_isolates_bad_files_and_mixed_types(spark, name, trip_dir):
     assert spark.table(name).count() == 9
 
 
+def test_ingest_trips_leaves_out_a_file_damaged_in_the_middle(spark, name, tmp_path):
+    """Its footer is fine, so rows before the damage could be read; none of them may be kept."""
+    path = tmp_path / "trips"
+    one_file(spark.sql("SELECT id AS VendorID FROM range(10)"), str(path), "good")
+    many = spark.sql("SELECT hash(id) AS VendorID FROM range(100000)").coalesce(1)
+    small_pages = {"mapreduce.output.basename": "hurt", "parquet.page.size": "4096"}
+    many.write.options(**small_pages).mode("append").parquet(str(path))
+    (hurt,) = path.glob("hurt*")
+    data = bytearray(hurt.read_bytes())
+    third = len(data) // 3
+    data[third : 2 * third] = b"\xff" * third
+    hurt.write_bytes(data)
+    for crc in path.glob(".*.crc"):
+        crc.unlink()
+    report = ingest_trips(spark, str(path), name)
+    assert {r.source_file[:4]: r.rows for r in report.collect()} == {"good": 10, "hurt": 0}
+    assert spark.table(name).count() == 10
+
+
 def test_ingest_trips_in_small_loads(spark, name, trip_dir, monkeypatch):
     monkeypatch.setattr(ingest, "FILES_PER_LOAD", 1)
     ingest_trips(spark, trip_dir, name)

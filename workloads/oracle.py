@@ -480,9 +480,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT station AS file_station, {LISTED_NAME} AS station_name, {LISTED_ZONE} AS station_zone,
                    count(*) AS observations
             FROM obs GROUP BY ALL"""),
-        "loaded_files": sql(FILE_ROWS, "SELECT DISTINCT source_file FROM files WHERE day(ts) % 3 = 0"),
+        "loaded_files": sql(FILE_ROWS, "SELECT DISTINCT source_file FROM files WHERE day(ts) <= 10"),
         "new_files": sql(FILE_ROWS, """
-            SELECT source_file FROM files EXCEPT SELECT source_file FROM files WHERE day(ts) % 3 = 0"""),
+            SELECT source_file FROM files EXCEPT SELECT source_file FROM files WHERE day(ts) <= 10"""),
         "prune_files": sql(FILE_ROWS, """
             SELECT DISTINCT source_file FROM files
             WHERE NOT contains(source_file, '_')
@@ -539,7 +539,7 @@ def oracle_sql() -> dict[str, str]:
         "upsert_keys": sql(STG_A, f"""
             , slim AS (SELECT {SLIM} FROM stg),
             batch AS (SELECT * REPLACE (fare_amount + 1000 AS fare_amount) FROM slim
-                      WHERE pickup_date >= DATE '2024-01-12' AND dropoff_location_id % 2 = 0)
+                      WHERE pickup_date >= DATE '2024-01-12' AND fare_amount >= 20)
             SELECT {SLIM_OUT} FROM (
                 SELECT * FROM slim s WHERE pickup_date <= DATE '2024-01-15' AND NOT EXISTS (
                     SELECT 1 FROM batch b WHERE b.pickup_datetime = s.pickup_datetime
@@ -548,12 +548,12 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT * FROM batch)"""),
         "append_evolving": """
             SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
-                   CASE WHEN l_orderkey % 2 = 1 THEN l_returnflag END AS l_returnflag
+                   CASE WHEN l_returnflag = 'N' THEN 'N' END AS l_returnflag
             FROM lineitem""",
         "partitioned_roundtrip": f"""
             SELECT o_orderkey, o_custkey, {num('o_totalprice')} AS o_totalprice,
                    strftime(o_orderdate, '%Y-%m-01') AS "month"
-            FROM orders WHERE year(o_orderdate) = 1997""",
+            FROM orders""",
         "dq_not_null": sql(STG_A, f"""
             SELECT vendor AS vendor_id, {stamp('pu')} AS pickup_datetime, pu_zone AS pickup_location_id
             FROM stg WHERE pass IS NULL"""),
