@@ -95,7 +95,7 @@ def ingest_weather(
 
     def load(paths: Sequence[str]) -> None:
         rows = weather_rows(read_weather(spark, *paths), known, moment)
-        append_evolving(rows, table, ["valid_date"], ["station"])
+        append_evolving(rows, table, ["station"])
 
     return _load_new(spark, new_files(listed, loaded_files(spark, table)), table, load)
 

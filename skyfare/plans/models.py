@@ -86,7 +86,7 @@ def load_fact(store: TableStore, fact: DataFrame, full_refresh: bool = False) ->
     spark, name = fact.sparkSession, store.name(model)
     if full_refresh or not spark.catalog.tableExists(name):
         return store.save(model, fact, *layout)
-    append(incremental(fact, name, "pickup_date"), name, *layout)
+    append(incremental(fact, name, "pickup_date"), name, layout[1])
     return spark.table(name)
 
 

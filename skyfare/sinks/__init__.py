@@ -10,6 +10,7 @@ from skyfare.sinks.tables import (
     incremental,
     laid_out,
     materialize,
+    partition_columns,
     upsert,
 )
 
@@ -23,5 +24,6 @@ __all__ = [
     "incremental",
     "laid_out",
     "materialize",
+    "partition_columns",
     "upsert",
 ]

@@ -75,18 +75,18 @@ def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def append(
-    df: DataFrame, table: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
-) -> None:
-    """Add rows to an existing table, columns matched by name."""
-    target = df.sparkSession.table(table)
-    rows = laid_out(aligned(df, target.schema), partition_by, cluster_by)
-    rows.write.insertInto(table)
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def append_evolving(
-    df: DataFrame, table: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
-) -> None:
+def append(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
+    """Add rows to an existing table, columns matched by name, laid out by the table's partitions."""
+    spark = df.sparkSession
+    rows = aligned(df, spark.table(table).schema)
+    laid_out(rows, partition_columns(spark, table), cluster_by).write.insertInto(table)
+
+
+def append_evolving(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
     """Add rows to an existing table; columns the table lacks are added to it first, and are NULL
     in the rows it already has."""
     spark = df.sparkSession
@@ -95,7 +95,7 @@ def append_evolving(
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    append(df, table, partition_by, cluster_by)
+    append(df, table, cluster_by)
 
 
 def above_high_water(df: DataFrame, target: DataFrame, column: str) -> DataFrame:

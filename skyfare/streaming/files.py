@@ -89,6 +89,6 @@ def stream_weather(
     def write(batch: DataFrame, _: int) -> None:
         moment = processed_at or dt.datetime.now(dt.timezone.utc)
         rows = weather_rows(parse_weather_lines(_not_loaded(batch, table)), known, moment)
-        append(rows, table, ["valid_date"], ["station"])
+        append(rows, table, ["station"])
 
     _drain(lines, write, checkpoint, table)
