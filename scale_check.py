@@ -93,7 +93,7 @@ def main() -> None:
             hold(op.zone_station_mapping(zones, boroughs, weather)),
             hold(op.weather_hourly(op.stg_weather_data(weather))),
         )
-        return tuple(Held(h.df, 1 << 60) for h in both) if shuffled else both
+        return tuple(Held(h.df, 1 << 60, h.widths) for h in both) if shuffled else both
 
     def validated() -> DataFrame:
         return op.trips_validated(op.stg_yellow_trips(trips), *lookups(), fx.A_AS_OF, fx.A_MIN_DATE)

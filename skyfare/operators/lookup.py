@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from skyfare.scratch import Held, measure
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_SETTING = "spark.skyfare.broadcastBytes"
 SALTS = 8
 
 
@@ -17,24 +18,26 @@ def lookup_join(
     lookup: Held | DataFrame,
     on: Mapping[str, str],
     how: str = "left",
-    max_bytes: int = BROADCAST_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Add the columns of `lookup` that are not keys to `facts`; `on` maps fact key to lookup key.
 
-    A lookup measured at no more than `max_bytes` is broadcast: the facts are not shuffled. A larger
-    one is joined by shuffle on key + salt. The salt keeps a hot key, or the NULL key, off a single
+    A lookup measured at no more than `max_bytes` (by default the session's spark.skyfare.broadcastBytes,
+    or 256 MiB) is broadcast: the facts are not shuffled. A larger one is joined by shuffle on key + salt. The salt keeps a hot key, or the NULL key, off a single
     partition, and because no later grouping is partitioned by it, adaptive execution stays free to
     split what is still too large. The salt is a hash of the row, so a retried task repeats it.
     """
-    table = lookup.df if isinstance(lookup, Held) else lookup
-    size = lookup.size if isinstance(lookup, Held) else measure(lookup)
+    held = measure(lookup)
+    table = held.df
+    if max_bytes is None:
+        max_bytes = int(facts.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     payload = [c for c in table.columns if c not in on.values()]
     side = table.select(
         *[F.col(right).alias(left) for left, right in on.items()],
         *[F.col(c).alias(c) for c in payload],
     )
     keys = list(on)
-    if size <= max_bytes:
+    if held.size <= max_bytes:
         joined = facts.join(F.broadcast(side), keys, how)
     else:
         salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from skyfare.functions.labels import UNKNOWN
 from skyfare.operators.lookup import lookup_join
-from skyfare.scratch import Held
+from skyfare.scratch import Held, measure
 
 
 def latest_per_station(raw_weather: DataFrame) -> DataFrame:
@@ -53,9 +53,7 @@ def station_lookup(
     rows: DataFrame, stations: Held | DataFrame, key: str = "file_station"
 ) -> DataFrame:
     """Add the configured name and zone of the station in `key`, Unknown when it is not listed."""
-    listed = stations.select(
-        F.col("id"), F.col("name").alias("station_name"), F.col("zone").alias("station_zone")
-    )
+    listed = measure(stations).select("id", station_name="name", station_zone="zone")
     found = lookup_join(rows, listed, {key: "id"})
     return found.withColumns(
         {c: F.coalesce(c, F.lit(UNKNOWN)) for c in ("station_name", "station_zone")}

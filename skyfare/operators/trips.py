@@ -15,7 +15,7 @@ from skyfare.functions.labels import (
 )
 from skyfare.operators.lookup import lookup_join
 from skyfare.operators.projection import fill_trip_nulls
-from skyfare.scratch import Held
+from skyfare.scratch import Held, measure
 
 _STATION = ["station_id", "station_name", "station_zone"]
 _HOUR_WEATHER = [
@@ -43,7 +43,7 @@ _FACT_TRIP = [
 
 def with_station(trips: DataFrame, mapping: Held | DataFrame) -> DataFrame:
     """Add the weather station of the pickup zone."""
-    side = mapping.select("taxi_zone_id", *_STATION)
+    side = measure(mapping).select("taxi_zone_id", *_STATION)
     return lookup_join(trips, side, {"pickup_location_id": "taxi_zone_id"})
 
 
@@ -51,7 +51,7 @@ def with_weather(
     trips: DataFrame, hourly: Held | DataFrame, columns: list[str], station: str = "station_id"
 ) -> DataFrame:
     """Add weather of the hour the pickup falls in, at the trip's station."""
-    side = hourly.select("station", "observation_hour", *columns)
+    side = measure(hourly).select("station", "observation_hour", *columns)
     return lookup_join(trips, side, {station: "station", "pickup_hour_rounded": "observation_hour"})
 
 

@@ -115,8 +115,7 @@ def build_models(
         if store is None:
             held = hold(df, model)
         else:
-            table = store.save(model, df, partition_by)
-            held = Held(table, measure(table))
+            held = measure(store.save(model, df, partition_by))
         m[model] = held.df
         return held
 

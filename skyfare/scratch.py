@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cache
 
@@ -44,23 +44,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 @dataclass(frozen=True)
 class Held:
-    """A held table and the known size of its rows in memory."""
+    """A table of known size: its rows, and the bytes of each column in memory."""
 
     df: DataFrame
-    size: int
+    rows: int
+    widths: Mapping[str, int]
 
-    def select(self, *columns: str | Column) -> Held:
-        """A projection: no larger than the whole, so the known size stays a bound."""
-        return Held(self.df.select(*columns), self.size)
+    @property
+    def size(self) -> int:
+        return self.rows * _ROW_OVERHEAD + sum(self.widths.values())
 
+    def select(self, *columns: str, **renamed: str) -> Held:
+        """A projection, sized by its own columns; `new="old"` renames."""
+        source = {**{c: c for c in columns}, **renamed}
+        return Held(
+            self.df.select(*[F.col(old).alias(new) for new, old in source.items()]),
+            self.rows,
+            {new: self.widths[old] for new, old in source.items()},
+        )
 
-def row_bytes(df: DataFrame) -> Column:
-    """Approximate in-memory bytes of a row: text by its length, everything else as eight bytes."""
-    width = F.lit(_ROW_OVERHEAD + _FIXED_WIDTH * len(df.columns))
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-    return width.cast("bigint")
+
+def _totals(df: DataFrame) -> list[Column]:
+    """Aggregates for the row count and for the text bytes of each text column."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum(F.octet_length(F.col(f"`{c}`")).cast("bigint")).alias(f"text_{c}") for c in text],
+    ]
+
+
+def _sized(df: DataFrame, totals: Mapping[str, int | None]) -> Held:
+    rows = totals["rows"] or 0
+    widths = {c: rows * _FIXED_WIDTH + (totals.get(f"text_{c}") or 0) for c in df.columns}
+    return Held(df, rows, widths)
 
 
 def hold(df: DataFrame, name: str = "held") -> Held:
@@ -68,19 +84,21 @@ def hold(df: DataFrame, name: str = "held") -> Held:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     seen = Observation()
-    df.observe(seen, F.sum(row_bytes(df)).alias("bytes")).write.parquet(path)
-    return Held(spark.read.schema(df.schema).parquet(path), seen.get["bytes"] or 0)
+    df.observe(seen, *_totals(df)).write.parquet(path)
+    return _sized(spark.read.schema(df.schema).parquet(path), seen.get)
 
 
-def measure(df: DataFrame) -> int:
-    """Bytes of `df`, as one aggregate row."""
-    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+def measure(table: Held | DataFrame) -> Held:
+    """`table` with its size, which takes one aggregate unless the size is known already."""
+    if isinstance(table, Held):
+        return table
+    return _sized(table, table.agg(*_totals(table)).first().asDict())
 
 
 def literal(spark: SparkSession, rows: Sequence[tuple[str, ...]], columns: Sequence[str]) -> Held:
     """Text rows given inline, as a relation inside the plan: nothing is stored or computed."""
     arrow = pa.table({c: pa.array([r[i] for r in rows], pa.string()) for i, c in enumerate(columns)})
-    size = sum(
-        _ROW_OVERHEAD + sum(_FIXED_WIDTH + len((cell or "").encode()) for cell in row) for row in rows
-    )
-    return Held(spark.createDataFrame(arrow), size)
+    widths = {
+        c: sum(_FIXED_WIDTH + len((r[i] or "").encode()) for r in rows) for i, c in enumerate(columns)
+    }
+    return Held(spark.createDataFrame(arrow), len(rows), widths)

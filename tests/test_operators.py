@@ -96,7 +96,9 @@ def test_hot_key_of_a_shuffled_lookup_is_split(spark):
 def test_held_size_is_measured(spark):
     df = spark.sql("SELECT id, repeat('x', 10) AS t FROM range(100)")
     held = hold(df)
-    assert held.size == measure(df) == 100 * (16 + 2 * 8 + 10)
+    assert held.size == measure(df).size == 100 * (16 + 2 * 8 + 10)
+    assert held.select("id").size == 100 * (16 + 8)
+    assert held.select(name="t").df.columns == ["name"]
     assert rows(held.df) == rows(df)
     assert hold(df.where("id < 0")).size == 0
 
@@ -117,13 +119,22 @@ def test_validated_keeps_every_trip(staged, validated, hourly):
 
 
 def test_validated_is_the_same_with_large_lookups(staged, validated, mapping, hourly):
-    huge = 1 << 60
-    shuffled = op.trips_validated(
-        staged, Held(mapping.df, huge), Held(hourly.df, huge), fx.A_AS_OF, fx.A_MIN_DATE
-    )
+    huge = [Held(h.df, 1 << 60, h.widths) for h in (mapping, hourly)]
+    shuffled = op.trips_validated(staged, *huge, fx.A_AS_OF, fx.A_MIN_DATE)
+    assert "_salt" in plan(shuffled)
     assert rows(shuffled) == rows(validated)
 
 
+def test_broadcast_limit_is_a_session_setting(spark):
+    facts, lookup = spark.range(9), spark.sql("SELECT id AS key, 1 AS one FROM range(9)")
+    spark.conf.set("spark.skyfare.broadcastBytes", "10")
+    try:
+        assert "_salt" in plan(op.lookup_join(facts, lookup, {"id": "key"}))
+    finally:
+        spark.conf.unset("spark.skyfare.broadcastBytes")
+    assert "_salt" not in plan(op.lookup_join(facts, lookup, {"id": "key"}))
+
+
 def test_labels_look_at_unfilled_columns(spark, staged, mapping, hourly):
     """A trip without passengers counts as one passenger and is still flagged."""
     valid = op.trips_validated(staged, mapping, hourly, fx.A_AS_OF, fx.A_MIN_DATE)
