@@ -17,6 +17,7 @@ from skyfare.operators.lookup import lookup_join
 from skyfare.operators.projection import fill_trip_nulls
 from skyfare.scratch import Held, measure
 
+# The columns of the validated trips and of the fact table, in order.
 _STATION = ["station_id", "station_name", "station_zone"]
 _HOUR_WEATHER = [
     "avg_temperature_f", "avg_temperature_c", "precipitation_inches", "min_visibility_miles",

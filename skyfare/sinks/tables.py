@@ -17,6 +17,18 @@ from skyfare.scratch import hold
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Whether an overwrite replaces the whole table (static) or its own partitions (dynamic). Set
+    on the session, because a table keeps the options it was written with."""
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+
+
 def laid_out(
     df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -43,7 +55,8 @@ def materialize(
         writer = writer.partitionBy(*partition_by)
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    with _overwriting(df.sparkSession, "static"):
+        writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -118,16 +131,6 @@ def incremental(
     return df if target.isEmpty() else above_high_water(df, target, column)
 
 
-@contextmanager
-def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
-
-
 def _sharing_partitions(target: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     """Rows of `target` in partitions that `rows` has rows in. The bounds prune partitions when the
     scan is planned; the semi join prunes those between them when it runs."""
@@ -165,5 +168,5 @@ def upsert(
     merged = kept.select(*target.columns).unionByName(aligned(rows, target.schema))
     # a table cannot be overwritten while it is read, so the merged partitions are held first
     ready = hold(merged, "upsert-merged").df
-    with _replacing_partitions(spark):
+    with _overwriting(spark, "dynamic"):
         laid_out(ready, [partition_by], cluster_by).write.insertInto(table, overwrite=True)

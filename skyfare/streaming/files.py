@@ -49,7 +49,11 @@ def stream_trips(
     files_per_batch: int = 1000,
     table_path: str | None = None,
 ) -> None:
-    """Append the trips of new Parquet files below `path` to `table`."""
+    """Append the trips of new Parquet files below `path` to `table`.
+
+    A stream has one schema: files written with other types, or damaged, stop it. `ingest_trips`
+    leaves such files out instead.
+    """
     read_as = schema or T.StructType([f for f in TRIPS.fields if f.name != "source_file"])
     trips = (
         spark.readStream.schema(read_as)

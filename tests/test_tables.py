@@ -73,6 +73,19 @@ def test_upsert_reads_only_the_days_of_the_batch(spark, name):
     assert "PartitionFilters: [isnotnull(d" in text and "dynamicpruning" in text
 
 
+def test_rebuild_leaves_no_old_partition(spark, name, tmp_path):
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        for df in (days(spark, (1, "a", D(2024, 1, 1)), (2, "b", D(2024, 1, 2))), days(spark, (3, "c", D(2024, 1, 3)))):
+            table = materialize(df, name, partition_by=["d"], path=str(tmp_path / "t"))
+    finally:
+        spark.conf.set(setting, before)
+    assert rows(table) == [(3, "c", D(2024, 1, 3))]
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
 def test_append_matches_names_and_casts(spark, name):
     ensure_table(spark, name, T.StructType().add("a", "long").add("b", "string"))
     append(spark.sql("SELECT 'x' AS b, 1 AS a"), name)
