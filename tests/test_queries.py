@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
+from workloads.oracle import oracle_sql
+from workloads.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,10 +18,12 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert differences(df, con, entry.oracle_sql()[name]) is None
