@@ -7,15 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfare.llm.common import documents
+from skyfare.llm.exact_dedup import exact_duplicates
 from skyfare.llm.simhash import simhash_components
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(documents(spark, sf_dir))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_exact_dedup": """
+        WITH d AS (
+            SELECT doc_id,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+            FROM documents
+        )
+        SELECT doc_id,
+               max(doc_id) OVER same AS keep_id,
+               count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept,
+               sha256(norm) AS text_sha256
+        FROM d
+        WINDOW same AS (PARTITION BY norm)
+    """,
+}
