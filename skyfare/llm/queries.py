@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyfare.llm.common import documents
 from skyfare.llm.exact_dedup import exact_duplicates
+from skyfare.llm.quality import quality_scores
 from skyfare.llm.simhash import simhash_components
 
 
@@ -19,9 +20,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_scores(documents(spark, sf_dir), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
