@@ -21,8 +21,16 @@ from skyfare.llm.common import ascii_lower, held, located, whole_text
 from skyfare.operators.lookup import lookup_join
 from skyfare.scratch import hold, scratch_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+#: State on disk; an executor's stores share one bounded memory, however many partitions it holds.
+STATE_SETTINGS = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "256",
+    f"{_STORE}.rocksdb.writeBufferSizeMB": "8",
+    f"{_STORE}.rocksdb.maxWriteBufferNumber": "2",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 HITS_BROADCAST_BYTES = 16 << 20
 _STATE = "digest binary, stays struct<doc_id:bigint,file:string,row:bigint>, n bigint"
 
@@ -49,8 +57,9 @@ def run_stream(spark: SparkSession, feed_path: str, schema, state_path: str | No
     def keep(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/run={number}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
+    for k, v in STATE_SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         feed = spark.readStream.schema(schema).parquet(feed_path)
         query = (
@@ -63,10 +72,8 @@ def run_stream(spark: SparkSession, feed_path: str, schema, state_path: str | No
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     changed = spark.read.schema(f"{_STATE}, batch bigint").option("recursiveFileLookup", "true").parquet(out)
     last = changed.groupBy("digest").agg(F.max_by(F.struct("stays", "n"), "batch").alias("s"))
     return last.select("digest", "s.stays", "s.n")
