@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfare.llm.common import documents
 from skyfare.llm.exact_dedup import exact_duplicates
+from skyfare.llm.packing import packed_documents
 from skyfare.llm.quality import quality_scores
 from skyfare.llm.simhash import simhash_components
 
@@ -25,10 +27,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), labels)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {

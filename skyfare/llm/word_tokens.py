@@ -18,15 +18,16 @@ _LETTERS = "a-zªµºß-öø-ſ"
 _DIGITS = "0-9²³¹¼-¾"
 _SPACE = "\t-\r \x85\xa0"
 _RUN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACE}{_LETTERS}{_DIGITS}]+")
-_BEYOND = re.compile("[^\x00-ſ]|<\\|")
-_NO_CUT = re.compile("[\x1c-\x1f]|<\\|")
+_BEYOND = re.compile("[^\x00-ſ]")
+_NO_CUT = re.compile("[\x1c-\x1f]")
+_SPECIAL = "<|"  # how the tokenizer's own markers begin; they are found before anything is split
 _TOGETHER = 512
 
 
 class WordTokens:
     """`ids(texts)` gives each text's ids as little-endian unsigned 32-bit octets."""
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
@@ -58,12 +59,12 @@ class WordTokens:
         runs: list[list[str]] = []
         plain: list[list[str]] = []
         for t in texts:
-            if not _BEYOND.search(t):
+            if _SPECIAL not in t and (t.isascii() or not _BEYOND.search(t)):
                 runs.append(_RUN.findall(t.lower()))
                 plain.append([])
             else:
                 runs.append([])
-                plain.append([t] if _NO_CUT.search(t) else t.split())
+                plain.append([t] if _SPECIAL in t or _NO_CUT.search(t) else t.split())
         if len(self._known) > self._most:
             self._known.clear()
         self._learn(list(set(chain.from_iterable(runs)).difference(self._known)))
