@@ -46,3 +46,16 @@ def located(df: DataFrame) -> tuple[DataFrame, Column]:
         df = held(df, "located")
         place = df.metadataColumn("_metadata")
     return df, F.struct(place["file_path"].alias("file"), place["row_index"].alias("row"))
+
+
+def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most `most` rows of `df`, taken by a hash of `key`; all rows if there are no more.
+
+    The share to take follows the number of rows, so no task hands on more than its part of it.
+    """
+    n = df.count()
+    if n <= most:
+        return df
+    share = int(1_000_000 * min(1.0, 1.2 * most / n)) + 1
+    mixed = F.pmod(F.xxhash64(df[key], F.lit("sample")), F.lit(1_000_000))
+    return df.filter(mixed < share).orderBy(F.xxhash64(key), key).limit(most)

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyfare.llm.common import held, whole_text
+from skyfare.llm.common import bounded_sample, held, whole_text
 
 ROWS, DIMS, ENTRIES, WINDOW = 8192, 64, 4, 2
 LABELLED = 6000
@@ -202,18 +202,17 @@ def _remainder(doc_id: Column) -> Column:
 
 
 def _labelled(labels: DataFrame, most: int) -> DataFrame:
-    """At most `most` labelled ids that may be learned from, by a hash of the id; clashing labels are left out."""
-    return (
+    """At most `most` labelled ids that may be learned from; ids with clashing labels are left out."""
+    usable = (
         labels.select(labels["doc_id"].alias("id"), labels["quality"].alias("y"))
         .filter("y IS NOT NULL AND id IS NOT NULL")
         .filter(_remainder(F.col("id")) != 2)
         .groupBy("id")
         .agg(F.min("y").alias("y"), F.max("y").alias("y2"))
         .filter("y = y2")
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(most)
         .select("id", "y")
     )
+    return bounded_sample(held(usable, "labels"), "id", most)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> tuple[Pooling, Network]:
