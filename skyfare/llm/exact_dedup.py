@@ -30,6 +30,7 @@ STATE_SETTINGS = {
     f"{_STORE}.rocksdb.writeBufferSizeMB": "8",
     f"{_STORE}.rocksdb.maxWriteBufferNumber": "2",
     f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.allowFAllocate": "false",  # many small stores: no room taken in advance
 }
 HITS_BROADCAST_BYTES = 16 << 20
 _STATE = "digest binary, stays struct<doc_id:bigint,file:string,row:bigint>, n bigint"
