@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyfare.llm.common import documents
 from skyfare.llm.exact_dedup import exact_duplicates
+from skyfare.llm.fingerprints import document_fingerprints
 from skyfare.llm.html_text import extract_text
 from skyfare.llm.packing import packed_documents
 from skyfare.llm.quality import quality_scores
@@ -19,6 +20,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -38,6 +43,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
+    "op3_fingerprints": op3_fingerprints,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
