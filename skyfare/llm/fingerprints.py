@@ -3,8 +3,9 @@
 Each five-word shingle is hashed once; the top eight bits of the hash are its bin, and each of the
 256 bins keeps its least hash. An empty bin borrows: it tries bins in an order of its own until it
 meets one that is filled, so every empty bin draws independently (optimal densification). Four
-low-order bits of each bin are stored, 1,024 bits in all; two bins agree by chance once in 16, and
-the likeness takes that out. Built-in expressions only.
+low-order bits of each bin's hash are stored, 1,024 bits in all; the hash is mixed with the number of
+the bin first, so that bins which hold one and the same shingle agree by chance apart from each other.
+Two bins agree by chance once in 16, and the likeness takes that out. Built-in expressions only.
 """
 
 from __future__ import annotations
@@ -72,7 +73,12 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         nearest = F.array_min(F.transform(bins, lambda c: F.struct(F.xxhash64(b, c, F.lit(PROBES)), c.alias("bin"))))
         return F.coalesce(*[raw[_probe(b, j)] for j in range(PROBES)], raw[nearest["bin"]])
 
-    df = df.withColumn("_low", F.transform(raw, lambda x, b: F.coalesce(x, borrowed(b)).bitwiseAND(F.lit((1 << BITS) - 1))))
+    df = df.withColumn(
+        "_low",
+        F.transform(
+            raw, lambda x, b: F.xxhash64(F.coalesce(x, borrowed(b)), b).bitwiseAND(F.lit((1 << BITS) - 1))
+        ),
+    )
     low = F.col("_low")
     longs = [
         F.aggregate(
