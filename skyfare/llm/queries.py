@@ -13,6 +13,7 @@ from skyfare.llm.fingerprints import document_fingerprints
 from skyfare.llm.html_text import extract_text
 from skyfare.llm.packing import packed_documents
 from skyfare.llm.quality import quality_scores
+from skyfare.llm.sharding import shard_rows
 from skyfare.llm.simhash import simhash_components
 
 
@@ -24,6 +25,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(documents(spark, sf_dir))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -44,6 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op3_fingerprints": op3_fingerprints,
+    "op5_sharding": op5_sharding,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
