@@ -28,7 +28,6 @@ from skyfare.scratch import hold
 CAPACITY = 2048
 END = 0
 BLOCK = 2000
-_PIECES = "uid bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 @dataclass(frozen=True)
@@ -50,24 +49,18 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
     least. `uid` tells rows apart that repeat a doc_id.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens, end, step = WordTokens(tokenizer_path), END.to_bytes(4, "little"), 4 * capacity
-        for batch in batches:
-            rows = []
-            for row, doc, ids in zip(batch["row"], batch["doc_id"], tokens.ids(batch["text"].tolist()), strict=True):
+        for texts in batches:
+            found = []
+            for ids in tokens.ids(texts.tolist()):
                 ids += end
-                for n, at in enumerate(range(0, len(ids), step)):
-                    piece = ids[at : at + step]
-                    rows.append((row, doc, n, at // 4, len(piece) // 4, zlib.crc32(piece)))
-            yield pd.DataFrame(rows, columns=["row", "doc_id", "piece", "start", "length", "ids_crc32"]).astype(
-                {"doc_id": "Int64"}
-            )
+                pieces = (ids[at : at + step] for at in range(0, len(ids), step))
+                found.append([(n, n * capacity, len(p) // 4, zlib.crc32(p)) for n, p in enumerate(pieces)])
+            yield pd.Series(found)
 
-    cut_rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        docs["doc_id"].cast("bigint").alias("doc_id"),
-        whole_text(docs).alias("text"),
-    ).mapInPandas(cut, "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    cut_rows = docs.select(docs["doc_id"], cut(whole_text(docs)).alias("pieces")).select("doc_id", F.inline("pieces"))
     return cut_rows.withColumn("uid", F.monotonically_increasing_id())
 
 

@@ -11,6 +11,7 @@ from skyfare.llm.common import documents
 from skyfare.llm.exact_dedup import exact_duplicates
 from skyfare.llm.fingerprints import document_fingerprints
 from skyfare.llm.html_text import extract_text
+from skyfare.llm.licenses import scan_licenses
 from skyfare.llm.packing import packed_documents
 from skyfare.llm.quality import quality_scores
 from skyfare.llm.sharding import shard_rows
@@ -29,6 +30,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op3_fingerprints": op3_fingerprints,
     "op5_sharding": op5_sharding,
+    "op6_licenses": op6_licenses,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
