@@ -13,6 +13,7 @@ from skyfare.llm.fingerprints import document_fingerprints
 from skyfare.llm.html_text import extract_text
 from skyfare.llm.licenses import scan_licenses
 from skyfare.llm.packing import packed_documents
+from skyfare.llm.pieces import encode_documents
 from skyfare.llm.quality import quality_scores
 from skyfare.llm.sharding import shard_rows
 from skyfare.llm.simhash import simhash_components
@@ -22,6 +23,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(documents(spark, sf_dir))
 
@@ -53,6 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
+    "op2_pieces": op2_pieces,
     "op3_fingerprints": op3_fingerprints,
     "op5_sharding": op5_sharding,
     "op6_licenses": op6_licenses,
