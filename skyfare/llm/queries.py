@@ -12,6 +12,7 @@ from skyfare.llm.exact_dedup import exact_duplicates
 from skyfare.llm.fingerprints import document_fingerprints
 from skyfare.llm.html_text import extract_text
 from skyfare.llm.licenses import scan_licenses
+from skyfare.llm.line_dedup import line_report
 from skyfare.llm.packing import packed_documents
 from skyfare.llm.pieces import encode_documents
 from skyfare.llm.quality import quality_scores
@@ -31,6 +32,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(documents(spark, sf_dir))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_pieces": op2_pieces,
     "op3_fingerprints": op3_fingerprints,
+    "op4_line_dedup": op4_line_dedup,
     "op5_sharding": op5_sharding,
     "op6_licenses": op6_licenses,
     "op7_exact_dedup": op7_exact_dedup,
