@@ -191,7 +191,13 @@ def read_page(source: str) -> Page:
 # --- weights -------------------------------------------------------------------------------------------
 
 #: Weights where no labelled page is at hand.
-PLAIN = {"word text": 1.0, "word link": -0.5, "word aside": -2.0}
+PLAIN = {
+    "word text": 1.0,
+    "word link": -0.5,
+    "word aside": -2.0,
+    **{f"tag {t}": 1.0 for t in "h1 h2 h3 h4 h5 h6 article main".split()},
+    **{f"tag {t}": 0.1 for t in "p pre blockquote br b i em strong code".split()},
+}
 UNSEEN_TAG = -1.0
 
 
