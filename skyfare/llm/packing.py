@@ -60,6 +60,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
                 found.append([(n, n * capacity, len(p) // 4, zlib.crc32(p)) for n, p in enumerate(pieces)])
             yield pd.Series(found)
 
+    cut = cut.asNondeterministic()  # or the plan would cut twice, once to see whether there are pieces
     cut_rows = docs.select(docs["doc_id"], cut(whole_text(docs)).alias("pieces")).select("doc_id", F.inline("pieces"))
     return cut_rows.withColumn("uid", F.monotonically_increasing_id())
 
