@@ -20,8 +20,17 @@ def safe_int(df: DataFrame, name: str) -> Column:
     return value.try_cast("bigint")
 
 
-def safe_double(name: str) -> Column:
-    return F.col(name).try_cast("double")
+def _java_number(text: Column) -> Column:
+    """Text that ends in one of Java's type suffixes ('1.5d'): the cast takes it, a data file does not."""
+    return text.rlike(r"[0-9.][dDfF]\s*$")
+
+
+def safe_double(name: str, df: DataFrame | None = None) -> Column:
+    """Number or NULL. With `df`, the guard against type suffixes is left out where the column is no text."""
+    value = F.col(name)
+    if df is None or isinstance(df.schema[name].dataType, T.StringType):
+        value = F.when(~_java_number(value.cast("string")), value)
+    return value.try_cast("double")
 
 
 def safe_string(df: DataFrame, name: str) -> Column:
@@ -36,8 +45,7 @@ def safe_string(df: DataFrame, name: str) -> Column:
 
 def clean_number(text: Column, tokens: Iterable[str] = MISSING_TOKENS) -> Column:
     """Number in `text`, or NULL for a missing-value token or anything that is not a number."""
-    # The cast also takes Java's type suffixes ('1.5d'), which are not numbers in a data file.
-    not_a_number = text.isin(list(tokens)) | text.rlike(r"[0-9.][dDfF]\s*$")
+    not_a_number = text.isin(list(tokens)) | _java_number(text)
     return F.when(~not_a_number, text).try_cast("double")
 
 

@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skyfare.operators.lookup import lookup_join
+from skyfare.scratch import hold
+
+
 def _n_records() -> Column:
     return F.count(F.lit(1)).alias("n_records")
 
@@ -27,16 +31,21 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[object]) -> Dat
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Rows of `child` whose `column` is not NULL and not found in the parent's column."""
-    known = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.where(F.col(column).isNotNull()).join(known, column, "left_anti").select(*child.columns)
+    """Rows of `child` whose `column` is not NULL and not found in the parent's column.
+
+    The values at fault are found on counted values; the rows are then looked up by them, so the rows
+    are not shuffled by a value that many of them share.
+    """
+    orphans = hold(orphan_values(child, column, parent, parent_column).select(column), "orphans")
+    return lookup_join(child, orphans, {column: column}, how="inner")
 
 
 def orphan_values(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """The failing values of `relationships` with their row counts. Rows are counted per value
     before the join, so a hot value is one row in the shuffle."""
-    counted = child.select(column).groupBy(column).agg(_n_records())
-    return relationships(counted, column, parent, parent_column)
+    counted = child.where(F.col(column).isNotNull()).groupBy(column).agg(_n_records())
+    known = parent.select(F.col(parent_column).alias(column)).distinct()
+    return counted.join(known, column, "left_anti").select(column, "n_records")
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:

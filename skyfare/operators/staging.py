@@ -26,13 +26,13 @@ def stg_yellow_trips(raw: DataFrame) -> DataFrame:
         pickup.alias("pickup_datetime"),
         dropoff.alias("dropoff_datetime"),
         whole("passenger_count").alias("passenger_count"),
-        safe_double("trip_distance").alias("trip_distance"),
+        safe_double("trip_distance", raw).alias("trip_distance"),
         whole("RatecodeID").alias("ratecode_id"),
         "store_and_fwd_flag",
         whole("PULocationID").alias("pickup_location_id"),
         whole("DOLocationID").alias("dropoff_location_id"),
         whole("payment_type").alias("payment_type_id"),
-        *[safe_double(name).alias(name) for name in amounts],
+        *[safe_double(name, raw).alias(name) for name in amounts],
         F.to_date(pickup).alias("pickup_date"),
         F.year(pickup).cast("bigint").alias("pickup_year"),
         F.month(pickup).cast("bigint").alias("pickup_month"),

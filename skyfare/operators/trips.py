@@ -41,11 +41,13 @@ _FACT_TRIP = [
     "trip_duration_seconds", "data_quality_check", "missing_values_flag",
 ]
 
+_SALT_BY = ["pickup_datetime", "dropoff_location_id", "vendor_id"]  # what tells trips of one zone and hour apart
+
 
 def with_station(trips: DataFrame, mapping: Held | DataFrame) -> DataFrame:
     """Add the weather station of the pickup zone."""
     side = measure(mapping).select("taxi_zone_id", *_STATION)
-    return lookup_join(trips, side, {"pickup_location_id": "taxi_zone_id"})
+    return lookup_join(trips, side, {"pickup_location_id": "taxi_zone_id"}, salt_by=_SALT_BY)
 
 
 def with_weather(
@@ -53,7 +55,8 @@ def with_weather(
 ) -> DataFrame:
     """Add weather of the hour the pickup falls in, at the trip's station."""
     side = measure(hourly).select("station", "observation_hour", *columns)
-    return lookup_join(trips, side, {station: "station", "pickup_hour_rounded": "observation_hour"})
+    on = {station: "station", "pickup_hour_rounded": "observation_hour"}
+    return lookup_join(trips, side, on, salt_by=_SALT_BY)
 
 
 def label_trips(

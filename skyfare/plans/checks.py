@@ -6,13 +6,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyfare.operators import quality
 from skyfare.scratch import hold
 from skyfare.sinks.tables import materialize
 
 
+_SUMMARY = "position int, check string, model string, column string, detail string, failures bigint"
+
+
 @dataclass(frozen=True)
 class Check:
     """One check: `kind` on `column` of `model`; what `args` holds depends on the kind.
@@ -67,9 +70,10 @@ def _row_failure(check: Check) -> Column | None:
     return None
 
 
-def _labels(check: Check) -> list[Column]:
+def _labels(position: int, check: Check) -> list[Column]:
     detail = check.args[0] if check.kind == "expression_is_true" else ""
     return [
+        F.lit(position).alias("position"),
         F.lit(check.kind).alias("check"),
         F.lit(check.model).alias("model"),
         F.lit(check.column).alias("column"),
@@ -77,18 +81,14 @@ def _labels(check: Check) -> list[Column]:
     ]
 
 
-def _row_checks_summary(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def _row_checks_summary(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
     """All row-at-a-time checks of one table, in one aggregate over one scan."""
-    counts = df.agg(
-        *[F.count_if(_row_failure(check)).alias(f"c{i}") for i, check in enumerate(checks)]
-    )
-    lines = [
-        F.struct(*_labels(check), F.col(f"c{i}").alias("failures")) for i, check in enumerate(checks)
-    ]
+    counts = df.agg(*[F.count_if(_row_failure(check)).alias(f"c{i}") for i, check in checks])
+    lines = [F.struct(*_labels(i, check), F.col(f"c{i}").alias("failures")) for i, check in checks]
     return counts.select(F.inline(F.array(*lines)))
 
 
-def _group_check_summary(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
+def _group_check_summary(models: Mapping[str, DataFrame], position: int, check: Check) -> DataFrame:
     if check.kind == "relationships":
         parent, parent_column = check.args
         orphans = quality.orphan_values(
@@ -98,25 +98,38 @@ def _group_check_summary(models: Mapping[str, DataFrame], check: Check) -> DataF
     else:
         orphans = failing_rows(models, check)
         failures = F.count(F.lit(1))
-    return orphans.agg(failures.alias("failures")).select(*_labels(check), "failures")
+    return orphans.agg(failures.alias("failures")).select(*_labels(position, check), "failures")
 
 
-def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: check, model, column, detail, failures.
-
-    Checks on single rows cost one scan per table however many there are.
-    """
-    by_model: dict[str, list[Check]] = {}
+def _summary(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """One row per check, with its position in the list."""
+    by_model: dict[str, list[tuple[int, Check]]] = {}
     parts: list[DataFrame] = []
-    for check in checks:
+    for i, check in enumerate(checks):
         if _row_failure(check) is not None:
-            by_model.setdefault(check.model, []).append(check)
+            by_model.setdefault(check.model, []).append((i, check))
         else:
-            parts.append(_group_check_summary(models, check))
+            parts.append(_group_check_summary(models, i, check))
     parts += [_row_checks_summary(models[model], group) for model, group in by_model.items()]
+    if not parts:
+        return SparkSession.active().createDataFrame([], _SUMMARY)
     return reduce(DataFrame.unionByName, parts)
 
 
+def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """One row per check: check, model, column, detail, failures.
+
+    Checks on single rows cost one scan per table however many there are.
+    """
+    return _summary(models, checks).drop("position")
+
+
+def check_names(checks: Sequence[Check]) -> list[str]:
+    """A name for each check; those of one kind on one column are numbered."""
+    names = [c.name for c in checks]
+    return [n if names.count(n) == 1 else f"{n}__{names[:i].count(n) + 1}" for i, n in enumerate(names)]
+
+
 def enforce_checks(
     models: Mapping[str, DataFrame],
     checks: Sequence[Check],
@@ -126,19 +139,18 @@ def enforce_checks(
     """Run the checks; with a `store_prefix`, keep the failing rows of each failed check in table
     `<store_prefix>_<check name>`; raise ChecksFailed if any check failed, else return the summary.
     """
-    summary = hold(run_checks(models, checks), "check-summary").df
-    # one row per check, so as small as the list of checks
-    counts = {(r.check, r.model, r.column): r.failures for r in summary.collect()}
+    if len(set(checks)) < len(checks):
+        raise ValueError("a check is listed twice")
+    summary = hold(_summary(models, checks), "check-summary").df
+    counts = {r.position: r.failures for r in summary.collect()}  # as small as the list of checks
     failed = []
-    for check in checks:
-        failures = counts[check.kind, check.model, check.column]
-        if not failures:
+    for i, (check, name) in enumerate(zip(checks, check_names(checks), strict=True)):
+        if not counts[i]:
             continue
-        failed.append((check.name, failures))
+        failed.append((name, counts[i]))
         if store_prefix is not None:
-            name = f"{store_prefix}_{check.name}"
-            path = f"{store_path}/{check.name}" if store_path else None
-            materialize(failing_rows(models, check), name, path=path)
+            path = f"{store_path}/{name}" if store_path else None
+            materialize(failing_rows(models, check), f"{store_prefix}_{name}", path=path)
     if failed:
         raise ChecksFailed(failed)
-    return summary
+    return summary.drop("position")

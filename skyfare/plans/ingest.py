@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+import json
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 from itertools import batched
 
 from py4j.protocol import Py4JJavaError
@@ -14,7 +16,7 @@ from skyfare.operators.projection import clean_numeric, parse_valid, project, wi
 from skyfare.operators.stations import station_lookup
 from skyfare.schemas import TRIPS, WEATHER
 from skyfare.scratch import Held, hold
-from skyfare.sinks.tables import append_evolving, ensure_table, materialize
+from skyfare.sinks.tables import aligned, append, append_evolving, ensure_table, evolve, wider
 from skyfare.sources.dimensions import stations_frame
 from skyfare.sources.files import file_stats, list_files, loaded_files, new_files, prune_files
 from skyfare.sources.trips import read_trips
@@ -23,14 +25,20 @@ from skyfare.sources.weather import read_weather
 FILES_PER_LOAD = 4096
 WEATHER_TABLE = T.StructType([*WEATHER.fields, T.StructField("valid_date", T.DateType())])
 
-# How Spark reports a file it cannot read, or files that do not fit together.
-_BAD_FILE = ("FAILED_READ_FILE", "CANNOT_MERGE_SCHEMAS", "is not a Parquet file", "CAST_INVALID_INPUT",
-             "CAST_OVERFLOW")
+# How Spark reports a file that it cannot read, and files whose schemas do not fit together.
+_BAD_FILE = ("FAILED_READ_FILE", "is not a Parquet file", "CANNOT_READ_FILE_FOOTER")
+_CLASH = ("CANNOT_MERGE", "COLUMN_ALREADY_EXISTS", "Failed to merge")
 
+Failures = list[tuple[str, str]]  # (path, reason)
 
-def _load_or_split(paths: Sequence[str], load: Callable[[Sequence[str]], None]) -> list[str]:
-    """Load files together; if one of them is bad, halve the set until only the bad ones are left
-    out. A load is one append, which adds nothing when it fails. Returns the files left out."""
+
+def _reason(error: Exception) -> str:
+    return str(error).strip().splitlines()[0][:500]
+
+
+def _load_or_split(paths: Sequence[str], load: Callable[[Sequence[str]], None]) -> Failures:
+    """Load files together; if one of them cannot be read, halve the set until only such files are
+    left out. A load is one append, which adds nothing when it fails. Any other error is raised."""
     try:
         load(paths)
         return []
@@ -38,29 +46,57 @@ def _load_or_split(paths: Sequence[str], load: Callable[[Sequence[str]], None])
         if not any(mark in str(error) for mark in _BAD_FILE):
             raise
         if len(paths) == 1:
-            return list(paths)
+            return [(paths[0], _reason(error))]
     middle = len(paths) // 2
     return _load_or_split(paths[:middle], load) + _load_or_split(paths[middle:], load)
 
 
-def _load_new(
-    spark: SparkSession, todo: DataFrame, table: str, load: Callable[[Sequence[str]], None]
-) -> DataFrame:
-    """Load the listed files, a bounded number at a time, and report (source_file, rows) for each:
-    0 rows for a file that is empty or could not be read, which is therefore tried again next time.
+def file_schemas(spark: SparkSession, paths: Sequence[str]) -> tuple[dict[str, list[str]], Failures]:
+    """Files grouped by schema (as JSON), from their footers, and the files without a readable one.
 
-    Only file names pass through the driver, where Spark keeps the names of the files of a scan.
+    Footers of files that fit together are read in one job; a set that does not fit is halved. No
+    rows are read.
     """
-    todo = hold(todo, "new-files").df
-    names = (row.path for row in todo.orderBy("path").toLocalIterator())
-    for paths in batched(names, FILES_PER_LOAD):
-        _load_or_split(paths, load)
-    if not spark.catalog.tableExists(table):
-        return todo.select("source_file", F.lit(0).cast("bigint").alias("rows"))
-    counts = file_stats(spark.table(table))
-    return todo.join(counts, "source_file", "left").select(
-        "source_file", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+    try:
+        schema = spark.read.option("mergeSchema", True).parquet(*paths).schema
+        return {schema.json(): list(paths)}, []
+    except (PySparkException, Py4JJavaError) as error:
+        if len(paths) == 1:
+            if not any(mark in str(error) for mark in (*_BAD_FILE, "UNABLE_TO_INFER_SCHEMA")):
+                raise
+            return {}, [(paths[0], _reason(error))]
+        if not any(mark in str(error) for mark in (*_BAD_FILE, *_CLASH, "UNABLE_TO_INFER_SCHEMA")):
+            raise
+    middle = len(paths) // 2
+    groups, failures = file_schemas(spark, paths[:middle])
+    more, failed = file_schemas(spark, paths[middle:])
+    for schema, files in more.items():
+        groups.setdefault(schema, []).extend(files)
+    return groups, failures + failed
+
+
+def _report(
+    spark: SparkSession, todo: DataFrame, table: str, ledger_column: str, failures: Failures, detailed: bool
+) -> DataFrame:
+    """(source_file, rows) of the files of this load; detailed: also outcome and reason."""
+    none = F.lit(0).cast("bigint")
+    if spark.catalog.tableExists(table):
+        of_load = spark.table(table).select(F.col(ledger_column).alias("source_file"))
+        counts = file_stats(of_load.join(todo.select("source_file"), "source_file", "left_semi"))
+        report = todo.join(counts, "source_file", "left").withColumn("rows", F.coalesce("rows", none))
+    else:
+        report = todo.withColumn("rows", none)
+    if not detailed:
+        return report.select("source_file", "rows")
+    known = spark.createDataFrame(failures, "path string, reason string")
+    outcome = F.when(F.col("reason").isNotNull(), "failed").when(F.col("rows") == 0, "empty").otherwise("loaded")
+    return report.join(known, "path", "left").select("source_file", "rows", outcome.alias("outcome"), "reason")
+
+
+def _batches(todo: DataFrame) -> Iterator[tuple[str, ...]]:
+    """Paths, a bounded number at a time. Only file names pass through the driver, where Spark keeps
+    the names of the files of a scan."""
+    return batched((row.path for row in todo.orderBy("path").toLocalIterator()), FILES_PER_LOAD)
 
 
 def weather_rows(
@@ -83,8 +119,10 @@ def ingest_weather(
     start: str | dt.date | None = None,
     end: str | dt.date | None = None,
     table_path: str | None = None,
+    detailed: bool = False,
 ) -> DataFrame:
-    """Append the weather files below `path` that `table` has not been loaded from; rows per file.
+    """Append the weather files below `path` that `table` has not been loaded from; rows per file,
+    with `detailed` also the outcome (loaded, empty, failed) and the reason of a failure.
 
     The table is partitioned by the day of the observation and sorted by station within files.
     """
@@ -93,23 +131,99 @@ def ingest_weather(
     ensure_table(spark, table, WEATHER_TABLE, ["valid_date"], table_path)
     known = stations_frame(spark, stations)
 
+    todo = hold(new_files(listed, loaded_files(spark, table)), "new-files").df
+    failures = load_weather_files(spark, todo, known, table, moment)
+    return _report(spark, todo, table, "source_file", failures, detailed)
+
+
+def load_weather_files(
+    spark: SparkSession, todo: DataFrame, stations: Held | DataFrame, table: str, moment: dt.datetime
+) -> Failures:
+    """Append the weather files that `todo` (path) lists."""
+
     def load(paths: Sequence[str]) -> None:
-        rows = weather_rows(read_weather(spark, *paths), known, moment)
+        rows = weather_rows(read_weather(spark, *paths), stations, moment)
         append_evolving(rows, table, ["station"])
 
-    return _load_new(spark, new_files(listed, loaded_files(spark, table)), table, load)
+    return [failure for paths in _batches(todo) for failure in _load_or_split(paths, load)]
 
 
-def trip_rows(raw: DataFrame, fields: Sequence[Mapping[str, str]] | None) -> DataFrame:
-    """Rows of trip files as rows of the raw trip table: configured fields, in the widest type the
-    models accept, so that files written with different number types fit one table."""
-    projected = raw
+def trip_rows(
+    raw: DataFrame, fields: Sequence[Mapping[str, str]] | None, ledger_column: str = "source_file"
+) -> DataFrame:
+    """Rows of trip files as rows of the raw trip table: the configured fields, or all."""
     if fields:
-        projected = project(raw, [*fields, {"name": "source_file"}])
-    known = {f.name: f.dataType for f in TRIPS.fields}
-    return projected.select(
-        *[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c) for c in projected.columns]
-    )
+        raw = project(raw, [*fields, {"name": "source_file"}])
+    return raw.withColumnRenamed("source_file", ledger_column)
+
+
+def _table_schema(schemas: Sequence[T.StructType], table: T.StructType | None) -> T.StructType:
+    """One schema for files of all `schemas`: a column in a type that holds the values of all of them,
+    and at least what the models expect of it. Names are matched without regard to letter case; of
+    several spellings the models' one counts, else the table's, else the first in order of text."""
+    expected = {f.name.lower(): f for f in TRIPS.fields}
+    merged: dict[str, T.StructField] = {f.name.lower(): f for f in (table.fields if table else ())}
+    fixed = set(merged)
+    for f in (f for s in schemas for f in s.fields):
+        key = f.name.lower()
+        now = merged.get(key)
+        if now is None:
+            model = expected.get(key)
+            name = model.name if model else f.name
+            kind = wider(model.dataType, f.dataType) if model else f.dataType
+        else:
+            name = now.name if key in fixed or key in expected else min(now.name, f.name)
+            kind = wider(now.dataType, f.dataType)
+        merged[key] = T.StructField(name, kind)
+    return T.StructType(list(merged.values()))
+
+
+def load_trip_files(
+    spark: SparkSession,
+    todo: DataFrame,
+    table: str,
+    fields: Sequence[Mapping[str, str]] | None,
+    table_path: str | None,
+    ledger_column: str,
+) -> Failures:
+    """Append the trip files that `todo` (path) lists.
+
+    The footers of all of them decide the table's columns and types before the first row is stored;
+    files are then read by schema, each group in one scan, and stored in one append per load.
+    """
+    failures: Failures = []
+    loads: list[dict[str, list[str]]] = []
+    for paths in _batches(todo):
+        groups, bad = file_schemas(spark, paths)
+        loads.append(groups)
+        failures += bad
+
+    def rows_of(schema: str, paths: Sequence[str]) -> DataFrame:
+        raw = read_trips(spark, *paths, schema=T.StructType.fromJson(json.loads(schema)))
+        return trip_rows(raw, fields, ledger_column)
+
+    results = {s: rows_of(s, files[:1]).schema for groups in loads for s, files in groups.items()}
+    if not results:
+        return failures
+    exists = spark.catalog.tableExists(table)
+    schema = _table_schema(list(results.values()), spark.table(table).schema if exists else None)
+    if exists:
+        evolve(spark, table, schema)
+    else:
+        ensure_table(spark, table, schema, path=table_path)
+    for groups in loads:
+        group_of = {path: s for s, files in groups.items() for path in files}
+
+        def load(paths: Sequence[str], group_of: Mapping[str, str] = group_of) -> None:
+            by_schema: dict[str, list[str]] = {}
+            for path in paths:
+                by_schema.setdefault(group_of[path], []).append(path)
+            parts = [aligned(rows_of(s, files), schema) for s, files in by_schema.items()]
+            append(reduce(DataFrame.unionByName, parts), table)
+
+        if group_of:
+            failures += _load_or_split(sorted(group_of), load)
+    return failures
 
 
 def ingest_trips(
@@ -118,15 +232,15 @@ def ingest_trips(
     table: str,
     fields: Sequence[Mapping[str, str]] | None = None,
     table_path: str | None = None,
+    ledger_column: str = "source_file",
+    detailed: bool = False,
 ) -> DataFrame:
-    """Append the trip files below `path` that `table` has not been loaded from; rows per file."""
-    listed = list_files(spark, path, "*.parquet")
+    """Append the trip files below `path` that `table` has not been loaded from; rows per file, with
+    `detailed` also the outcome (loaded, empty, failed) and the reason of a failure.
 
-    def load(paths: Sequence[str]) -> None:
-        rows = trip_rows(read_trips(spark, *paths), fields)
-        if spark.catalog.tableExists(table):
-            append_evolving(rows, table)
-        else:
-            materialize(rows, table, "error", path=table_path)
-
-    return _load_new(spark, new_files(listed, loaded_files(spark, table)), table, load)
+    `ledger_column` is the table's column with the name of each row's file.
+    """
+    listed = list_files(spark, path, "*.parquet")
+    todo = hold(new_files(listed, loaded_files(spark, table, ledger_column)), "new-files").df
+    failures = load_trip_files(spark, todo, table, fields, table_path, ledger_column)
+    return _report(spark, todo, table, ledger_column, failures, detailed)

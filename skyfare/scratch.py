@@ -49,6 +49,7 @@ class Held:
     df: DataFrame
     rows: int
     widths: Mapping[str, int]
+    path: str | None = None
 
     @property
     def size(self) -> int:
@@ -64,12 +65,27 @@ class Held:
         )
 
 
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+
+def _variable_bytes(field: T.StructField) -> Column | None:
+    """Bytes of a value beyond its fixed width; of nested values, those of their text form."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.octet_length(c)
+    if isinstance(field.dataType, _NESTED):
+        return F.octet_length(F.to_json(F.struct(c)))
+    if isinstance(field.dataType, T.DecimalType) and field.dataType.precision > 18:
+        return F.lit(16)
+    return None
+
+
 def _totals(df: DataFrame) -> list[Column]:
-    """Aggregates for the row count and for the text bytes of each text column."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    """Aggregates for the row count and for the bytes of each column of variable width."""
+    variable = [(f.name, b) for f in df.schema.fields if (b := _variable_bytes(f)) is not None]
     return [
         F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.octet_length(F.col(f"`{c}`")).cast("bigint")).alias(f"text_{c}") for c in text],
+        *[F.sum(b.cast("bigint")).alias(f"text_{c}") for c, b in variable],
     ]
 
 
@@ -85,7 +101,8 @@ def hold(df: DataFrame, name: str = "held") -> Held:
     path = scratch_path(spark, name)
     seen = Observation()
     df.observe(seen, *_totals(df)).write.parquet(path)
-    return _sized(spark.read.schema(df.schema).parquet(path), seen.get)
+    sized = _sized(spark.read.schema(df.schema).parquet(path), seen.get)
+    return Held(sized.df, sized.rows, sized.widths, path)
 
 
 def measure(table: Held | DataFrame) -> Held:

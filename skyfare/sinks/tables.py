@@ -18,15 +18,17 @@ _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @contextmanager
-def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
-    """Whether an overwrite replaces the whole table (static) or its own partitions (dynamic). Set
-    on the session, because a table keeps the options it was written with."""
+def _replacing_all(spark: SparkSession) -> Iterator[None]:
+    """An overwrite replaces the whole table (static), whatever the session says. Set on the session,
+    because a table keeps the options it was written with; nothing here ever sets it to dynamic."""
     before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, mode)
+    if before.lower() != "static":
+        spark.conf.set(_OVERWRITE_MODE, "static")
     try:
         yield
     finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+        if before.lower() != "static":
+            spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def laid_out(
@@ -55,7 +57,7 @@ def materialize(
         writer = writer.partitionBy(*partition_by)
     if path is not None:
         writer = writer.option("path", path)
-    with _overwriting(df.sparkSession, "static"):
+    with _replacing_all(df.sparkSession):
         writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -77,12 +79,57 @@ def ensure_table(
         materialize(spark.createDataFrame([], schema), name, "error", partition_by, path=path)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FLOATING = (T.FloatType, T.DoubleType)
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both; TypeError if there is none."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    pair = (a, b)
+    if all(isinstance(x, _INTEGRAL) for x in pair):
+        return max(pair, key=lambda x: _INTEGRAL.index(type(x)))
+    if all(isinstance(x, (*_INTEGRAL, *_FLOATING, T.DecimalType)) for x in pair):
+        if any(isinstance(x, _FLOATING) for x in pair):
+            return T.DoubleType()
+        decimals = [x if isinstance(x, T.DecimalType) else T.DecimalType(20, 0) for x in pair]
+        scale = max(x.scale for x in decimals)
+        whole = max(x.precision - x.scale for x in decimals)
+        return T.DecimalType(min(38, whole + scale), scale) if whole + scale <= 38 else T.DoubleType()
+    if any(isinstance(x, T.StringType) for x in pair) and not any(
+        isinstance(x, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for x in pair
+    ):
+        return T.StringType()
+    times = {T.DateType, T.TimestampType, T.TimestampNTZType}
+    if {type(x) for x in pair} <= times and T.DateType in {type(x) for x in pair}:
+        return next(x for x in pair if not isinstance(x, T.DateType))
+    raise TypeError(f"no type holds both {a.simpleString()} and {b.simpleString()}")
+
+
+def widened(have: T.StructType, more: T.StructType) -> T.StructType:
+    """The columns of `have`, then those that only `more` has, each in a type that holds both. Names
+    are matched without regard to letter case, as Spark does; `have` decides how they are written."""
+    named = {f.name.lower(): f for f in more.fields}
+    known = {f.name.lower() for f in have.fields}
+    both = [
+        T.StructField(f.name, wider(f.dataType, named[f.name.lower()].dataType) if f.name.lower() in named else f.dataType)
+        for f in have.fields
+    ]
+    added = [T.StructField(f.name, f.dataType) for f in more.fields if f.name.lower() not in known]
+    return T.StructType([*both, *added])
+
+
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     """`df` with exactly the columns and types of `schema`: absent ones NULL, others cast."""
-    have = set(df.columns)
+    have = {c.lower(): c for c in df.columns}
     return df.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
             for f in schema.fields
         ]
     )
@@ -93,21 +140,50 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def append(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
-    """Add rows to an existing table, columns matched by name, laid out by the table's partitions."""
+    """Add rows to an existing table, columns matched by name, laid out by the table's partitions.
+
+    Columns that the table lacks, or whose values its types cannot hold, are an error.
+    """
     spark = df.sparkSession
-    rows = aligned(df, spark.table(table).schema)
+    schema = spark.table(table).schema
+    known = {f.name.lower() for f in schema.fields}
+    surplus = [c for c in df.columns if c.lower() not in known]
+    if surplus:
+        raise ValueError(f"{table} has no column {', '.join(surplus)}")
+    for now, then in zip(schema.fields, widened(schema, df.schema).fields, strict=True):
+        if now.dataType != then.dataType:
+            raise ValueError(
+                f"{table}.{now.name} is {now.dataType.simpleString()} and needs {then.dataType.simpleString()}"
+            )
+    rows = aligned(df, schema)
     laid_out(rows, partition_columns(spark, table), cluster_by).write.insertInto(table)
 
 
-def append_evolving(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
-    """Add rows to an existing table; columns the table lacks are added to it first, and are NULL
-    in the rows it already has."""
-    spark = df.sparkSession
-    have = set(spark.table(table).columns)
-    added = [f for f in df.schema.fields if f.name not in have]
+def _external_path(spark: SparkSession, table: str) -> str | None:
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return about.get("Location") if about.get("Type") == "EXTERNAL" else None
+
+
+def evolve(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Give an existing table the columns of `schema` that it lacks, NULL in its rows, and types that
+    hold those of `schema` too. A column whose type changes makes the table be written anew."""
+    have = spark.table(table).schema
+    want = widened(have, schema)
+    if any(now.dataType != then.dataType for now, then in zip(have.fields, want.fields, strict=False)):
+        parts = partition_columns(spark, table)
+        ready = hold(aligned(spark.table(table), want), "widened").df
+        materialize(ready, table, "overwrite", parts, path=_external_path(spark, table))
+        return
+    added = want.fields[len(have.fields) :]
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+
+
+def append_evolving(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
+    """Add rows to an existing table; columns the table lacks are added to it first, and are NULL
+    in the rows it already has; a type that cannot hold the new values becomes wider."""
+    evolve(df.sparkSession, table, df.schema)
     append(df, table, cluster_by)
 
 
@@ -167,6 +243,10 @@ def upsert(
     kept = in_reach.join(rows.select(*keys).distinct(), list(keys), "left_anti")
     merged = kept.select(*target.columns).unionByName(aligned(rows, target.schema))
     # a table cannot be overwritten while it is read, so the merged partitions are held first
-    ready = hold(merged, "upsert-merged").df
-    with _overwriting(spark, "dynamic"):
-        laid_out(ready, [partition_by], cluster_by).write.insertInto(table, overwrite=True)
+    ready = hold(merged, "upsert-merged")
+    # the mode belongs to a session, and others may be writing in this one
+    apart = spark.newSession()
+    apart.conf.set(_OVERWRITE_MODE, "dynamic")
+    again = apart.read.schema(ready.df.schema).parquet(ready.path)
+    laid_out(again, [partition_by], cluster_by).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from skyfare.functions.names import scanned_file
 
 
-def read_trips(spark: SparkSession, *paths: str, glob: str = "*.parquet") -> DataFrame:
-    """Trips of all files in one scan, schema from the files, plus the name of each row's file."""
-    trips = (
-        spark.read.option("mergeSchema", True)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .parquet(*paths)
-    )
+def read_trips(
+    spark: SparkSession, *paths: str, glob: str = "*.parquet", schema: T.StructType | None = None
+) -> DataFrame:
+    """Trips of all files in one scan, plus the name of each row's file; the schema is taken from the
+    files unless it is given."""
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    trips = reader.parquet(*paths)
     return trips.select(*trips.columns, scanned_file().alias("source_file"))
 
 

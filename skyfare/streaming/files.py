@@ -9,34 +9,45 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyfare.functions.names import scanned_file
-from skyfare.plans.ingest import WEATHER_TABLE, trip_rows, weather_rows
-from skyfare.schemas import TRIPS
-from skyfare.sinks.tables import append, ensure_table
+from skyfare.plans.ingest import WEATHER_TABLE, load_trip_files, load_weather_files
+from skyfare.scratch import hold
+from skyfare.sinks.tables import ensure_table
 from skyfare.sources.dimensions import stations_frame
-from skyfare.sources.files import loaded_files
-from skyfare.sources.weather import lines_of, parse_weather_lines
+from skyfare.sources.files import loaded_files, new_files
+
+
+def _new_names(spark: SparkSession, path: str, glob: str, files_per_batch: int) -> DataFrame:
+    """A stream of the names of files that appear below `path`; their contents are not read."""
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(path)
+    )
+    return names.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"))
 
 
 def _drain(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, table: str
+    names: DataFrame, load: Callable[[DataFrame], None], checkpoint: str, table: str, ledger_column: str
 ) -> None:
+    def write(batch: DataFrame, _: int) -> None:
+        listed = hold(batch, "stream-files").df
+        load(hold(new_files(listed, loaded_files(listed.sparkSession, table, ledger_column)), "new-files").df)
+
     query = (
-        stream.writeStream.foreachBatch(write)
+        names.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     # micro-batches write from a session of their own
-    stream.sparkSession.catalog.refreshTable(table)
-
-
-def _not_loaded(batch: DataFrame, table: str) -> DataFrame:
-    ledger = loaded_files(batch.sparkSession, table)
-    return batch.join(ledger, "source_file", "left_anti").select(*batch.columns)
+    if names.sparkSession.catalog.tableExists(table):
+        names.sparkSession.catalog.refreshTable(table)
 
 
 def stream_trips(
@@ -45,28 +56,20 @@ def stream_trips(
     table: str,
     checkpoint: str,
     fields: Sequence[Mapping[str, str]] | None = None,
-    schema: T.StructType | None = None,
     files_per_batch: int = 1000,
     table_path: str | None = None,
+    ledger_column: str = "source_file",
 ) -> None:
     """Append the trips of new Parquet files below `path` to `table`.
 
-    A stream has one schema: files written with other types, or damaged, stop it. `ingest_trips`
-    leaves such files out instead.
+    The stream is of file names; each micro-batch loads its files as `ingest_trips` does, with all
+    their columns. A file that cannot be read is left out, and not tried again by this stream.
     """
-    read_as = schema or T.StructType([f for f in TRIPS.fields if f.name != "source_file"])
-    trips = (
-        spark.readStream.schema(read_as)
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
-    )
-    rows = trip_rows(
-        trips.select(*trips.columns, scanned_file().alias("source_file")), fields
-    )
-    ensure_table(spark, table, rows.schema, path=table_path)
-    _drain(rows, lambda batch, _: append(_not_loaded(batch, table), table), checkpoint, table)
+
+    def load(todo: DataFrame) -> None:
+        load_trip_files(todo.sparkSession, todo, table, fields, table_path, ledger_column)
+
+    _drain(_new_names(spark, path, "*.parquet", files_per_batch), load, checkpoint, table, ledger_column)
 
 
 def stream_weather(
@@ -80,19 +83,11 @@ def stream_weather(
     table_path: str | None = None,
 ) -> None:
     """Append the observations of new weather files below `path` to `table`."""
-    text = (
-        spark.readStream.option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .text(path)
-    )
-    lines = lines_of(text)
     ensure_table(spark, table, WEATHER_TABLE, ["valid_date"], table_path)
-    known = stations_frame(spark, stations)
 
-    def write(batch: DataFrame, _: int) -> None:
+    def load(todo: DataFrame) -> None:
+        session = todo.sparkSession
         moment = processed_at or dt.datetime.now(dt.timezone.utc)
-        rows = weather_rows(parse_weather_lines(_not_loaded(batch, table)), known, moment)
-        append(rows, table, ["station"])
+        load_weather_files(session, todo, stations_frame(session, stations), table, moment)
 
-    _drain(lines, write, checkpoint, table)
+    _drain(_new_names(spark, path, "*.csv", files_per_batch), load, checkpoint, table, "source_file")
