@@ -17,17 +17,21 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import cached_property
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyfare.llm.common import whole_text
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-MOST_UNITS = 800_000
+MOST_UNITS = 400_000
+AT_ONCE = 1 << 20
 _UNKNOWN = " ⁇ "
 
 
@@ -145,8 +149,12 @@ class PieceModel:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text; a space is put before it, as the model's pieces expect."""
+        return np.frombuffer(self.octets(text), np.intc)
+
+    def octets(self, text: str) -> bytes:
+        """The ids of a text as native 32-bit numbers."""
         if not text:
-            return np.empty(0, np.intc)
+            return b""
         units = self._units.findall(SPACE + text.replace(" ", SPACE))
         known = self._known
         if len(known) > MOST_UNITS:
@@ -154,7 +162,7 @@ class PieceModel:
         for u in units:
             if u not in known:
                 known[u] = array("i", self.viterbi(u)).tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, units)), np.intc)
+        return b"".join(map(known.__getitem__, units))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: byte pieces as UTF-8, the pieces' spaces as spaces, without the first one."""
@@ -186,19 +194,41 @@ def decoded(ids: Column, model_path: str) -> Column:
     return texts(ids)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of bounded text, so that ids and texts of few rows are held at once."""
+    sizes = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + AT_ONCE, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, ids, n_ids, decoded_sha256, round_trip.
 
     Null text counts as empty and has no ids. round_trip tells whether decoding gives the text again;
     a text that holds the pieces' own sign for a space does not come back.
     """
-    text = whole_text(docs)
-    rows = docs.select(docs["doc_id"], text.alias("text"), encoded(text, model_path).alias("ids"))
-    back = rows.withColumn("back", decoded(F.col("ids"), model_path))
-    return back.select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("bigint").alias("n_ids"),
-        F.sha2("back", 256).alias("decoded_sha256"),
-        (F.col("back") == F.col("text")).alias("round_trip"),
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = PieceModel.load(model_path)
+        for batch in batches:
+            for part in _slices(batch):
+                texts = part["text"].to_pylist()
+                octets = [model.octets(t) for t in texts]
+                back = [model.decode(np.frombuffer(o, np.intc).tolist()) for o in octets]
+                sizes = np.array([len(o) // 4 for o in octets], np.int64)
+                values = pa.array(np.frombuffer(b"".join(octets), np.intc))
+                ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), values)
+                digests = [sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]
+                same = [b == t for b, t in zip(back, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], ids, pa.array(sizes), pa.array(digests, pa.string()), pa.array(same, pa.bool_())],
+                    ["doc_id", "ids", "n_ids", "decoded_sha256", "round_trip"],
+                )
+
+    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text")).mapInArrow(
+        run, "doc_id bigint, ids array<int>, n_ids bigint, decoded_sha256 string, round_trip boolean"
     )
