@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from skyfare import operators as op
 from skyfare.functions import safe_double, safe_int
 from skyfare.operators import quality
+from skyfare.operators.lookup import BROADCAST_SETTING
 from skyfare.plans import (
     Check,
     Sources,
@@ -206,6 +207,24 @@ def daily_weather_impact(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(op.daily_weather_impact(_fact(spark, sf)))
 
 
+def _shuffled(name: str) -> Query:
+    """A query with every lookup joined by shuffle, however small it is."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        before = spark.conf.get(BROADCAST_SETTING, None)
+        spark.conf.set(BROADCAST_SETTING, "0")
+        try:
+            return QUERIES[name](spark, sf)
+        finally:
+            spark.conf.unset(BROADCAST_SETTING) if before is None else spark.conf.set(BROADCAST_SETTING, before)
+
+    return run
+
+
+QUERIES["trips_validated_shuffled"] = _shuffled("trips_validated")
+QUERIES["daily_weather_impact_shuffled"] = _shuffled("daily_weather_impact")
+
+
 @query
 def zone_weather_performance(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(op.zone_weather_performance(_fact(spark, sf)))
@@ -272,12 +291,17 @@ def safe_casts(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_id") % 3 == 0, F.col("event_type"))
         .otherwise(F.col("user_id").cast("string"))
         .alias("mixed"),
+        F.concat(
+            F.col("user_id").cast("string"),
+            F.element_at(F.array(*[F.lit(s) for s in ("", "d", ".5f", ".5")]), (F.col("event_id") % 4 + 1).cast("int")),
+        ).alias("suffixed"),
     )
     return events.select(
         "event_id",
         safe_int(events, "half").alias("half_as_int"),
         safe_int(events, "mixed").alias("mixed_as_int"),
         safe_double("mixed").alias("mixed_as_double"),
+        safe_double("suffixed").alias("suffixed_as_double"),
     )
 
 
@@ -557,6 +581,65 @@ def stream_trips_(spark: SparkSession, sf: str) -> DataFrame:
     return _trip_state(spark, name)
 
 
+def _write_fee_files(spark: SparkSession, sf: str) -> str:
+    """Trip files with a further column: whole in one, with fractions and in other letters in another."""
+    path = scratch_path(spark, "trip-files")
+    trips = fx.trips_a(spark, sf)
+    fees = {
+        "click": F.col("payment_type").alias("airport_fee"),
+        "purchase": (F.col("fare_amount") / 4).alias("Airport_fee"),
+    }
+    for kind in ("click", "purchase", "view"):
+        part = trips.where(F.col("source_file") == kind).drop("source_file")
+        part = part.select("*", fees[kind]) if kind in fees else part
+        part.write.option("mapreduce.output.basename", f"{kind}_2024").mode("append").parquet(path)
+    return path
+
+
+@query
+def ingest_trips_extra_columns(spark: SparkSession, sf: str) -> DataFrame:
+    path = _write_fee_files(spark, sf)
+    name, place = new_table(spark, "trips")
+    ingest_trips(spark, path, name, table_path=place)
+    return _trip_state(spark, name)
+
+
+@query
+def stream_trips_extra_columns(spark: SparkSession, sf: str) -> DataFrame:
+    path = _write_fee_files(spark, sf)
+    name, place = new_table(spark, "trips")
+    stream_trips(spark, path, name, scratch_path(spark, "stream"), files_per_batch=1, table_path=place)
+    # the file that comes first decides about letter case
+    return _trip_state(spark, name).withColumnRenamed("airport_fee", "Airport_fee")
+
+
+@query
+def ingest_trips_ledger_column(spark: SparkSession, sf: str) -> DataFrame:
+    """The file names go to a column of another name; loaded twice, the second time nothing is new."""
+    path = _write_trip_files(spark, sf)
+    name, place = new_table(spark, "trips")
+    for _ in range(2):
+        ingest_trips(spark, path, name, table_path=place, ledger_column="loaded_from")
+    return tidy(
+        spark.table(name).withColumn("loaded_from", F.substring_index("loaded_from", "_", 1))
+    )
+
+
+@query
+def ingest_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and outcome per kind of file; one file has no rows."""
+    path = _write_trip_files(spark, sf)
+    trips = fx.trips_a(spark, sf).drop("source_file").where(F.lit(False)).coalesce(1)
+    trips.write.option("mapreduce.output.basename", "none_2024").mode("append").parquet(path)
+    name, place = new_table(spark, "trips")
+    report = ingest_trips(spark, path, name, table_path=place, detailed=True)
+    kind = F.substring_index("source_file", "_", 1).alias("source_file")
+    totals = report.groupBy(kind).agg(F.sum("rows").alias("rows"), F.max("reason").alias("reason"))
+    outcome = F.when(F.col("rows") > 0, "loaded").otherwise("empty")
+    agreed = report.where((F.col("outcome") == "loaded") != (F.col("rows") > 0)).count() == 0
+    return totals.select("source_file", "rows", F.when(F.lit(agreed), outcome).alias("outcome"), "reason")
+
+
 # --- tables --------------------------------------------------------------------------------------
 
 FACT_KEYS = ["pickup_datetime", "pickup_location_id", "dropoff_location_id", "vendor_id"]
@@ -610,7 +693,6 @@ def upsert_keys(spark: SparkSession, sf: str) -> DataFrame:
     batch = (
         _slim(spark, sf)
         .where(F.col("pickup_date") >= dt.date(2024, 1, 12))
-        .where(F.col("fare_amount") >= 20)
         .withColumn("fare_amount", F.col("fare_amount") + 1000)
     )
     for _ in range(2):
@@ -634,6 +716,31 @@ def append_evolving_(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _amounts(spark: SparkSession, sf: str, what: str, later_name: str, whole: bool) -> DataFrame:
+    """A table of amounts, whole or not, and later ones with fractions under the name `later_name`."""
+    items = fx.table(spark, sf, "lineitem")
+    name, place = new_table(spark, what)
+    settled = F.col("l_returnflag") != "N"
+    quantity = F.col("l_quantity").cast("bigint") if whole else F.col("l_quantity")
+    base = items.where(settled).select("l_orderkey", quantity.alias("amount"))
+    ensure_table(spark, name, base.schema, path=place)
+    append(base, name)
+    append_evolving(items.where(~settled).select("l_orderkey", F.col("l_extendedprice").alias(later_name)), name)
+    return tidy(spark.table(name).select("l_orderkey", "amount"))
+
+
+@query
+def append_widening(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts with fractions come to a table of whole ones."""
+    return _amounts(spark, sf, "widening", "amount", whole=True)
+
+
+@query
+def append_letter_case(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts come under the same name in other letters."""
+    return _amounts(spark, sf, "letters", "AMOUNT", whole=False)
+
+
 @query
 def partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Orders in a table partitioned by month and clustered by customer, read back."""
@@ -702,6 +809,24 @@ def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
     return run_checks(models, model_checks())
 
 
+@query
+def dq_two_expressions_one_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Two checks of one kind on one column, both failing, each with a table of its own."""
+    models = {"stg": _stg(spark, sf)}
+    checks = [Check("expression_is_true", "stg", "fare_amount", (e,)) for e in ("fare_amount >= 0", "fare_amount < 40")]
+    prefix, place = new_table(spark, "failures")
+    names = []
+    try:
+        enforce_checks(models, checks, prefix, place)
+    except ChecksFailed as failed:
+        names = [name for name, _ in failed.failed]
+    stored = [
+        spark.table(f"{prefix}_{name}").agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("name"), "failures")
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, stored)
+
+
 @query
 def dq_stored_failures(spark: SparkSession, sf: str) -> DataFrame:
     """Failing rows kept in a table when a check fails."""
