@@ -20,7 +20,7 @@ from skyfare.operators.marts import (
 from skyfare.operators.projection import clean_numeric, fill_trip_nulls, parse_valid, project, with_lineage
 from skyfare.operators.staging import stg_weather_data, stg_yellow_trips
 from skyfare.operators.stations import latest_per_station, station_lookup, zone_station_mapping
-from skyfare.operators.trips import label_trips, trips_validated, trips_with_weather, with_station, with_weather
+from skyfare.operators.trips import facts, label_trips, trips_validated, trips_with_weather, with_station, with_weather
 from skyfare.operators.weather import weather_hourly
 
 __all__ = [
@@ -33,6 +33,7 @@ __all__ = [
     "daily_weather_impact",
     "expected_trip_files",
     "expected_weather_files",
+    "facts",
     "fill_trip_nulls",
     "label_trips",
     "latest_per_station",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -60,13 +61,17 @@ def with_weather(
 
 
 def label_trips(
-    trips: DataFrame, as_of: dt.date | None = None, min_date: dt.date = DEFAULT_MIN_DATE
+    trips: DataFrame,
+    as_of: dt.date | None = None,
+    min_date: dt.date = DEFAULT_MIN_DATE,
+    taken_along: Sequence[str] = (),
 ) -> DataFrame:
     """Quality labels and null filling. Both read the columns as joined, so they are one projection:
     filling first would hide what the labels look for."""
     filled = fill_trip_nulls()
     return trips.select(
         *[filled.get(name, F.col(name)).alias(name) for name in _VALIDATED],
+        *[name for name in taken_along if name not in _VALIDATED],
         data_quality_check(min_date, as_of).alias("data_quality_check"),
         missing_values_flag().alias("missing_values_flag"),
         is_valid_date(F.col("pickup_datetime"), min_date, as_of).alias("is_valid_pickup_date"),
@@ -96,10 +101,40 @@ def trips_with_weather(
     """
     valid = validated.where(F.col("data_quality_check") == VALID)
     located = with_station(valid.drop(*_STATION, "weather_condition"), mapping)
-    return with_weather(located, hourly, _HOUR_WEATHER).select(
+    return _as_facts(with_weather(located, hourly, _HOUR_WEATHER))
+
+
+def _as_facts(trips: DataFrame) -> DataFrame:
+    return trips.select(
         *_FACT_TRIP,
         F.col("station_id").alias("weather_station"),
         "station_name",
         "station_zone",
         *_HOUR_WEATHER,
     )
+
+
+def _listed_once(lookup: Held, *keys: str) -> bool:
+    """Whether no key of the lookup is listed twice."""
+    return lookup.df.groupBy(*keys).count().where("count > 1").isEmpty()
+
+
+def facts(
+    staged: DataFrame,
+    mapping: Held | DataFrame,
+    hourly: Held | DataFrame,
+    as_of: dt.date | None = None,
+    min_date: dt.date = DEFAULT_MIN_DATE,
+) -> DataFrame:
+    """The fact table straight from the staged trips, with the rows of
+    `trips_with_weather(trips_validated(...))`.
+
+    Where no zone and no hour of a station is listed twice, looking them up again would find what the
+    first lookup found, so the weather is taken along from it: two joins of the trips, not four.
+    """
+    mapping, hourly = measure(mapping), measure(hourly)
+    if not (_listed_once(mapping, "taxi_zone_id") and _listed_once(hourly, "station", "observation_hour")):
+        return trips_with_weather(trips_validated(staged, mapping, hourly, as_of, min_date), mapping, hourly)
+    joined = with_weather(with_station(staged, mapping), hourly, _HOUR_WEATHER)
+    labelled = label_trips(joined, as_of, min_date, _HOUR_WEATHER)
+    return _as_facts(labelled.where(F.col("data_quality_check") == VALID))

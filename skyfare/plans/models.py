@@ -19,7 +19,7 @@ from skyfare.operators.marts import (
 )
 from skyfare.operators.staging import stg_weather_data, stg_yellow_trips
 from skyfare.operators.stations import zone_station_mapping
-from skyfare.operators.trips import trips_validated, trips_with_weather
+from skyfare.operators.trips import facts, trips_validated, trips_with_weather
 from skyfare.operators.weather import weather_hourly
 from skyfare.scratch import Held, hold, measure
 from skyfare.sinks.tables import append, incremental, materialize
@@ -133,16 +133,18 @@ def build_models(
     validated = table(
         "int_yellow_trips_validated",
         trips_validated(m["stg_yellow_trips"], mapping, hourly, as_of, min_date),
+        ["pickup_date"],
     )
-    fact = trips_with_weather(validated, mapping, hourly)
-    m["fct_taxi_trips_with_weather"] = (
-        fact if store is None else load_fact(store, fact, full_refresh)
-    )
+    if store is None:
+        fact = facts(m["stg_yellow_trips"], mapping, hourly, as_of, min_date)
+    else:
+        # from the stored trips: an increment reads only the days above the fact table's mark
+        fact = load_fact(store, trips_with_weather(validated, mapping, hourly), full_refresh)
+    m["fct_taxi_trips_with_weather"] = fact
     table("mart_daily_trips_all", daily_trips_all(validated), ["trip_date"])
     table("mart_daily_trips_valid", daily_trips_valid(validated), ["trip_date"])
     table("mart_daily_trips_data_quality", daily_data_quality(validated), ["report_date"])
     table("mart_zone_analysis", zone_analysis(sources.taxi_zone, validated))
-    fact = m["fct_taxi_trips_with_weather"]
     table("mart_daily_weather_impact", daily_weather_impact(fact))
     table("mart_zone_weather_performance", zone_weather_performance(fact))
     return m

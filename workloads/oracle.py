@@ -687,6 +687,11 @@ def oracle_sql() -> dict[str, str]:
                    {num('fare')} AS fare_amount
             FROM stg WHERE NOT (fare >= 0)"""),
     }
+    renamed = FACT_A.replace("code || ' airfield' AS station_name", "code || ' airfield' || CASE WHEN value < 40 THEN ' north' ELSE ' south' END AS station_name")
+    queries["trips_with_weather_renamed"] = sql(renamed, f"""
+        SELECT {day('pu_date')} AS pickup_date, weather_station, station_name, weather_condition,
+               count(*) AS trips, {num('sum(fare)')} AS fares
+        FROM fact GROUP BY ALL""")
     # the same results by the other form of the lookup joins
     for name in ("trips_validated", "daily_weather_impact"):
         queries[f"{name}_shuffled"] = queries[name]

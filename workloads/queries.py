@@ -108,8 +108,7 @@ def _validated(spark: SparkSession, sf: str, lookups: tuple[Held, Held] | None =
 
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    mapping, hourly = lookups = _lookups(spark, sf)
-    return op.trips_with_weather(_validated(spark, sf, lookups), mapping, hourly)
+    return op.facts(_stg(spark, sf), *_lookups(spark, sf), fx.A_AS_OF, fx.A_MIN_DATE)
 
 
 @query
@@ -172,6 +171,24 @@ def trips_with_weather(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(_fact(spark, sf))
 
 
+@query
+def trips_with_weather_renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Stations are renamed between observations, so an hour may be listed twice: both lookups then
+    multiply the trip, and the fact table has each of its rows k times k."""
+    weather = fx.weather_a(spark, sf)
+    renamed = weather.withColumn(
+        "station_name", F.concat("station_name", F.when(F.col("tmpf") < 40, " north").otherwise(" south"))
+    )
+    mapping = op.zone_station_mapping(fx.taxi_zone(spark, sf), borough_station(spark, fx.BOROUGHS), renamed)
+    lookups = hold(mapping, "mapping"), hold(op.weather_hourly(op.stg_weather_data(renamed)), "hourly")
+    fact = op.facts(_stg(spark, sf), *lookups, fx.A_AS_OF, fx.A_MIN_DATE)
+    return tidy(
+        fact.groupBy("pickup_date", "weather_station", "station_name", "weather_condition").agg(
+            F.count(F.lit(1)).alias("trips"), F.sum("fare_amount").alias("fares")
+        )
+    )
+
+
 @query
 def daily_trips_all(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(op.daily_trips_all(_validated(spark, sf)))
