@@ -21,7 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyfare.llm.common import held, whole_text
+from skyfare.operators.lookup import lookup_join
+from skyfare.scratch import Held, hold
 
+BROADCAST_BYTES = 32 << 20  # of measured tables of line numbers and words
 NUM, DEN = 4, 5  # the likeness, as a fraction
 LEAST_WORDS = 4  # sets of fewer words are alike only if they are equal
 _SPACE = "[ \\\\t\\\\x0B\\\\f\\\\r]+"
@@ -140,12 +143,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
     # lines with one and the same set of words
     place = F.struct("doc_id", "doc", "line")
-    sets = tokened.select(F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), place.alias("place"))
-    first = sets.groupBy("s1", "s2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-    same = held(
-        sets.join(first.filter("n > 1"), ["s1", "s2"]).filter("place <> first").select("place.doc", "place.line").distinct(),
-        "same-lines",
+    sets = held(
+        tokened.select(F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), place.alias("place")),
+        "line-sets",
     )
+    first = sets.groupBy("s1", "s2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    again = sets.join(first.filter("n > 1"), ["s1", "s2"]).filter("place <> first")
+    same = hold(again.select("place.doc", "place.line").distinct(), "same-lines")
 
     # every line against the earliest one of each prefix word
     by_word = Window.partitionBy("token").orderBy(_order("e"))
@@ -157,29 +161,43 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .filter("more OR NOT leads")
     )
     met = held(met.withColumn("close", ~F.col("leads") & _may_match("e", "lead")).drop("more"), "prefix-words")
-
-    def pair(later: str, earlier: str) -> list[Column]:
-        return [F.struct(f"{later}.doc", f"{later}.line").alias("later"), F.struct(f"{earlier}.doc", f"{earlier}.line").alias("earlier")]
-
-    def without(df: DataFrame, gone: DataFrame, e: str) -> DataFrame:
-        named = gone.select(F.struct("doc", "line").alias("_gone"))
-        return df.join(named, F.struct(f"{e}.doc", f"{e}.line") == F.col("_gone"), "left_anti")
-
-    to_lead = held(without(met.filter("close"), same, "e").select(*pair("e", "lead")).distinct(), "to-lead")
+    to_lead = met.filter("close").select(*_pair("e", "lead")).distinct()
+    to_lead = held(_without(to_lead, same, "later"), "to-lead")
     matched = held(_verified(to_lead, docs), "matched")
+    found = held(same.df.unionByName(matched).distinct(), "found")
 
     # what is left against every earlier line of its prefix words
-    undecided = without(without(met.filter("NOT leads"), same, "e"), matched, "e").select("token", F.col("e").alias("l"))
-    earlier = without(met.filter("NOT leads"), same, "e").select("token", "e")
+    followers = met.filter("NOT leads").select("e.doc", "e.line").distinct()
+    undecided = hold(followers.join(found, ["doc", "line"], "left_anti"), "undecided")
+    later = lookup_join(
+        met.filter("NOT leads").select("token", F.col("e").alias("l"), "e.doc", "e.line"),
+        undecided, {"doc": "doc", "line": "line"}, how="left_semi", max_bytes=BROADCAST_BYTES, salt_by=["token"],
+    ).select("token", "l")
+    later = held(later, "undecided-words")
+    words = hold(later.select("token").distinct(), "their-words")
+    earlier = lookup_join(
+        met.filter("NOT leads").select("token", "e"), words, {"token": "token"}, how="left_semi",
+        max_bytes=BROADCAST_BYTES, salt_by=["e"],
+    ).select("token", "e", F.struct("e.doc", "e.line").alias("x"))
+    earlier = held(_without(earlier, same, "x").drop("x"), "earlier-words")
     rest = (
-        undecided.join(earlier, "token")
+        later.join(earlier, "token")
         .filter((_order("e") < _order("l")) & _may_match("l", "e"))
-        .select(*pair("l", "e"))
+        .select(*_pair("l", "e"))
         .distinct()
     )
-    rest = held(rest, "to-earlier")
-    found = same.unionByName(matched)
-    return found.unionByName(_verified(rest, docs)).distinct()
+    return found.unionByName(_verified(held(rest, "to-earlier"), docs)).distinct()
+
+
+def _pair(later: str, earlier: str) -> list[Column]:
+    return [F.struct(f"{e}.doc", f"{e}.line").alias(name) for e, name in ((later, "later"), (earlier, "earlier"))]
+
+
+def _without(rows: DataFrame, lines: Held, x: str) -> DataFrame:
+    """Rows whose line `x` (doc, line) is not among `lines`."""
+    named = Held(lines.df.select(F.struct("doc", "line").alias(x)), lines.rows, {x: lines.size})
+    side = F.broadcast(named.df) if named.size <= BROADCAST_BYTES else named.df
+    return rows.join(side, x, "left_anti")
 
 
 def _marked(docs: DataFrame) -> DataFrame:
