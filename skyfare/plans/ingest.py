@@ -20,7 +20,7 @@ from skyfare.sinks.tables import aligned, append, append_evolving, ensure_table,
 from skyfare.sources.dimensions import stations_frame
 from skyfare.sources.files import file_stats, list_files, loaded_files, new_files, prune_files
 from skyfare.sources.trips import read_trips
-from skyfare.sources.weather import read_weather
+from skyfare.sources.weather import MARK, files_without_header, parse_weather_lines, weather_headers, weather_lines
 
 FILES_PER_LOAD = 4096
 WEATHER_TABLE = T.StructType([*WEATHER.fields, T.StructField("valid_date", T.DateType())])
@@ -88,9 +88,9 @@ def _report(
         report = todo.withColumn("rows", none)
     if not detailed:
         return report.select("source_file", "rows")
-    known = spark.createDataFrame(failures, "path string, reason string")
+    known = spark.createDataFrame([(p.split("/")[-1], r) for p, r in failures], "source_file string, reason string")
     outcome = F.when(F.col("reason").isNotNull(), "failed").when(F.col("rows") == 0, "empty").otherwise("loaded")
-    return report.join(known, "path", "left").select("source_file", "rows", outcome.alias("outcome"), "reason")
+    return report.join(known, "source_file", "left").select("source_file", "rows", outcome.alias("outcome"), "reason")
 
 
 def _batches(todo: DataFrame) -> Iterator[tuple[str, ...]]:
@@ -120,11 +120,13 @@ def ingest_weather(
     end: str | dt.date | None = None,
     table_path: str | None = None,
     detailed: bool = False,
+    mark: str | None = MARK,
 ) -> DataFrame:
     """Append the weather files below `path` that `table` has not been loaded from; rows per file,
     with `detailed` also the outcome (loaded, empty, failed) and the reason of a failure.
 
-    The table is partitioned by the day of the observation and sorted by station within files.
+    The table is partitioned by the day of the observation and sorted by station within files. Lines
+    that begin with `mark` are a file's preamble; with `mark` None it is all that stands before the header.
     """
     moment = processed_at or dt.datetime.now(dt.timezone.utc)
     listed = prune_files(list_files(spark, path, "*.csv"), start, end)
@@ -132,20 +134,32 @@ def ingest_weather(
     known = stations_frame(spark, stations)
 
     todo = hold(new_files(listed, loaded_files(spark, table)), "new-files").df
-    failures = load_weather_files(spark, todo, known, table, moment)
+    failures = load_weather_files(spark, todo, known, table, moment, mark)
     return _report(spark, todo, table, "source_file", failures, detailed)
 
 
 def load_weather_files(
-    spark: SparkSession, todo: DataFrame, stations: Held | DataFrame, table: str, moment: dt.datetime
+    spark: SparkSession,
+    todo: DataFrame,
+    stations: Held | DataFrame,
+    table: str,
+    moment: dt.datetime,
+    mark: str | None = MARK,
 ) -> Failures:
-    """Append the weather files that `todo` (path) lists."""
+    """Append the weather files that `todo` (path) lists; files without a header are failures."""
+
+    headless: Failures = []
 
     def load(paths: Sequence[str]) -> None:
-        rows = weather_rows(read_weather(spark, *paths), stations, moment)
+        lines = weather_lines(spark, *paths)
+        headers = weather_headers(lines, mark)
+        rows = weather_rows(parse_weather_lines(lines, mark, headers), stations, moment)
         append_evolving(rows, table, ["station"])
+        # names of the files of this load
+        headless.extend((r.file_path, "no header line") for r in files_without_header(lines, headers).collect())
 
-    return [failure for paths in _batches(todo) for failure in _load_or_split(paths, load)]
+    failures = [failure for paths in _batches(todo) for failure in _load_or_split(paths, load)]
+    return failures + headless
 
 
 def trip_rows(

@@ -105,6 +105,14 @@ def hold(df: DataFrame, name: str = "held") -> Held:
     return Held(sized.df, sized.rows, sized.widths, path)
 
 
+def discard(table: Held) -> None:
+    """Remove a held table that nothing will read again."""
+    if table.path is not None:
+        spark = table.df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def measure(table: Held | DataFrame) -> Held:
     """`table` with its size, which takes one aggregate unless the size is known already."""
     if isinstance(table, Held):

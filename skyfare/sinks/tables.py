@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyfare.operators.lookup import lookup_join
-from skyfare.scratch import hold
+from skyfare.scratch import discard, hold
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -139,13 +139,8 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def append(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
-    """Add rows to an existing table, columns matched by name, laid out by the table's partitions.
-
-    Columns that the table lacks, or whose values its types cannot hold, are an error.
-    """
-    spark = df.sparkSession
-    schema = spark.table(table).schema
+def _must_fit(df: DataFrame, table: str, schema: T.StructType) -> None:
+    """An error if the table lacks a column of `df`, or has a type that cannot hold its values."""
     known = {f.name.lower() for f in schema.fields}
     surplus = [c for c in df.columns if c.lower() not in known]
     if surplus:
@@ -155,6 +150,16 @@ def append(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
             raise ValueError(
                 f"{table}.{now.name} is {now.dataType.simpleString()} and needs {then.dataType.simpleString()}"
             )
+
+
+def append(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
+    """Add rows to an existing table, columns matched by name, laid out by the table's partitions.
+
+    Columns that the table lacks, or whose values its types cannot hold, are an error.
+    """
+    spark = df.sparkSession
+    schema = spark.table(table).schema
+    _must_fit(df, table, schema)
     rows = aligned(df, schema)
     laid_out(rows, partition_columns(spark, table), cluster_by).write.insertInto(table)
 
@@ -237,8 +242,10 @@ def upsert(
     keys are all kept. New partitions are written beside the old ones and swapped in on success.
     """
     spark = batch.sparkSession
-    rows = hold(batch, "upsert-batch").df
     target = spark.table(table)
+    _must_fit(batch, table, target.schema)
+    copy = hold(batch, "upsert-batch")
+    rows = copy.df
     in_reach = _sharing_partitions(target, rows, partition_by)
     kept = in_reach.join(rows.select(*keys).distinct(), list(keys), "left_anti")
     merged = kept.select(*target.columns).unionByName(aligned(rows, target.schema))
@@ -250,3 +257,5 @@ def upsert(
     again = apart.read.schema(ready.df.schema).parquet(ready.path)
     laid_out(again, [partition_by], cluster_by).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
+    discard(copy)
+    discard(ready)

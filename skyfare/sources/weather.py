@@ -1,4 +1,6 @@
-"""Station weather text files: `#` preamble lines, one header line, comma-separated rows.
+"""Station weather text files: preamble lines, one header line, comma-separated rows.
+
+Preamble lines are those with a mark, or, without a mark, all lines before the header.
 
 Files are read as lines, all in one scan. Each file's header decides which field is which, so files
 with different columns or column orders can be read together. A line is taken for a header when one
@@ -12,17 +14,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from skyfare.functions.names import scanned_file, station_token
 from skyfare.operators.lookup import lookup_join
 from skyfare.schemas import WEATHER_FILE_FIELDS
-from skyfare.scratch import hold
+from skyfare.scratch import Held, hold
 
 _HEADER_LINE = r'(^|,)\s*"?(' + "|".join(WEATHER_FILE_FIELDS) + r')"?\s*(,|$)'
 
 
+MARK = "#"
+
+
 def lines_of(text: DataFrame) -> DataFrame:
-    """Scanned text lines as (file_path, source_file, value)."""
+    """Scanned text lines as (file_path, source_file, value, position); position grows along a file."""
     return text.select(
         scanned_file("path").alias("file_path"),
         scanned_file().alias("source_file"),
         "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("line")).alias("position"),
     )
 
 
@@ -38,24 +44,43 @@ def _fields(line: Column, width: int) -> Column:
     return F.array(*[parsed[c] for c in columns])
 
 
-def parse_weather_lines(lines: DataFrame) -> DataFrame:
+def weather_headers(lines: DataFrame, mark: str | None = MARK) -> Held:
+    """(file_path, header, header_position) per file: its first line that names a weather field."""
+    at = F.col("position") if "position" in lines.columns else F.lit(None)
+    found = _unmarked(lines, mark).where(F.col("value").rlike(_HEADER_LINE)).groupBy("file_path")
+    first = found.agg(F.min(F.struct(at.alias("position"), "value")).alias("first"))
+    return hold(
+        first.select("file_path", F.col("first.value").alias("header"), F.col("first.position").alias("header_position")),
+        "weather-headers",
+    )
+
+
+def files_without_header(lines: DataFrame, headers: Held) -> DataFrame:
+    """(file_path) of files that have lines but no header."""
+    return lines.where(F.trim("value") != "").select("file_path").distinct().join(headers.df, "file_path", "left_anti")
+
+
+def _unmarked(lines: DataFrame, mark: str | None) -> DataFrame:
+    lines = lines.where(F.trim("value") != "")
+    return lines if mark is None else lines.where(~F.col("value").startswith(mark))
+
+
+def parse_weather_lines(lines: DataFrame, mark: str | None = MARK, headers: Held | None = None) -> DataFrame:
     """Rows of weather files as text columns, with the file name and the station it is named after.
 
-    Fields a file lacks are NULL. A file with a header but no rows gives no rows.
+    Fields a file lacks are NULL. A file with a header but no rows gives no rows. With `mark` None all
+    lines before a file's header are its preamble, which needs the lines' `position`.
     """
-    lines = lines.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    headers = headers or weather_headers(lines, mark)
+    lines = _unmarked(lines, mark)
     is_header = F.col("value").rlike(_HEADER_LINE)
-    headers = hold(
-        lines.where(is_header)
-        .groupBy("file_path")
-        .agg(F.min("value").alias("header")),
-        "weather-headers",
-    )
     width = headers.df.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
     names = F.transform(F.split("header", ","), lambda name: F.trim(F.replace(name, F.lit('"'))))
+    known = lookup_join(lines.where(~is_header), headers, {"file_path": "file_path"}, how="inner")
+    if mark is None:
+        known = known.where(F.col("position") > F.col("header_position"))
     rows = (
-        lookup_join(lines.where(~is_header), headers, {"file_path": "file_path"}, how="inner")
-        .select("source_file", names.alias("names"), _fields(F.col("value"), width).alias("fields"))
+        known.select("source_file", names.alias("names"), _fields(F.col("value"), width).alias("fields"))
     )
 
     def field(name: str) -> Column:
@@ -70,5 +95,5 @@ def parse_weather_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_weather(spark: SparkSession, *paths: str, glob: str = "*.csv") -> DataFrame:
-    return parse_weather_lines(weather_lines(spark, *paths, glob=glob))
+def read_weather(spark: SparkSession, *paths: str, glob: str = "*.csv", mark: str | None = MARK) -> DataFrame:
+    return parse_weather_lines(weather_lines(spark, *paths, glob=glob), mark)

@@ -197,3 +197,18 @@ def test_overwrites_of_two_threads_do_not_meet(spark):
     assert not errors
     assert rows(spark.table(kept).select("k", "v")) == [(i, "new" if i < 4 else "old") for i in range(6)]
     assert spark.table(rebuilt).count() == 6
+
+
+def test_weather_preamble_and_files_without_header(spark, name, tmp_path):
+    from skyfare.plans import ingest_weather
+    from skyfare.sources import read_weather
+
+    header = "station,valid,tmpf\n"
+    (tmp_path / "JFK_20240101_20240131.csv").write_text("d1\nd2,x\n#d3\nd4\nd5\n" + header + "JFK,2024-01-01 00:51,41.0\n")
+    (tmp_path / "LGA_20240101_20240131.csv").write_text("LGA,2024-01-01 00:51,41.0\n")
+    (tmp_path / "EWR_20240101_20240131.csv").write_text(header)
+    assert rows(read_weather(spark, str(tmp_path), mark=None).select("station", "tmpf")) == [("JFK", "41.0")]
+    report = ingest_weather(spark, str(tmp_path), [], name, mark=None, detailed=True)
+    assert {r.source_file[:3]: (r.rows, r.outcome, r.reason) for r in report.collect()} == {
+        "JFK": (1, "loaded", None), "LGA": (0, "failed", "no header line"), "EWR": (0, "empty", None),
+    }

@@ -44,6 +44,7 @@ from skyfare.sources import (
     parse_weather_lines,
     prune_files,
     read_columns,
+    read_weather,
     stations_frame,
 )
 from skyfare.streaming import stream_trips, stream_weather
@@ -541,6 +542,27 @@ def weather_file_lines(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(typed.drop("processed_at"))
 
 
+@query
+def weather_file_positional_preamble(spark: SparkSession, sf: str) -> DataFrame:
+    """Files whose preamble is free text, one word of it like a station: it ends where the header stands."""
+    path = scratch_path(spark, "weather-files")
+    text = _weather_text(spark, sf)
+    for station in fx.STATION_IDS:
+        rows = text.where(F.col("station") == station).select(F.concat_ws(",", *text.columns).alias("value"))
+        notes = [f"{station},note {i}" for i in range(5)] + [",".join(text.columns)]
+        head = spark.createDataFrame([("\n".join(notes),)], "value string")
+        (
+            head.coalesce(1).unionByName(rows).coalesce(1)
+            .write.option("mapreduce.output.basename", f"{station}_20240101_20240131_")
+            .mode("append").text(path)
+        )
+    parsed = read_weather(spark, path, glob="*.txt", mark=None)
+    typed = weather_rows(parsed, stations_frame(spark, fx.STATION_LIST), fx.PROCESSED_AT)
+    return tidy(
+        typed.drop("file_date", "processed_at").withColumn("source_file", F.substring_index("source_file", "_", 3))
+    )
+
+
 def _write_trip_files(spark: SparkSession, sf: str) -> str:
     """Trip files per event type; one type is written with whole numbers where others have doubles."""
     path = scratch_path(spark, "trip-files")
