@@ -3,8 +3,7 @@
 A line is the set of its words; it is removed if an earlier line (by doc_id, then line) has a Jaccard
 likeness of at least 4/5 with it. Built-in expressions only.
 
-1. Lines with one and the same set are found by a digest of the set: one grouping, reduced before the
-   shuffle however often a line stands.
+1. Lines with one and the same set of words meet under a digest of the set.
 2. Words are ordered by rarity. How often each of 65,536 word classes occurs in all lines is counted,
    and a word's place in the order is the frequency of its class, then its hash: a total order of all
    words, in which frequent words come last.
@@ -96,13 +95,19 @@ def _may_match(a: str, b: str) -> Column:
     )
 
 
-def _prefixes(tokened: DataFrame) -> DataFrame:
-    """(token, e): a row per prefix word of each line; e: place in the order of lines, and what the filters need."""
+def _entries(tokened: DataFrame) -> DataFrame:
+    """(token, digest, e): a row per prefix word of each line, and one for its whole set of words.
+
+    e is the place in the order of lines and what the filters need. The row of the set has place -1
+    and a negative token, which no word has; token and digest together are 127 bits of the set.
+    """
     need = _ceil_div(f"{NUM} * n", DEN)
+    prefix = f"IF(n >= {LEAST_WORDS}, int(n - {need} + 1), 0)"
+    words = f"transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t AS token, 0L AS digest, i AS at))"
+    whole = "array(struct(xxhash64(tokens) | bigint('-9223372036854775808') AS token, xxhash64(tokens, 1) AS digest, -1 AS at))"
     return (
-        tokened.filter(F.col("n") >= LEAST_WORDS)
-        .select("doc_id", "doc", "line", "n", "map", F.posexplode(F.expr(f"slice(tokens, 1, int(n - {need} + 1))")).alias("at", "token"))
-        .select("token", F.struct("doc_id", "doc", "line", "n", "at", "map").alias("e"))
+        tokened.withColumn("x", F.explode(F.expr(f"concat({words}, {whole})")))
+        .select("x.token", "x.digest", F.struct("doc_id", "doc", "line", "n", F.col("x.at").alias("at"), "map").alias("e"))
     )
 
 
@@ -141,26 +146,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lines = lines_of(docs)
     tokened = _with_tokens(_with_words(lines), word_classes(lines))
 
-    # lines with one and the same set of words
-    place = F.struct("doc_id", "doc", "line")
-    sets = held(
-        tokened.select(F.xxhash64("tokens").alias("s1"), F.xxhash64("tokens", F.lit(1)).alias("s2"), place.alias("place")),
-        "line-sets",
-    )
-    first = sets.groupBy("s1", "s2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-    again = sets.join(first.filter("n > 1"), ["s1", "s2"]).filter("place <> first")
-    same = hold(again.select("place.doc", "place.line").distinct(), "same-lines")
-
-    # every line against the earliest one of each prefix word
-    by_word = Window.partitionBy("token").orderBy(_order("e"))
+    # every line against the earliest one of its set and of each prefix word
+    of_key = Window.partitionBy("token", "digest").orderBy(_order("e"))
     met = (
-        _prefixes(tokened)
-        .withColumn("lead", F.first("e").over(by_word))
-        .withColumn("more", F.lead("token").over(by_word).isNotNull())
+        _entries(tokened)
+        .withColumn("lead", F.first("e").over(of_key))
+        .withColumn("more", F.lead("token").over(of_key).isNotNull())
         .withColumn("leads", _order("e") == _order("lead"))
         .filter("more OR NOT leads")
     )
-    met = held(met.withColumn("close", ~F.col("leads") & _may_match("e", "lead")).drop("more"), "prefix-words")
+    met = held(met.withColumn("close", ~F.col("leads") & _may_match("e", "lead")).drop("more", "digest"), "met")
+    same = hold(met.filter("e.at < 0 AND NOT leads").select("e.doc", "e.line").distinct(), "same-lines")
+    met = met.filter("e.at >= 0")
     to_lead = met.filter("close").select(*_pair("e", "lead")).distinct()
     to_lead = held(_without(to_lead, same, "later"), "to-lead")
     matched = held(_verified(to_lead, docs), "matched")
