@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skyfare.scratch import hold
+from skyfare.scratch import scratch_path
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -26,11 +26,9 @@ def whole_text(df: DataFrame, column: str = "text") -> Column:
 
 def held(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: a cut in the lineage that survives lost executors."""
-    return hold(df, name).df
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def located(df: DataFrame) -> tuple[DataFrame, Column]:
