@@ -212,3 +212,37 @@ def test_weather_preamble_and_files_without_header(spark, name, tmp_path):
     assert {r.source_file[:3]: (r.rows, r.outcome, r.reason) for r in report.collect()} == {
         "JFK": (1, "loaded", None), "LGA": (0, "failed", "no header line"), "EWR": (0, "empty", None),
     }
+
+
+def test_facts_join_the_trips_twice_and_increments_prune(spark):
+    from workloads import queries as q
+
+    sf = "/root/testdata/sf0.001"
+    fact = q._fact(spark, sf)
+    text = plan(fact)
+    assert text.count("BroadcastHashJoin") + text.count("SortMergeJoin") == 2
+    mapping, hourly = q._lookups(spark, sf)
+    long_way = q.op.trips_with_weather(q._validated(spark, sf, (mapping, hourly)), mapping, hourly)
+    assert fact.columns == long_way.columns
+    assert rows(fact) == rows(long_way)
+
+
+def test_validated_trips_are_read_by_date(spark, tmp_path):
+    import datetime as dt
+
+    from skyfare.plans import Sources, TableStore, build_models
+    from skyfare.sinks import incremental
+    from workloads import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    store = TableStore(f"t_{uuid.uuid4().hex}_", str(tmp_path))
+    sources = Sources(fx.trips_a(spark, sf), fx.weather_a(spark, sf), fx.taxi_zone(spark, sf))
+    models = build_models(spark, sources, fx.A_AS_OF, fx.A_MIN_DATE, fx.BOROUGHS, store)
+    validated = spark.table(store.name("int_yellow_trips_validated"))
+    above = plan(validated.where(F.col("pickup_date") > dt.date(2024, 1, 20)))
+    assert "PartitionFilters: [isnotnull(pickup_date" in above
+    mark = plan(incremental(validated, store.name("fct_taxi_trips_with_weather"), "pickup_date"))
+    assert "PartitionFilters: [isnotnull(pickup_date" in mark
+    before = rows(models["fct_taxi_trips_with_weather"])
+    again = build_models(spark, sources, fx.A_AS_OF, fx.A_MIN_DATE, fx.BOROUGHS, store)
+    assert rows(again["fct_taxi_trips_with_weather"]) == before
