@@ -26,9 +26,9 @@ HOT_HOUR = "2024-01-10 08:"
 
 def enlarged(spark: SparkSession, sf_dir: str, copies: int) -> tuple[DataFrame, DataFrame, int]:
     """Trips and weather of fixture A, `copies` times over, a third of them hot."""
-    copy = spark.range(copies).withColumnRenamed("id", "copy")
+    each = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
     hot = F.col("copy") % 3 == 0
-    trips = fx.trips_a(spark, sf_dir).join(F.broadcast(copy))
+    trips = fx.trips_a(spark, sf_dir).withColumn("copy", each)
     minute = F.lpad((F.col("copy") % 60).cast("string"), 2, "0")
     at = F.concat(F.lit(HOT_HOUR), minute, F.lit(":00")).cast("timestamp_ntz")
     length = F.col("tpep_dropoff_datetime") - F.col("tpep_pickup_datetime")
@@ -39,7 +39,7 @@ def enlarged(spark: SparkSession, sf_dir: str, copies: int) -> tuple[DataFrame,
             "PULocationID": F.when(hot, F.lit(0)).otherwise(F.col("PULocationID")),
         }
     ).drop("copy")
-    weather = fx.weather_a(spark, sf_dir).join(F.broadcast(copy))
+    weather = fx.weather_a(spark, sf_dir).withColumn("copy", each)
     weather = weather.withColumn(
         "station", F.when(hot, F.lit("JFK")).otherwise(F.col("station"))
     ).withColumns(
@@ -93,15 +93,13 @@ def main() -> None:
             hold(op.zone_station_mapping(zones, boroughs, weather)),
             hold(op.weather_hourly(op.stg_weather_data(weather))),
         )
-        return tuple(Held(h.df, 1 << 60, h.widths) for h in both) if shuffled else both
+        return tuple(Held(h.df, h.rows, {c: 1 << 60 for c in h.widths}) for h in both) if shuffled else both
 
     def validated() -> DataFrame:
         return op.trips_validated(op.stg_yellow_trips(trips), *lookups(), fx.A_AS_OF, fx.A_MIN_DATE)
 
     def fact() -> DataFrame:
-        found = lookups()
-        labelled = op.trips_validated(op.stg_yellow_trips(trips), *found, fx.A_AS_OF, fx.A_MIN_DATE)
-        return op.trips_with_weather(labelled, *found)
+        return op.facts(op.stg_yellow_trips(trips), *lookups(), fx.A_AS_OF, fx.A_MIN_DATE)
 
     steps = {
         "weather_hourly": lambda: op.weather_hourly(op.stg_weather_data(weather)),
