@@ -57,7 +57,8 @@ _ASIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored cookie cookies"
     " consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup sidebar menu nav navbar"
     " navigation breadcrumb breadcrumbs footer comment comments disqus reply replies respond share sharing social"
-    " related recommended widget toolbar pagination pager search login hidden skip copyright disclaimer".split()
+    " related recommended widget toolbar pagination pager search login hidden skip copyright disclaimer discussion"
+    " discussions responses feedback paywall".split()
 )
 _ASIDE_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog form menu menubar".split())
 _CONTENT_NAMES = frozenset("content main article post entry story".split())
