@@ -237,7 +237,8 @@ def _packed_once(pieces: DataFrame, rows: int, s: Settings, number: int) -> Data
 
 def packed(pieces: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(uid, sequence_id, offset) for every row of `pieces` (uid, length)."""
-    alone = pieces.filter(F.col("length") >= s.capacity).select("uid", F.lit(0).alias("round"), F.col("uid").alias("block"), F.lit(0).cast("bigint").alias("bin"), F.lit(0).cast("bigint").alias("offset"))
+    # full pieces have the negative numbers, all other sequences those from 2**56
+    alone = pieces.filter(F.col("length") >= s.capacity).select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     parts, rest = [alone], hold(pieces.filter(F.col("length") < s.capacity).select("uid", "length"), "rest")
     for number in range(1, s.rounds + 1):
         if rest.rows == 0:
@@ -245,15 +246,16 @@ def packed(pieces: DataFrame, s: Settings = Settings()) -> DataFrame:
         found = held(_packed_once(rest.df, rest.rows, s, number), "packed")
         last = number == s.rounds
         done = found if last else found.filter(F.col("fill") >= s.full * s.capacity)
-        parts.append(done.select("uid", "round", "block", "bin", "offset"))
+        # a number for each (round, block, bin): a block has fewer than 2**20 bins
+        numbered = F.col("round") * F.lit(1 << 56) + F.shiftleft("block", 20) + F.col("bin")
+        parts.append(done.select("uid", numbered.alias("sequence_id"), "offset"))
         if not last:
             again = found.filter(F.col("fill") < s.full * s.capacity).select("uid")
             rest = hold(rest.df.join(again, "uid", "left_semi"), "rest")
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    # a number for each (round, block, bin): a block has fewer than 2**20 bins
-    return whole.select("uid", (F.col("round") * F.lit(1 << 56) + F.shiftleft("block", 20) + F.col("bin")).alias("sequence_id"), "offset")
+    return whole
 
 
 def packed_documents(docs: DataFrame, tokenizer_path: str, s: Settings = Settings()) -> DataFrame:

@@ -105,3 +105,16 @@ def test_evolution_finds_what_best_fit_misses():
     best = p.evolved(first, lengths, s, rng)[0]
     assert p.fitness(best, lengths, 100) >= max(p.fitness(x, lengths, 100) for x in first)
     assert packing_is_sound(best, lengths, 100)
+
+
+def test_full_pieces_share_no_number(spark):
+    """Rows of tasks 8 and 16 beside the first bins of rounds 1 and 2, and rows of task 2048 beside those of task 0."""
+    full = [task << 33 | row for task in (0, 8, 16, 2048, 2056) for row in range(3)]
+    rows = [(u, 100) for u in full] + [((1 << 33) + i, 30 + i % 25) for i in range(300)]
+    s = p.Settings(capacity=100, block=40, children=2, full=1.0)
+    found = p.packed(spark.createDataFrame(rows, "uid bigint, length bigint"), s).collect()
+    lengths, fills = dict(rows), defaultdict(int)
+    assert sorted(r.uid for r in found) == sorted(lengths)
+    for r in found:
+        fills[r.sequence_id] += lengths[r.uid]
+    assert max(fills.values()) <= 100
