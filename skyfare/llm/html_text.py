@@ -6,7 +6,8 @@ content, counted on labelled pages: a bounded sample of the pages whose markup n
 (`article` or `main`). They depend on the tag, on whether a word stands in a link, in running text or
 in a part that is no content, and, on pages that name their content, on whether it lies there. What
 stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments has its weight in the sum but is never part of the text.
+comments is never part of the text. On pages that name their content it weighs nothing, so a long
+advert parts no article; on others it has its weight in the sum.
 """
 
 from __future__ import annotations
@@ -74,6 +75,7 @@ class Piece:
     named: bool  # inside a part that the page names as its content
     block: int = -1  # of text that may be content
     text: str = ""
+    aside: bool = False  # inside a part that is no content
 
 
 @dataclass
@@ -125,7 +127,7 @@ def read_page(source: str) -> Page:
             return
         text = html.unescape(raw) if "&" in raw else raw
         where = "aside" if top.aside else "link" if top.link else "text"
-        page.pieces.append(Piece(f"word {where}", len(text.split()), top.named, -1 if top.aside else block, text))
+        page.pieces.append(Piece(f"word {where}", len(text.split()), top.named, -1 if top.aside else block, text, top.aside))
 
     def pop_to(depth: int) -> None:
         nonlocal top
@@ -167,7 +169,7 @@ def read_page(source: str) -> Page:
             elif not aside and raw and tag == "article":
                 aside = _named_aside(_attributes(raw), True)
             page.names_content |= named and not aside
-            page.pieces.append(Piece(f"tag {tag}", 1, named and not aside))
+            page.pieces.append(Piece(f"tag {tag}", 1, named and not aside, aside=aside))
             if tag in _RAW:
                 finish = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(source, at)
                 at = finish.start() if finish else end
@@ -177,7 +179,7 @@ def read_page(source: str) -> Page:
                 stack.append(top)
         elif m["close"]:
             tag = m["close"].lower()
-            page.pieces.append(Piece(f"tag {tag}", 1, top.named))
+            page.pieces.append(Piece(f"tag {tag}", 1, top.named, aside=top.aside))
             close((tag,), frozenset())
             if tag not in _INLINE:
                 block += 1
@@ -237,6 +239,8 @@ def learn_weights(pages: DataFrame, most: int = LABELLED) -> dict[str, float]:
 
 
 def weight(piece: Piece, names_content: bool, weights: dict[str, float]) -> float:
+    if piece.aside and names_content:
+        return 0.0  # left out of the text anyway
     where = ("in " if piece.named else "out ") if names_content else "any "
     known = weights.get(where + piece.feature)
     if known is None:

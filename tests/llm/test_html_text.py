@@ -78,3 +78,26 @@ def test_long_and_broken_pages_end():
     assert main_text("<p class=\"" * 5_000, {}) == ""
     assert len(main_text("<article>" + "<p>word</p>" * 50_000, {})) == 50_000 * 6 - 2
     assert main_text("<div>" * 50_000 + "deep", {}) in ("", "deep")
+
+
+MANY = "other words " * 50
+NO_CONTENT = [
+    f"<aside>{MANY}</aside>",
+    f"<div class='ad'><p>{MANY}</p></div>",
+    f"<form><p>{MANY}</p><input><button>send</button></form>",
+    f"<div class='comments'><ol>{'<li><p>I say so too</p></li>' * 25}</ol></div>",
+    f"<nav><ul>{'<li><a>Menu</a></li>' * 100}</ul></nav>",
+]
+LEARNED = {"in word text": 5.0, "out word aside": -5.0, "out word text": -5.0, "out tag li": -5.0}
+
+
+@pytest.mark.parametrize("weights", [{}, LEARNED])
+@pytest.mark.parametrize("part", NO_CONTENT)
+def test_long_parts_inside_an_article_part_nothing(part, weights):
+    body = f"<article><h1>Head</h1><p>a short intro</p>{part}<p>a longer middle of it</p>{part}<p>the end</p></article>"
+    assert main_text(f"<body><nav>menu</nav>{body}<footer>foot</footer>", weights) == "Head\n\na short intro\n\na longer middle of it\n\nthe end"
+
+
+def test_long_menu_between_articles():
+    body = f"<article><p>the smaller</p></article>{NO_CONTENT[-1]}<article><p>{WORDS}</p></article><p>not this</p>"
+    assert main_text(body, LEARNED) == f"the smaller\n\n{WORDS.strip()}"
