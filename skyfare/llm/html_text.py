@@ -6,7 +6,7 @@ content, counted on labelled pages: a bounded sample of the pages whose markup n
 (`article` or `main`). They depend on the tag, on whether a word stands in a link, in running text or
 in a part that is no content, and, on pages that name their content, on whether it lies there. What
 stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments is never part of the text. On pages that name their content it weighs nothing, so a long
+comments is never part of the text; a name says so only of an element that does not hold the content. On pages that name their content it weighs nothing, so a long
 advert parts no article; on others it has its weight in the sum.
 """
 
@@ -64,6 +64,20 @@ _ASIDE_NAMES = frozenset(
 _ASIDE_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog form menu menubar".split())
 _CONTENT_NAMES = frozenset("content main article post entry story".split())
 _TOP_NAMES = frozenset("header masthead topbar".split())  # no content unless inside the content
+# Names of other people's text, which may be the most of a page
+_OTHERS = frozenset(
+    "comment comments disqus reply replies respond discussion discussions responses feedback related recommended".split()
+)
+# What may follow such a name and still only says how the part is laid out; "alert-history" says more
+_LAYOUT = frozenset(
+    "add area article articles author background backdrop bar block body bottom box boxes btn button buttons card close"
+    " col column container content count cta desktop dialog entries field fixed follow follows form global google grid"
+    " group head heading hero holder icon icons image images info inline inner input item items label law leaderboard"
+    " left link links list lists logo logos main mega media message meta mobile module network networks news next number"
+    " numbers open outer page pages panel placeholder policy post posts prev previous primary products reading region"
+    " register right row secondary section side site slot sponsor stack sticky stories strip tabs text thread this title"
+    " toggle top topics unit videos wall widgets wrap wrapper zone".split()
+)
 
 
 @dataclass
@@ -84,6 +98,14 @@ class _Open:
     aside: bool
     named: bool
     link: bool
+    hard: bool = False  # no content whatever it holds, as its tag, role or hiding or those of a part around it say
+    own: bool = False  # hard by itself
+    soft: bool = False  # no content, as a name says
+    at: int = 0
+    cut: str = ""  # the word of its class or id for which it may be no content
+    words: int = 0  # of running text inside
+    main: bool = False  # it holds a part of this name
+    article: bool = False
 
 
 @dataclass
@@ -96,42 +118,79 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
 
-def _named_aside(attributes: dict[str, str], inside: bool) -> bool:
-    """Whether class, id, role or hiding say that an element is no content."""
+def _hidden(attributes: dict[str, str]) -> bool:
+    """Whether role or hiding say that an element is no content."""
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    if attributes.get("role", "").lower() in _ASIDE_ROLES:
-        return True
+    return attributes.get("role", "").lower() in _ASIDE_ROLES
+
+
+def _aside_name(attributes: dict[str, str], inside: bool) -> str:
+    """The word by which class or id say that an element is no content, or ""."""
     names = [*attributes.get("class", "").split(), *attributes.get("id", "").split()]
     if any(n.lower() in _CONTENT_NAMES for n in names):
-        return False
+        return ""
     banned = _ASIDE_NAMES if inside else _ASIDE_NAMES | _TOP_NAMES
     for name in names:
         parts = [p.lower() for p in _PARTS_OF_NAME.findall(name)]
-        if parts and parts[0] not in ("has", "with", "no") and (parts[0] in banned or parts[-1] in banned):
-            return True
-    return False
+        if not parts or parts[0] in ("has", "with", "no") or parts[-2:-1] == ["with"]:
+            continue
+        if parts[-1] in banned:
+            return parts[-1]
+        if parts[0] in banned and parts[0] != "hidden" and all(len(p) < 3 or p.isdigit() or p in banned or p in _LAYOUT for p in parts[1:]):
+            return parts[0]
+    return ""
 
 
 def read_page(source: str) -> Page:
-    """The tags and texts of a page in order, with what encloses them. Works on any text, broken markup too."""
-    page, stack, block = Page(), [], 0
+    """The tags and texts of a page in order, with what encloses them. Works on any text, broken markup too.
+
+    A name of no content does not leave an element out that holds the page's `main`, or most of its
+    running text and an article, or most of it where nothing else is named as content.
+    """
+    page, cut, words = _read(source, frozenset())
+    kept = {
+        o.at
+        for o in cut
+        if o.main or (o.cut not in _OTHERS and 2 * o.words > words and (o.article or not page.names_content))
+    }
+    return _read(source, frozenset(kept))[0] if kept else page
+
+
+def _read(source: str, kept: frozenset[int]) -> tuple[Page, list[_Open], int]:
+    """The page, the elements that a name may leave out, and the words of running text.
+
+    Names do not count at the places `kept`.
+    """
+    page, stack, block, cut, words = Page(), [], 0, [], 0
     top = _Open("", False, False, False)
 
     def add_text(raw: str) -> None:
+        nonlocal words
         if not raw.strip():
             if raw and page.pieces and page.pieces[-1].text and page.pieces[-1].block == block:
                 page.pieces[-1].text += " "
             return
         text = html.unescape(raw) if "&" in raw else raw
         where = "aside" if top.aside else "link" if top.link else "text"
-        page.pieces.append(Piece(f"word {where}", len(text.split()), top.named, -1 if top.aside else block, text, top.aside))
+        n = len(text.split())
+        if not top.hard and not top.link:
+            top.words += n
+            words += n
+        page.pieces.append(Piece(f"word {where}", n, top.named, -1 if top.aside else block, text, top.aside))
 
     def pop_to(depth: int) -> None:
         nonlocal top
-        del stack[depth:]
+        while len(stack) > depth:
+            done = stack.pop()
+            if done.cut:
+                cut.append(done)
+            if stack:
+                stack[-1].words += done.words
+                stack[-1].main |= done.main
+                stack[-1].article |= done.article
         top = stack[-1] if stack else _Open("", False, False, False)
 
     def close(tags: tuple[str, ...], stop: frozenset[str]) -> None:
@@ -160,14 +219,16 @@ def read_page(source: str) -> Page:
             if tag not in _INLINE:
                 block += 1
             named = top.named or tag in ("article", "main")
-            aside = top.aside or tag in _ASIDE or (tag == "header" and not top.named)
-            if tag in ("article", "main") and top.aside and all(not o.aside or o.tag == "form" for o in stack):
-                aside = False  # a form around the whole page
-            raw = m["attributes"]
-            if not aside and raw and tag not in ("html", "body", "article", "main") and tag not in _VOID:
-                aside = _named_aside(_attributes(raw), top.named)
-            elif not aside and raw and tag == "article":
-                aside = _named_aside(_attributes(raw), True)
+            own, name, raw = tag in _ASIDE or (tag == "header" and not top.named), "", m["attributes"]
+            hard = top.hard or own
+            if tag in ("article", "main") and top.hard and all(not o.own or o.tag == "form" for o in stack):
+                hard = False  # a form around the whole page
+            if not hard and raw and tag not in ("html", "body", "main") and tag not in _VOID:
+                attributes = _attributes(raw)
+                own = hard = _hidden(attributes)
+                name = "" if hard else _aside_name(attributes, top.named or tag == "article")
+            soft = top.soft or (name != "" and m.start() not in kept)
+            aside = hard or soft
             page.names_content |= named and not aside
             page.pieces.append(Piece(f"tag {tag}", 1, named and not aside, aside=aside))
             if tag in _RAW:
@@ -175,7 +236,8 @@ def read_page(source: str) -> Page:
                 at = finish.start() if finish else end
                 continue
             if tag not in _VOID and not raw.endswith("/"):
-                top = _Open(tag, aside, named and not aside, top.link or tag == "a")
+                top = _Open(tag, aside, named and not aside, top.link or tag == "a", hard, own, soft, m.start(), name)
+                top.main, top.article = tag == "main" and not hard, tag == "article" and not hard and not name
                 stack.append(top)
         elif m["close"]:
             tag = m["close"].lower()
@@ -188,7 +250,8 @@ def read_page(source: str) -> Page:
         if m["open"] and m["open"].lower() in ("br", "td", "th") or m["close"] and m["close"].lower() in ("td", "th"):
             if page.pieces:
                 page.pieces[-1].text, page.pieces[-1].block = " ", (-1 if top.aside else block)
-    return page
+    pop_to(0)
+    return page, cut, words
 
 
 # --- weights -------------------------------------------------------------------------------------------

@@ -101,3 +101,23 @@ def test_long_parts_inside_an_article_part_nothing(part, weights):
 def test_long_menu_between_articles():
     body = f"<article><p>the smaller</p></article>{NO_CONTENT[-1]}<article><p>{WORDS}</p></article><p>not this</p>"
     assert main_text(body, LEARNED) == f"the smaller\n\n{WORDS.strip()}"
+
+
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        (f"<div class='right-sidebar'><div><main><p>{WORDS}</p></main></div><div class='sidebar'>{MANY}</div></div>", WORDS.strip()),
+        (f"<div class='content-sidebar'><article><h1>Head</h1><p>{WORDS}</p></article><aside>{MANY}</aside></div>", f"Head\n\n{WORDS.strip()}"),
+        (f"<div class='layout-with-sidebar'><article><p>{WORDS}</p></article></div>", WORDS.strip()),
+        (f"<div class='no-js hidden-print'><article><p>{WORDS}</p></article></div>", WORDS.strip()),
+        (f"<form><div class='sidebar-left'><main><p>{WORDS}</p></main></div></form>", WORDS.strip()),
+        (f"<article><p>one</p><section class='alert-history'><p>{WORDS}</p></section><p>two</p></article>", f"one\n\n{WORDS.strip()}\n\ntwo"),
+        (f"<article><p>one</p><div class='search-results'><p>{WORDS}</p></div></article>", f"one\n\n{WORDS.strip()}"),
+        (f"<nav>menu</nav><div class='widget'><p>{WORDS}</p></div>", WORDS.strip()),
+        (f"<article><p>one</p></article><section class='related-posts'><article><p>{WORDS}</p></article></section>", "one"),
+        (f"<div class='post'><p>one</p></div><div id='comments-area'><article><p>{WORDS}</p></article></div>", "one"),
+        (f"<article><p>one</p><div class='newsletter-box'><p>{WORDS}</p></div><div id='cookie-law-info'>we</div></article>", "one"),
+    ],
+)
+def test_names_leave_out_no_content(body, want):
+    assert main_text(body, {}) == want
