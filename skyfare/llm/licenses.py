@@ -1,11 +1,13 @@
-"""Licence scans: phrases, and blocks of text that contain most of a licence template's words.
+"""Licence scans: phrases, and places where most of a licence template stands.
 
 Base labels come from phrases whose words stand consecutively. The method's own labels come from an
-exact set-similarity join of text blocks with templates: a block is a line, or up to four short lines
-in a row; it matches a template if it contains at least `CONTAINED` of the template's distinct words.
-Words are ordered by how often they occur in all documents, rarest first. To contain enough of a
-template a block must share a word of the template's prefix (its |T| - need + 1 rarest words), must be
-long enough, and must have enough left of both after the first shared word; what passes is verified.
+exact set-similarity join of documents with templates, then of places: a template is found where
+`SPAN` times as many words in a row as it has hold, in its order, at least `CONTAINED` of its words and
+all that name the licence (`NAMES`), and none of `MODIFIERS` that it lacks stands among them. Lines and
+their lengths do not matter. Words are ordered by how often they occur in all documents, rarest first.
+To contain enough of a template a document must share a word of the template's prefix (its
+|T| - need + 1 rarest words), and have enough left of both after the first shared word; then windows
+start at each of the template's words, and those with enough of its words are verified.
 The templates are a fixed small table, so the join needs no shuffle: each task holds their index.
 """
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from skyfare.llm.common import whole_text
 
 CONTAINED = 0.8
+SPAN = 2
 SHORT_LINE, SHORT_LINES = 120, 4
 
 # Base phrases and labels
@@ -48,6 +51,10 @@ TEMPLATES = [
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
 ]
 
+# Words that a place must hold if its template does, and words that make it another licence
+NAMES: frozenset[bytes] = frozenset()
+MODIFIERS: frozenset[bytes] = frozenset()
+
 _WORD_OCTETS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
@@ -62,7 +69,62 @@ def words_of(text: str) -> list[bytes]:
 class Template:
     label: str
     words: tuple[bytes, ...]  # distinct, rarest first
-    need: int
+    need: int  # of them
+    ordered: tuple[bytes, ...]  # all, as they stand
+
+    def best_share(self, words: list[bytes], contained: float) -> float:
+        """The greatest share of the template that stands at one place of `words`; 0 if no place has enough."""
+        bits: dict[bytes, int] = {}
+        for i, w in enumerate(self.ordered):
+            bits[w] = bits.get(w, 0) | 1 << i
+        named, foreign = NAMES.intersection(bits), MODIFIERS.difference(bits)
+        n, span = len(self.ordered), SPAN * len(self.ordered)
+        enough = max(1, ceil(contained * n - 1e-9))
+        at = [i for i, w in enumerate(words) if w in bits]
+        inside: Counter = Counter()
+        best, end, shown = 0, 0, ()
+        for k, start in enumerate(at):
+            while end < len(at) and at[end] < start + span:
+                inside[words[at[end]]] += 1
+                end += 1
+            # only more words than the best has are of interest, and each window but once
+            if best < n and end - k >= max(enough, best + 1) and len(inside) >= self.need and all(w in inside for w in named):
+                window = words[start : start + span]
+                if window != shown:
+                    shown = window
+                    best = max(best, self._common(window, bits, foreign, max(enough, best + 1)))
+            inside[words[start]] -= 1
+            if not inside[words[start]]:
+                del inside[words[start]]
+        return best / n
+
+    def _common(self, window: list[bytes], bits: Mapping[bytes, int], foreign: frozenset[bytes], least: int) -> int:
+        """How many words of the template stand in the window in its order, all its names among them; 0 if under `least`.
+
+        The place ends before a word that makes the licence another one.
+        """
+        n = len(self.ordered)
+        whole = rows = (1 << n) - 1
+        place = []
+        for w in window:
+            if w in foreign:
+                break
+            match = bits.get(w)
+            if match:
+                place.append(w)
+                rows = ((rows + (rows & match)) | (rows & ~match)) & whole
+        if n - rows.bit_count() < least:
+            return 0
+        worth = [n + 2 if w in NAMES else 1 for w in self.ordered]  # a name is worth more than all else
+        row = [0] * (n + 1)
+        for w in place:
+            before = row
+            row = [0]
+            for i, t in enumerate(self.ordered):
+                row.append(before[i] + worth[i] if t == w else max(before[i + 1], row[i]))
+        names = sum(t in NAMES for t in self.ordered)
+        common = row[-1] - names * (n + 1)
+        return common if common >= least else 0
 
 
 class TemplateIndex:
@@ -78,11 +140,17 @@ class TemplateIndex:
             need = max(1, ceil(contained * len(words) - 1e-9))
             for at, w in enumerate(words[: len(words) - need + 1]):
                 self.prefixes.setdefault(w, []).append((len(self.templates), at))
-            self.templates.append(Template(label, words, need))
+            self.templates.append(Template(label, words, need, tuple(words_of(text))))
+        self.contained = contained
         self.prefix_words = frozenset(self.prefixes)
 
     def matches(self, block: list[bytes]) -> Iterator[tuple[str, float]]:
-        """(label, containment) of every template that the block contains enough of."""
+        """(label, containment) of every template that the block contains enough of, in any order."""
+        for template, shared in self.candidates(block):
+            yield template.label, shared / len(template.words)
+
+    def candidates(self, block: list[bytes]) -> Iterator[tuple[Template, int]]:
+        """Every template of which the block has enough words, and how many."""
         distinct = set(block)
         known = sorted(distinct & self.rank.keys(), key=self.rank.__getitem__)
         tried = set()
@@ -96,11 +164,11 @@ class TemplateIndex:
                     continue
                 shared = len(distinct.intersection(template.words))
                 if shared >= template.need:
-                    yield template.label, shared / len(template.words)
+                    yield template, shared
 
 
 def blocks_of(text: str) -> Iterator[list[bytes]]:
-    """Each line that has words, and each run of two to four short lines."""
+    """Each line that has words, and each run of two to four short lines. The scan does not use them; tests compare with them."""
     lines = [(len(line) <= SHORT_LINE, words_of(line)) for line in text.splitlines()]
     lines = [x for x in lines if x[1]]
     for i, (short, words) in enumerate(lines):
@@ -135,10 +203,10 @@ def scan_text(text: str, index: TemplateIndex, phrases: Mapping[tuple[str, ...],
     base = base_places(words, phrases)
     found: dict[str, float] = {}
     if not index.prefix_words.isdisjoint(words):
-        for block in blocks_of(text):
-            if not index.prefix_words.isdisjoint(block):
-                for label, contained in index.matches(block):
-                    found[label] = max(found.get(label, 0.0), contained)
+        for template, _ in index.candidates(words):
+            share = template.best_share(words, index.contained)
+            if share:
+                found[template.label] = max(found.get(template.label, 0.0), share)
     base_labels = {label for _, label in base}
     starts = [s for s, _ in base]
     return (
@@ -178,7 +246,7 @@ def scan_licenses(
     """One row per row of `docs` (doc_id, text): doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Null text counts as empty: no words, no labels, score 0. The score is 1 where a base phrase stands,
-    else the largest share of a template that one block contains, if it is enough for a label.
+    else the largest share of a template that stands at one place, if it is enough for a label.
     """
     vocabulary = frozenset(w for _, text in templates for w in words_of(text))
     index = TemplateIndex(templates, word_counts(docs, vocabulary), contained)

@@ -72,3 +72,70 @@ def test_wrapped_notice():
     text = "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files,\nto deal in the Software without restriction"
     index = li.TemplateIndex(li.TEMPLATES, {}, li.CONTAINED)
     assert li.scan_text(text, index, li.PHRASES)[5] == "mit"
+
+
+INDEX = li.TemplateIndex(li.TEMPLATES, {}, li.CONTAINED)
+
+
+def labels_of(text):
+    return li.scan_text(text, INDEX, {})[5]
+
+
+def lcs(a, b):
+    """The names and the words of the longest common subsequence that has most names."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        row = _next_row(row, x, b)
+    return divmod(row[-1], 1000)
+
+
+def _next_row(row, x, b):
+    new = [0]
+    for j, y in enumerate(b):
+        new.append(row[j] + (1001 if x in li.NAMES else 1) if x == y else max(row[j + 1], new[j]))
+    return new
+
+
+def brute_places(words):
+    """Every window of every template, by the definition; without lines."""
+    found = {}
+    for label, text in li.TEMPLATES:
+        want = li.words_of(text)
+        for start in range(len(words)):
+            for end in range(start + 1, min(len(words), start + li.SPAN * len(want)) + 1):
+                place = words[start:end]
+                if (li.MODIFIERS - set(want)) & set(place):
+                    continue
+                names, shared = lcs(want, place)
+                share = shared / len(want)
+                if names == sum(w in li.NAMES for w in want) and share >= li.CONTAINED - 1e-9:
+                    found[label] = max(found.get(label, 0.0), share)
+    return found
+
+
+@pytest.mark.parametrize("width", [1, 12, 30, 150, 10_000])
+@pytest.mark.parametrize("mark", ["", " * "])
+@pytest.mark.parametrize("template", li.TEMPLATES, ids=str)
+def test_wrapped_at_any_width(template, mark, width):
+    import textwrap
+
+    text = "Some words stand before it. " + template[1] + ". And some others stand after it, on long lines and short ones."
+    assert template[0] in labels_of("\n".join(mark + x for x in textwrap.wrap(text, width, break_long_words=False))).split(",")
+
+
+def test_places_against_brute_force():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(60):
+        words = rng.choices([b"the", b"of", b"other", b"nc", b"mit"], k=6)
+        label, text = rng.choice([t for t in li.TEMPLATES if len(t[1]) < 90])
+        for w in li.words_of(text):
+            if rng.random() > 0.12:
+                words.append(w)
+            if rng.random() < 0.3:
+                words.append(rng.choice([b"other", b"the", b"sa", b"under", b"license"]))
+        words += rng.choices([b"the", b"license", b"nc", b"other"], k=4)
+        _, _, _, _, _, labels, score = li.scan_text(" ".join(w.decode() for w in words), INDEX, {})
+        want = brute_places(words)
+        assert labels == ",".join(sorted(want)) and score == max(want.values(), default=0.0)
