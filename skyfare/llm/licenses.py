@@ -52,8 +52,8 @@ TEMPLATES = [
 ]
 
 # Words that a place must hold if its template does, and words that make it another licence
-NAMES: frozenset[bytes] = frozenset()
-MODIFIERS: frozenset[bytes] = frozenset()
+NAMES = frozenset(b"mit apache gnu mozilla cc nc creative commons attribution unencumbered".split())
+MODIFIERS = frozenset(b"nc nd sa noncommercial noderivatives noderivs sharealike".split())
 
 _WORD_OCTETS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)

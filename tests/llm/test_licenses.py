@@ -123,6 +123,27 @@ def test_wrapped_at_any_width(template, mark, width):
     assert template[0] in labels_of("\n".join(mark + x for x in textwrap.wrap(text, width, break_long_words=False))).split(",")
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Released under the Apache License", ""),
+        ("By MIT people. Released under the Apache License", ""),
+        ("Released under the MIT License", "mit"),
+        ("Released under the terms of the MIT licence", "mit"),
+        ("Licensed under CC BY 4.0", ""),
+        ("Licensed under CC BY-NC 4.0", "cc-by-nc"),
+        ("Licensed under CC BY-NC-SA 4.0", ""),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", ""),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("MIT released a study, and the city under review took the license away", ""),
+        ("license the under MIT released", ""),
+        (f"The film was released {'as all know ' * 200} under {'as all know ' * 200} the MIT {'as ' * 200} license", ""),
+    ],
+)
+def test_near_misses(text, want):
+    assert labels_of(text) == want
+
+
 def test_places_against_brute_force():
     import random
 
