@@ -284,7 +284,11 @@ def log_odds(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 
 
 def learn_weights(pages: DataFrame, most: int = LABELLED) -> dict[str, float]:
-    """Log-odds from at most `most` pages; tags beyond HTML's own are counted as one."""
+    """Log-odds from at most `most` of the pages that name their content; tags beyond HTML's own are counted as one."""
+
+    @F.pandas_udf("boolean")
+    def names_content(sources: pd.Series) -> pd.Series:
+        return pd.Series([read_page(s).names_content for s in sources], dtype=bool)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: Counter = Counter()
@@ -296,7 +300,9 @@ def learn_weights(pages: DataFrame, most: int = LABELLED) -> dict[str, float]:
         rows = [(n, inside, c) for (n, inside), c in found.items() if len(n) < 24]
         yield pd.DataFrame(rows, columns=["feature", "inside", "n"])
 
-    few = bounded_sample(pages.select("page_id", whole_text(pages, "html").alias("html")), "page_id", most)
+    every = pages.select("page_id", whole_text(pages, "html").alias("html"))
+    named = every.filter(F.col("html").rlike("(?i)<(article|main)")).filter(names_content("html"))
+    few = bounded_sample(named, "page_id", most)
     totals = few.mapInPandas(count, "feature string, inside boolean, n bigint").groupBy("feature", "inside").agg(F.sum("n").alias("n"))
     return log_odds({(r.feature, r.inside): r.n for r in totals.orderBy(F.desc("n"), "feature").limit(2000).collect()})
 

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from skyfare.llm.html_text import best_run, extract_text, main_text
+from skyfare.llm.html_text import best_run, extract_text, learn_weights, main_text
 from tests.llm.conftest import SF_DIR
 
 
@@ -121,3 +121,12 @@ def test_long_menu_between_articles():
 )
 def test_names_leave_out_no_content(body, want):
     assert main_text(body, {}) == want
+
+
+def test_weights_come_from_the_pages_that_name_their_content(spark):
+    """Few among many that name none, or only seem to."""
+    none = ["<p>plain", "<!-- <article> --><p>plain", "<div hidden><article>no</article></div>"]
+    rows = [(i, f"<nav><a>menu</a></nav><article><p>{WORDS}</p></article>" if i % 100 == 0 else none[i % 3]) for i in range(1000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, html string")
+    want = learn_weights(pages.filter("page_id % 100 = 0"), 20)
+    assert want and learn_weights(pages, 20) == want
