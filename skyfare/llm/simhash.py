@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyfare.llm.common import held, whole_text
+from skyfare.llm.common import held, located, whole_text
 from skyfare.llm.components import components
 from skyfare.scratch import hold
 
@@ -202,9 +202,20 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id names their component: one document of each group stays.
+    """One row of each component stays: that of the smallest doc_id, at the first place (file, row) of those that share it.
 
-    Rows are told apart by doc_id; rows that repeat a doc_id within a component stay or go together.
+    A null doc_id stays only where its component has no other.
     """
-    staying = near_components(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_stays")).distinct()
-    return docs.join(staying, docs["doc_id"].eqNullSafe(staying["_stays"]), "left_semi")
+    docs, place = located(docs)
+    ranked = F.struct(docs["doc_id"].isNull().alias("unnamed"), docs["doc_id"].alias("id"), place.alias("place"))
+    prints = hold(docs.select(ranked.alias("ranked"), fingerprint(whole_text(docs)).alias("fp")), "fingerprints").df
+    least = prints.groupBy("fp").agg(F.min("ranked").alias("least"))
+    roots = held(components(fingerprint_links(prints)), "roots")
+    first = (
+        least.join(roots, F.col("fp") == F.col("node"), "left")
+        .groupBy(F.coalesce("root", "fp").alias("component"))
+        .agg(F.min("least").alias("least"))
+    )
+    staying = held(first.select("least.place"), "staying")
+    row = docs.withColumn("_place", place)
+    return row.join(staying, row["_place"] == staying["place"], "left_semi").drop("_place")

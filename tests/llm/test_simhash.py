@@ -122,3 +122,11 @@ def test_components_of_a_chain_and_a_hub(spark):
 def test_groups_of_copies_become_one_row(docs):
     found = near_components(docs.filter("doc_id < 30").withColumn("text", F.lit("one and the same text here")))
     assert {r.component_id for r in found.collect()} == {0}
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Rows that share a doc_id, or have none, with equal and with other texts."""
+    a, b, c = ("one text of a few words here", "another one about quite different things", "a third that is like neither of them")
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, c), (None, c), (None, "x y z"), (None, "x y z")]
+    kept = keep_one_each(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted(((r.text, r.doc_id) for r in kept), key=repr) == sorted([(a, 1), (b, 1), (c, 3), ("x y z", None)], key=repr)
