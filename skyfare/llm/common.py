@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skyfare.scratch import scratch_path
+from skyfare.operators.lookup import lookup_join
+from skyfare.scratch import hold, scratch_path
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -46,6 +47,40 @@ def located(df: DataFrame) -> tuple[DataFrame, Column]:
     return df, F.struct(place["file_path"].alias("file"), place["row_index"].alias("row"))
 
 
+def place_bits(places: DataFrame) -> DataFrame:
+    """(file, stretch, bits): one bit map for each 32,768 consecutive rows of a file that hold a place (file, row).
+
+    Rows are brought together before the maps are made, so no task makes a map of a few rows for every stretch.
+    """
+    at = F.col("row") + 1
+    return (
+        places.select("file", F.bitmap_bucket_number(at).alias("stretch"), F.bitmap_bit_position(at).alias("bit"))
+        .repartition("file", "stretch")
+        .groupBy("file", "stretch")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+
+
+def rows_at(docs: DataFrame, place: Column, places: DataFrame) -> DataFrame:
+    """The rows of `docs` whose place is among `places` (file, row), with all their columns.
+
+    `docs` and `place` are as `located` gives them. The rows are read once more and not shuffled: what reaches
+    them is one bit a row, 256 MiB for two thousand million rows; only beyond that is it a shuffle.
+    """
+    maps = hold(place_bits(places), "places")
+    inner = [f"_place_{c}" for c in ("file", "stretch", "bit")]
+    at = place["row"] + 1
+    marked = docs.withColumns(
+        dict(zip(inner, (place["file"], F.bitmap_bucket_number(at), F.bitmap_bit_position(at)), strict=True))
+    )
+    side = maps.select(_place_file="file", _place_stretch="stretch", _place_bits="bits")
+    found = lookup_join(
+        marked, side, {"_place_file": "_place_file", "_place_stretch": "_place_stretch"}, how="inner", salt_by=["_place_bit"]
+    )
+    octet = F.expr("cast(conv(hex(substring(_place_bits, int(_place_bit DIV 8) + 1, 1)), 16, 10) AS bigint)")
+    return found.where(F.getbit(octet, F.expr("int(_place_bit % 8)")) == 1).select(*[f"`{c}`" for c in docs.columns])
+
+
 def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     """At most `most` rows of `df`, taken by a hash of `key`; all rows if there are no more.
 

@@ -17,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skyfare.llm.common import ascii_lower, held, located, whole_text
+from skyfare.llm.common import ascii_lower, located, rows_at, whole_text
 from skyfare.operators.lookup import lookup_join
 from skyfare.scratch import hold, scratch_path
 
@@ -136,8 +136,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
+    """The rows of `docs` that stay, with all their columns, by the rule of `copy_groups`.
+
+    The texts are not shuffled. An empty table gives an empty one; columns of any name are kept as they are.
+    """
     docs, place = located(docs)
-    staying = held(copy_groups(docs).filter(_is_kept()).select("place"), "staying")
-    row = docs.withColumn("_place", place)
-    return row.join(staying, row["_place"] == staying["place"], "left_semi").drop("_place")
+    return rows_at(docs, place, copy_groups(docs).filter(_is_kept()).select("place.*"))

@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyfare.llm.common import held, located, whole_text
+from skyfare.llm.common import held, located, rows_at, whole_text
 from skyfare.llm.components import components
 from skyfare.scratch import hold
 
@@ -192,6 +192,8 @@ def near_components(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     )
     joined = roots.join(by_root, "root").select(F.col("node").alias("fp"), "joined")
     classes = least.join(joined, "fp", "left").select("fp", F.coalesce("joined", "least").alias("component_id"))
+    # written first: what is joined is then a plain scan, and a fingerprint that many rows share can be split
+    classes = held(classes, "classes")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -204,7 +206,8 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """One row of each component stays: that of the smallest doc_id, at the first place (file, row) of those that share it.
 
-    A null doc_id stays only where its component has no other.
+    A null doc_id stays only where its component has no other. The texts are not shuffled. Null text counts as
+    empty; an empty table gives an empty one; columns of any name are kept as they are.
     """
     docs, place = located(docs)
     ranked = F.struct(docs["doc_id"].isNull().alias("unnamed"), docs["doc_id"].alias("id"), place.alias("place"))
@@ -216,6 +219,4 @@ def keep_one_each(docs: DataFrame) -> DataFrame:
         .groupBy(F.coalesce("root", "fp").alias("component"))
         .agg(F.min("least").alias("least"))
     )
-    staying = held(first.select("least.place"), "staying")
-    row = docs.withColumn("_place", place)
-    return row.join(staying, row["_place"] == staying["place"], "left_semi").drop("_place")
+    return rows_at(docs, place, first.select("least.place.*"))

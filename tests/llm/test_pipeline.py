@@ -6,7 +6,9 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from skyfare.llm.common import located, rows_at
 from skyfare.llm.queries import ORACLE_SQL, QUERIES
+from skyfare.operators.lookup import BROADCAST_SETTING
 from tests.compare import differences
 from tests.llm.conftest import SF_DIR
 from tests.llm.test_packing import check
@@ -56,6 +58,29 @@ def test_stages_against_plain_python(spark, docs):
     check(rows, Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER)), texts, 2048)
 
 
+def test_rows_at_places(spark, docs):
+    """Bit maps over several files and stretches find the same rows as a plain test of the ids."""
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/places"
+    spark.range(0, 300_000, 1, 3).selectExpr("id", "id % 7 AS bits", "'x' AS stretch").write.parquet(path)
+    df, place = located(spark.read.parquet(path))
+    some = df.select("id", place.alias("place")).where("id % 13 = 5 OR id BETWEEN 140000 AND 175000").select("place.*")
+    for limit in (str(1 << 28), "0"):  # broadcast, and shuffled
+        spark.conf.set(BROADCAST_SETTING, limit)
+        found = rows_at(df, place, some)
+        assert found.columns == df.columns
+        want = [i for i in range(300_000) if i % 13 == 5 or 140_000 <= i <= 175_000]
+        assert sorted(r.id for r in found.collect()) == want
+    spark.conf.unset(BROADCAST_SETTING)
+
+
+def test_texts_are_not_shuffled(spark, docs):
+    """What leaves the two stages that drop copies is a scan and a join with broadcast bit maps."""
+    for stage in (corpus_pipeline.exact_dedup, corpus_pipeline.simhash_dedup):
+        plan = stage(spark, docs, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        shuffled = [x for x in plan.splitlines() if "Exchange" in x and "Broadcast" not in x]
+        assert not any("text" in x for x in shuffled) and "BroadcastHashJoin" in plan
+
+
 def test_stages_on_odd_rows(spark, odd, none):
     for df in (odd, none):
         for name, stage in corpus_pipeline.STAGES:

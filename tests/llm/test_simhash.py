@@ -106,7 +106,16 @@ def test_crowded_keys_lose_no_link(spark, bucket):
 def test_spanning_links_are_few():
     prints = np.array([0, 1, 2, 3, 7, 1 << 40, (1 << 40) | 1], np.uint64)
     a, b = spanning_links(prints, 3)
-    assert len(a) == 5
+    forest, expected = Forest(), Forest()
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        forest.join(x, y)
+    for x in prints.tolist():
+        for y in prints.tolist():
+            if (x ^ y).bit_count() <= 3:
+                expected.join(x, y)
+    parts = lambda f: {frozenset(x for x in prints.tolist() if f.find(x) == r) for r in map(f.find, prints.tolist())}
+    assert parts(forest) == parts(expected)
+    assert len(a) == len(prints) - len(parts(expected))  # no link too many
     assert (np.bitwise_count(a ^ b) <= 3).all()
 
 
