@@ -18,6 +18,7 @@ from skyfare.llm.pieces import encode_documents
 from skyfare.llm.quality import quality_scores
 from skyfare.llm.sharding import shard_rows
 from skyfare.llm.simhash import simhash_components
+from skyfare.llm.vector_codes import vector_codes
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_pieces": op2_pieces,
@@ -72,8 +77,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_vector_codes": op11_vector_codes,
 }
 
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, width: int = 8) -> str:
+    """Every round as a step of its own; vectors have parts * width components."""
+    places = range(1, width + 1)
+    apart = " + ".join(f"(v.q[{i}] - b.q[{i}]) * (v.q[{i}] - b.q[{i}])" for i in places)
+    floor = lambda s: f"({s} - (({s} % count(*)) + count(*)) % count(*)) // count(*)"
+    mean = ", ".join(f"CAST({floor(f'CAST(sum(v.q[{i}]) AS HUGEINT)')} AS BIGINT)" for i in places)
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        near{r} AS MATERIALIZED (
+            SELECT v.rid, v.p, min(({apart}) * {entries} + b.e) AS best FROM v JOIN book{r} b ON v.p = b.p GROUP BY v.rid, v.p
+        )""")
+        if r < rounds:
+            steps.append(f"""
+        mean{r} AS (
+            SELECT v.p, n.best % {entries} AS e, [{mean}] AS q FROM v JOIN near{r} n ON v.rid = n.rid AND v.p = n.p GROUP BY ALL
+        ),
+        book{r + 1} AS MATERIALIZED (
+            SELECT b.p, b.e, coalesce(m.q, b.q) AS q FROM book{r} b LEFT JOIN mean{r} m ON b.p = m.p AND b.e = m.e
+        )""")
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+                   list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        v AS MATERIALIZED (
+            SELECT rid, p, q[p * {width} + 1 : (p + 1) * {width}] AS q FROM kept, range({parts}) AS t(p)
+        ),
+        book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, q FROM v WHERE rid <= {entries}),
+        {",".join(steps)},
+        digest AS (
+            SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY p, e)) AS h FROM book{rounds}
+        ),
+        coded AS (
+            SELECT rid, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code,
+                   CAST(sum(best // {entries}) AS BIGINT) AS error
+            FROM near{rounds} GROUP BY rid
+        )
+        SELECT k.vec_id, c.code, c.error,
+               CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+               (SELECT h FROM digest) AS codebooks_sha256
+        FROM kept k JOIN coded c USING (rid)
+    """
+
 ORACLE_SQL: dict[str, str] = {
     "op7_exact_dedup": """
         WITH d AS (
@@ -89,4 +143,5 @@ ORACLE_SQL: dict[str, str] = {
         FROM d
         WINDOW same AS (PARTITION BY norm)
     """,
+    "op11_vector_codes": _codes_sql(),
 }

@@ -18,14 +18,15 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def test_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
 def test_queries_with_sql(spark):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     for name, sql in ORACLE_SQL.items():
         assert differences(QUERIES[name](spark, SF_DIR), con, sql) is None
 
