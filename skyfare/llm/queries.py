@@ -13,6 +13,7 @@ from skyfare.llm.fingerprints import document_fingerprints
 from skyfare.llm.html_text import extract_text
 from skyfare.llm.licenses import scan_licenses
 from skyfare.llm.line_dedup import line_report
+from skyfare.llm.merkle import verified_documents
 from skyfare.llm.packing import packed_documents
 from skyfare.llm.pieces import encode_documents
 from skyfare.llm.quality import quality_scores
@@ -66,6 +67,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_pieces": op2_pieces,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_vector_codes": op11_vector_codes,
+    "op12_merkle": op12_merkle,
 }
 
 
@@ -144,4 +150,79 @@ ORACLE_SQL: dict[str, str] = {
         WINDOW same AS (PARTITION BY norm)
     """,
     "op11_vector_codes": _codes_sql(),
+    "op12_merkle": """
+        WITH RECURSIVE fields AS (
+            SELECT row_number() OVER () AS rid, doc_id, lang, n_chars,
+                   [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS own,
+                   [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars + 1 AS VARCHAR), text] AS other,
+                   -- CRC-32, bit by bit
+                   list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                       lambda c, b: list_reduce(
+                           [xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                           lambda y, z: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384 ELSE 0 END) + z
+                       )
+                   ) AS crc
+            FROM documents
+        ),
+        leaf AS (
+            SELECT rid, doc_id, lang,
+                   sha256(list_aggregate(list_transform(own, lambda x: coalesce(strlen(x) || ':' || x, '-')), 'string_agg', '')) AS leaf,
+                   sha256(list_aggregate(list_transform(other, lambda x: coalesce(strlen(x) || ':' || x, '-')), 'string_agg', '')) AS forged,
+                   xor(crc, 4294967295) % 7 = 0 AS tampered
+            FROM fields
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+            FROM leaf
+        ),
+        tree AS (
+            SELECT lang, 0 AS lvl, pos, n, leaf AS node FROM placed
+            UNION ALL
+            SELECT lang, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+            FROM tree WHERE n > 1 GROUP BY lang, lvl, pos // 2, n
+        ),
+        top AS (
+            SELECT 0 AS lvl, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, node FROM tree WHERE n = 1
+            UNION ALL
+            SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+            FROM top WHERE n > 1 GROUP BY lvl, pos // 2, n
+        ),
+        langs AS (SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM tree WHERE n = 1),
+        lang_steps AS (
+            SELECT a.lang, a.lvl, a.pos, a.pos % 2 = 1 AS at_right, b.node AS sib
+            FROM tree a LEFT JOIN tree b ON a.lang IS NOT DISTINCT FROM b.lang AND a.lvl = b.lvl AND b.pos = xor(a.pos, 1)
+            WHERE a.n > 1
+        ),
+        top_steps AS (
+            SELECT a.lvl, a.pos, a.pos % 2 = 1 AS at_right, b.node AS sib
+            FROM top a LEFT JOIN top b ON a.lvl = b.lvl AND b.pos = xor(a.pos, 1)
+            WHERE a.n > 1
+        ),
+        steps AS MATERIALIZED (
+            SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY part, lvl) AS k, at_right, sib
+            FROM (
+                SELECT p.rid, 0 AS part, s.lvl, s.at_right, s.sib
+                FROM placed p JOIN lang_steps s ON p.lang IS NOT DISTINCT FROM s.lang AND s.pos = p.pos >> s.lvl
+                UNION ALL
+                SELECT p.rid, 1, s.lvl, s.at_right, s.sib
+                FROM placed p JOIN langs l ON p.lang IS NOT DISTINCT FROM l.lang JOIN top_steps s ON s.pos = l.pos >> s.lvl
+            )
+        ),
+        folded AS (
+            SELECT rid, 1 AS k, CASE WHEN tampered THEN forged ELSE leaf END AS value FROM placed
+            UNION ALL
+            SELECT f.rid, f.k + 1, sha256(CASE WHEN s.sib IS NULL THEN f.value WHEN s.at_right THEN s.sib || f.value ELSE f.value || s.sib END)
+            FROM folded f JOIN steps s ON f.rid = s.rid AND f.k = s.k
+        ),
+        proof AS (SELECT rid, coalesce(string_agg(sib, '' ORDER BY k), '') AS siblings FROM steps GROUP BY rid),
+        reached AS (SELECT rid, arg_max(value, k) AS value FROM folded GROUP BY rid)
+        SELECT p.doc_id, p.leaf, l.subroot, t.node AS root, sha256(coalesce(r.siblings, '')) AS proof_sha256,
+               f.value AS folded_root, f.value = t.node AS verified
+        FROM placed p
+        JOIN langs l ON p.lang IS NOT DISTINCT FROM l.lang
+        JOIN top t ON t.n = 1
+        JOIN reached f ON f.rid = p.rid
+        LEFT JOIN proof r ON r.rid = p.rid
+    """,
 }
