@@ -20,6 +20,7 @@ from skyfare.llm.quality import quality_scores
 from skyfare.llm.sharding import shard_rows
 from skyfare.llm.simhash import simhash_components
 from skyfare.llm.vector_codes import vector_codes
+from skyfare.llm.warc import archived_pages
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_documents(documents(spark, sf_dir))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_pieces": op2_pieces,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_vector_codes": op11_vector_codes,
     "op12_merkle": op12_merkle,
+    "op13_warc": op13_warc,
 }
 
 
@@ -225,4 +231,23 @@ ORACLE_SQL: dict[str, str] = {
         JOIN reached f ON f.rid = p.rid
         LEFT JOIN proof r ON r.rid = p.rid
     """,
+    "op13_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+        ),
+        d AS (
+            SELECT page_id, payload,
+                   list_aggregate(
+                       list_transform(range(32), lambda i: substr(
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                           CAST((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT) + 1, 1)),
+                       'string_agg', '') AS payload_digest
+            FROM p
+        )
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+        FROM d
+        WINDOW same AS (PARTITION BY payload)
+    """,
 }
