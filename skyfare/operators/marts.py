@@ -80,6 +80,94 @@ def daily_data_quality(validated: DataFrame) -> DataFrame:
     )
 
 
+def daily_totals(validated: DataFrame) -> DataFrame:
+    """What the three daily tables need, one row per day from one pass over the trips.
+
+    Trips are counted per day and vendor first: a vendor is then one row of its day, so counting vendors
+    takes no copies of the trips.
+    """
+    valid, check, flag = _is_valid(), F.col("data_quality_check"), F.col("missing_values_flag")
+    counts = {
+        "total": F.lit(True), "valid": valid, "invalid": check != VALID, "bad_duration": check == BAD_DURATION,
+        "zero_distance": check == ZERO_DISTANCE, "negative_fare": check == NEGATIVE_FARE,
+        "bad_passengers": check == BAD_PASSENGERS, "incomplete": flag != COMPLETE, "complete": flag == COMPLETE,
+    }
+    measures = {
+        "passengers": "passenger_count", "distance": "trip_distance", "seconds": "trip_duration_seconds",
+        "fare": "fare_amount", "tip": "tip_amount", "revenue": "total_amount",
+    }
+    means = [PartialMean(f"all_{n}", _or_zero(c)) for n, c in measures.items()]
+    means += [PartialMean(f"valid_{n}", F.when(valid, F.col(c))) for n, c in measures.items()]
+    means += [
+        PartialMean("all_tip_ratio", safe_ratio(_or_zero("tip_amount"), _or_zero("fare_amount"))),
+        PartialMean("valid_tip_ratio", F.when(valid, safe_ratio(F.col("tip_amount"), F.col("fare_amount")))),
+    ]
+    per_vendor = validated.groupBy("pickup_date", "vendor_id").agg(
+        *[F.count_if(condition).alias(name) for name, condition in counts.items()],
+        *[column for mean in means for column in mean.start()],
+    )
+    return per_vendor.groupBy("pickup_date").agg(
+        *[F.sum(name).alias(name) for name in counts],
+        F.count("vendor_id").alias("vendors"),
+        F.count(F.when(F.col("valid") > 0, F.col("vendor_id"))).alias("valid_vendors"),
+        *[F.sum(f"{mean.name}__sum").alias(f"{mean.name}_sum") for mean in means],
+        *[mean.finish().alias(f"{mean.name}_mean") for mean in means],
+    )
+
+
+def daily_trips_all_of(totals: DataFrame) -> DataFrame:
+    """`daily_trips_all` from `daily_totals`."""
+    return totals.select(
+        F.col("pickup_date").alias("trip_date"),
+        F.col("total").alias("total_trips"),
+        F.col("vendors").alias("active_vendors"),
+        F.col("all_passengers_sum").alias("total_passengers"),
+        F.col("all_distance_mean").alias("avg_distance"),
+        (F.col("all_seconds_mean") / 60).alias("avg_duration_minutes"),
+        F.col("all_fare_sum").alias("total_fare"),
+        F.col("all_tip_sum").alias("total_tips"),
+        F.col("all_revenue_sum").alias("total_revenue"),
+        (F.col("all_tip_ratio_mean") * 100).alias("avg_tip_percentage"),
+    )
+
+
+def daily_trips_valid_of(totals: DataFrame) -> DataFrame:
+    """`daily_trips_valid` from `daily_totals`; a day without valid trips has no row."""
+    return totals.where(F.col("valid") > 0).select(
+        F.col("pickup_date").alias("trip_date"),
+        F.col("valid").alias("total_trips"),
+        F.col("valid_vendors").alias("active_vendors"),
+        F.col("valid_passengers_sum").alias("total_passengers"),
+        F.col("valid_passengers_mean").alias("avg_passengers_per_trip"),
+        F.col("valid_distance_mean").alias("avg_distance"),
+        (F.col("valid_seconds_mean") / 60).alias("avg_duration_minutes"),
+        F.col("valid_fare_sum").alias("total_fare"),
+        F.col("valid_tip_sum").alias("total_tips"),
+        F.col("valid_revenue_sum").alias("total_revenue"),
+        (F.col("valid_tip_ratio_mean") * 100).alias("avg_tip_percentage"),
+    )
+
+
+def daily_data_quality_of(totals: DataFrame) -> DataFrame:
+    """`daily_data_quality` from `daily_totals`."""
+    def share(name: str) -> Column:
+        return F.round(F.lit(100.0) * F.col(name) / F.col("total"), 2)
+
+    return totals.select(
+        F.col("pickup_date").alias("report_date"),
+        F.col("total").alias("total_records"),
+        F.col("valid").alias("valid_records"),
+        F.col("invalid").alias("invalid_records"),
+        F.col("bad_duration").alias("invalid_duration"),
+        "zero_distance",
+        "negative_fare",
+        F.col("bad_passengers").alias("invalid_passengers"),
+        F.col("incomplete").alias("incomplete_records"),
+        share("valid").alias("valid_rate"),
+        share("complete").alias("complete_rate"),
+    )
+
+
 def zone_metrics(validated: DataFrame, location: str, role: str) -> DataFrame:
     """Valid trips per zone, the zone being the pickup or the dropoff `location` column."""
     placed = validated.where(F.col(location).isNotNull() & _is_valid())
@@ -96,17 +184,20 @@ def zone_metrics(validated: DataFrame, location: str, role: str) -> DataFrame:
     )
 
 
-def zone_analysis(taxi_zone: DataFrame, validated: DataFrame) -> DataFrame:
-    """Every zone with the valid trips starting and ending in it, zeros where there are none.
+def _zone_means() -> tuple[PartialMean, PartialMean]:
+    return PartialMean("fare", F.col("fare_amount")), PartialMean("distance", F.col("trip_distance"))
+
+
+def zone_ends(validated: DataFrame, *by: str) -> DataFrame:
+    """Counts and sums of the valid trips under each of their two zones, of which several rows may be of one zone.
 
     The trips are read once: they are reduced to (pickup, dropoff) pairs, and only the pairs are
     counted again under each of their two zones.
     """
-    fare = PartialMean("fare", F.col("fare_amount"))
-    distance = PartialMean("distance", F.col("trip_distance"))
+    fare, distance = _zone_means()
     pairs = (
         validated.where(_is_valid())
-        .groupBy("pickup_location_id", "dropoff_location_id")
+        .groupBy(*by, "pickup_location_id", "dropoff_location_id")
         .agg(
             _rows().alias("trips"),
             F.sum("total_amount").alias("revenue"),
@@ -118,21 +209,34 @@ def zone_analysis(taxi_zone: DataFrame, validated: DataFrame) -> DataFrame:
         F.struct(F.col("pickup_location_id").alias("zone"), F.lit(True).alias("starts")),
         F.struct(F.col("dropoff_location_id").alias("zone"), F.lit(False).alias("starts")),
     )
+    return pairs.select("*", F.inline(ends)).where(F.col("zone").isNotNull())
+
+
+def zone_days(validated: DataFrame) -> DataFrame:
+    """`zone_ends` per day, added up to one row per day, zone and end: what `zones_of_days` adds up further."""
+    sums = ["trips", "revenue", *[f"{m.name}__{part}" for m in _zone_means() for part in ("sum", "n")]]
+    ends = zone_ends(validated, "pickup_date")
+    return ends.groupBy("pickup_date", "zone", "starts").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def zone_analysis(taxi_zone: DataFrame, validated: DataFrame) -> DataFrame:
+    """Every zone with the valid trips starting and ending in it, zeros where there are none."""
+    return zones_of_days(taxi_zone, zone_ends(validated))
+
+
+def zones_of_days(taxi_zone: DataFrame, ends: DataFrame) -> DataFrame:
+    """`zone_analysis` from `zone_ends` or `zone_days`."""
+    fare, distance = _zone_means()
     starts, stops = F.col("starts"), ~F.col("starts")
-    by_zone = (
-        pairs.select("*", F.inline(ends))
-        .where(F.col("zone").isNotNull())
-        .groupBy(F.col("zone").alias("location_id"))
-        .agg(
-            F.sum(F.when(starts, F.col("trips"))).alias("pickup_trips"),
-            F.sum(F.when(stops, F.col("trips"))).alias("dropoff_trips"),
-            fare.finish(starts).alias("avg_pickup_fare"),
-            fare.finish(stops).alias("avg_dropoff_fare"),
-            distance.finish(starts).alias("avg_pickup_distance"),
-            distance.finish(stops).alias("avg_dropoff_distance"),
-            F.sum(F.when(starts, F.col("revenue"))).alias("pickup_revenue"),
-            F.sum(F.when(stops, F.col("revenue"))).alias("dropoff_revenue"),
-        )
+    by_zone = ends.groupBy(F.col("zone").alias("location_id")).agg(
+        F.sum(F.when(starts, F.col("trips"))).alias("pickup_trips"),
+        F.sum(F.when(stops, F.col("trips"))).alias("dropoff_trips"),
+        fare.finish(starts).alias("avg_pickup_fare"),
+        fare.finish(stops).alias("avg_dropoff_fare"),
+        distance.finish(starts).alias("avg_pickup_distance"),
+        distance.finish(stops).alias("avg_dropoff_distance"),
+        F.sum(F.when(starts, F.col("revenue"))).alias("pickup_revenue"),
+        F.sum(F.when(stops, F.col("revenue"))).alias("dropoff_revenue"),
     )
     role = F.when(F.col("pickup_trips").isNotNull(), F.lit("Pickup")).when(
         F.col("dropoff_trips").isNotNull(), F.lit("Dropoff")
@@ -215,3 +319,43 @@ def zone_weather_performance(fact: DataFrame) -> DataFrame:
         F.avg("precipitation_inches").alias("avg_precipitation"),
         F.avg("min_visibility_miles").alias("avg_visibility"),
     )
+
+
+def _zone_weather_means() -> dict[str, PartialMean]:
+    hours = F.col("trip_duration_seconds") / 3600
+    values = {
+        "avg_fare": F.col("fare_amount"), "avg_distance": F.col("trip_distance"),
+        "avg_speed_mph": safe_ratio(F.col("trip_distance"), hours),
+        "revenue_per_mile": safe_ratio(F.col("fare_amount"), F.col("trip_distance")),
+        "avg_temperature": F.col("avg_temperature_f"), "avg_precipitation": F.col("precipitation_inches"),
+        "avg_visibility": F.col("min_visibility_miles"),
+    }
+    return {name: PartialMean(name, value) for name, value in values.items()}
+
+
+def zone_weather_days(fact: DataFrame) -> DataFrame:
+    """What `zone_weather_of_days` adds up: one row per day, pickup zone and weather condition."""
+    known = fact.where(
+        F.col("pickup_location_id").isNotNull() & F.col("weather_condition").isNotNull()
+    )
+    return known.groupBy("pickup_date", "pickup_location_id", "weather_condition").agg(
+        _rows().alias("trips"),
+        F.sum("total_amount").alias("revenue"),
+        *[column for mean in _zone_weather_means().values() for column in mean.start()],
+    )
+
+
+def zone_weather_of_days(days: DataFrame) -> DataFrame:
+    """`zone_weather_performance` from `zone_weather_days`."""
+    done = {name: mean.finish().alias(name) for name, mean in _zone_weather_means().items()}
+    return days.groupBy("pickup_location_id", "weather_condition").agg(
+        F.sum("trips").alias("total_trips"),
+        done["avg_fare"],
+        done["avg_distance"],
+        F.sum("revenue").alias("total_revenue"),
+        done["avg_speed_mph"],
+        done["revenue_per_mile"],
+        done["avg_temperature"],
+        done["avg_precipitation"],
+        done["avg_visibility"],
+    )

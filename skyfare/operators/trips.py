@@ -79,6 +79,37 @@ def label_trips(
     )
 
 
+_LABELS = ["data_quality_check", "missing_values_flag", "is_valid_pickup_date", "is_valid_dropoff_date"]
+
+
+def trips_wide(
+    trips: DataFrame,
+    mapping: Held | DataFrame,
+    hourly: Held | DataFrame,
+    as_of: dt.date | None = None,
+    min_date: dt.date = DEFAULT_MIN_DATE,
+) -> DataFrame:
+    """The validated trips with all of their hour's weather beside them."""
+    joined = with_weather(with_station(trips, mapping), hourly, _HOUR_WEATHER)
+    return label_trips(joined, as_of, min_date, _HOUR_WEATHER)
+
+
+def validated_of(wide: DataFrame) -> DataFrame:
+    """`trips_validated` from `trips_wide`."""
+    return wide.select(*_VALIDATED, *_LABELS)
+
+
+def facts_of(
+    wide: DataFrame, mapping: Held | DataFrame, hourly: Held | DataFrame
+) -> DataFrame:
+    """The fact table from `trips_wide`: its valid trips. Only where a zone or a station's hour is listed twice
+    are they looked up again, as each lookup then multiplies them."""
+    mapping, hourly = measure(mapping), measure(hourly)
+    if not (_listed_once(mapping, "taxi_zone_id") and _listed_once(hourly, "station", "observation_hour")):
+        return trips_with_weather(validated_of(wide), mapping, hourly)
+    return _as_facts(wide.where(F.col("data_quality_check") == VALID))
+
+
 def trips_validated(
     trips: DataFrame,
     mapping: Held | DataFrame,
@@ -135,6 +166,5 @@ def facts(
     mapping, hourly = measure(mapping), measure(hourly)
     if not (_listed_once(mapping, "taxi_zone_id") and _listed_once(hourly, "station", "observation_hour")):
         return trips_with_weather(trips_validated(staged, mapping, hourly, as_of, min_date), mapping, hourly)
-    joined = with_weather(with_station(staged, mapping), hourly, _HOUR_WEATHER)
-    labelled = label_trips(joined, as_of, min_date, _HOUR_WEATHER)
-    return _as_facts(labelled.where(F.col("data_quality_check") == VALID))
+    wide = trips_wide(staged, mapping, hourly, as_of, min_date)
+    return _as_facts(wide.where(F.col("data_quality_check") == VALID))

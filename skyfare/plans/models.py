@@ -19,10 +19,20 @@ from skyfare.operators.marts import (
 )
 from skyfare.operators.staging import stg_weather_data, stg_yellow_trips
 from skyfare.operators.stations import zone_station_mapping
-from skyfare.operators.trips import facts, trips_validated, trips_with_weather
+from skyfare.operators.trips import facts, trips_validated
 from skyfare.operators.weather import weather_hourly
-from skyfare.scratch import Held, hold, measure
-from skyfare.sinks.tables import append, incremental, materialize
+from skyfare.plans.days import Days
+from skyfare.plans.stored import (
+    Bounds,
+    StoredModels,
+    fact_rows,
+    save_facts,
+    save_lookup,
+    save_trips,
+    saved_zone_analysis,
+)
+from skyfare.scratch import Held, hold
+from skyfare.sinks.tables import append, incremental, materialize, table_exists
 from skyfare.sources.dimensions import DEFAULT_BOROUGH_STATIONS, borough_station
 
 MODELS = (
@@ -43,11 +53,12 @@ MODELS = (
 
 @dataclass(frozen=True)
 class Sources:
-    """Raw tables."""
+    """Raw tables, and the trip files (source_file, rows) where a ledger has them."""
 
     trips: DataFrame
     weather: DataFrame
     taxi_zone: DataFrame
+    files: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -84,7 +95,7 @@ def load_fact(store: TableStore, fact: DataFrame, full_refresh: bool = False) ->
     model = "fct_taxi_trips_with_weather"
     layout = (["pickup_date"], ["pickup_location_id", "weather_station"])
     spark, name = fact.sparkSession, store.name(model)
-    if full_refresh or not spark.catalog.tableExists(name):
+    if full_refresh or not table_exists(spark, name):
         return store.save(model, fact, *layout)
     append(incremental(fact, name, "pickup_date"), name, layout[1])
     return spark.table(name)
@@ -101,50 +112,69 @@ def build_models(
 ) -> dict[str, DataFrame]:
     """All models by name.
 
-    With a `store`, staging stays lazy and every later model is a table, so the join of trips to
-    weather runs once for its five readers. Without one, only the two small lookup tables are held
-    and the rest is one lazy plan per model.
+    With a `store`, staging stays lazy and every later model is a table, or a view of one. A build into a
+    store that has been built into works on the days that have changed since (see `plans.stored`); with
+    `full_refresh` it works on all, and the fact table is rebuilt. Days are told by the trips' `source_file`:
+    without that column every build works on all days. A file of another number of rows is a new one.
+
+    Without a store, only the two small lookup tables are held and the rest is one lazy plan per model.
     """
     boroughs = borough_station(spark, borough_stations)
     m: dict[str, DataFrame] = {
         "stg_yellow_trips": stg_yellow_trips(sources.trips),
         "stg_weather_data": stg_weather_data(sources.weather),
     }
-
-    def lookup(model: str, df: DataFrame, partition_by: Sequence[str] = ()) -> Held:
-        if store is None:
-            held = hold(df, model)
-        else:
-            held = measure(store.save(model, df, partition_by))
-        m[model] = held.df
-        return held
-
-    def table(model: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        m[model] = df if store is None else store.save(model, df, partition_by)
-        return m[model]
-
-    mapping = lookup(
-        "stg_zone_to_station_mapping",
-        zone_station_mapping(sources.taxi_zone, boroughs, sources.weather),
-    )
-    hourly = lookup(
-        "int_weather_hourly", weather_hourly(m["stg_weather_data"]), ["observation_date"]
-    )
-    validated = table(
-        "int_yellow_trips_validated",
-        trips_validated(m["stg_yellow_trips"], mapping, hourly, as_of, min_date),
-        ["pickup_date"],
-    )
-    if store is None:
-        fact = facts(m["stg_yellow_trips"], mapping, hourly, as_of, min_date)
-    else:
-        # from the stored trips: an increment reads only the days above the fact table's mark
-        fact = load_fact(store, trips_with_weather(validated, mapping, hourly), full_refresh)
+    mapping = hold(zone_station_mapping(sources.taxi_zone, boroughs, sources.weather), "mapping")
+    hourly = hold(weather_hourly(m["stg_weather_data"]), "hourly")
+    if store is not None:
+        m |= _stored(StoredModels(spark, store), sources, m["stg_yellow_trips"], mapping, hourly, as_of, min_date, full_refresh)
+        return {model: m[model] for model in MODELS}
+    m["stg_zone_to_station_mapping"], m["int_weather_hourly"] = mapping.df, hourly.df
+    validated = trips_validated(m["stg_yellow_trips"], mapping, hourly, as_of, min_date)
+    fact = facts(m["stg_yellow_trips"], mapping, hourly, as_of, min_date)
+    m["int_yellow_trips_validated"] = validated
     m["fct_taxi_trips_with_weather"] = fact
-    table("mart_daily_trips_all", daily_trips_all(validated), ["trip_date"])
-    table("mart_daily_trips_valid", daily_trips_valid(validated), ["trip_date"])
-    table("mart_daily_trips_data_quality", daily_data_quality(validated), ["report_date"])
-    table("mart_zone_analysis", zone_analysis(sources.taxi_zone, validated))
-    table("mart_daily_weather_impact", daily_weather_impact(fact))
-    table("mart_zone_weather_performance", zone_weather_performance(fact))
+    m["mart_daily_trips_all"] = daily_trips_all(validated)
+    m["mart_daily_trips_valid"] = daily_trips_valid(validated)
+    m["mart_daily_trips_data_quality"] = daily_data_quality(validated)
+    m["mart_zone_analysis"] = zone_analysis(sources.taxi_zone, validated)
+    m["mart_daily_weather_impact"] = daily_weather_impact(fact)
+    m["mart_zone_weather_performance"] = zone_weather_performance(fact)
     return m
+
+
+def _stored(
+    models: StoredModels,
+    sources: Sources,
+    staged: DataFrame,
+    mapping: Held,
+    hourly: Held,
+    as_of: dt.date | None,
+    min_date: dt.date,
+    full_refresh: bool,
+) -> dict[str, DataFrame]:
+    """The models that are tables, brought up to date."""
+    bounds = Bounds.at(models.spark, min_date, as_of)
+
+    def staged_days(trips: DataFrame) -> Days:
+        return Days.of(stg_yellow_trips(trips), "pickup_date")
+
+    files = models.files_now(sources)
+    days = None if full_refresh else models.days_to_build(staged_days, sources.trips, files, mapping, hourly, bounds)
+    models.begin(days)
+    mapping = save_lookup(models, "stg_zone_to_station_mapping", mapping)
+    hourly = save_lookup(models, "int_weather_hourly", hourly, ("observation_date",))
+    built = save_trips(models, staged, mapping, hourly, as_of, min_date, days)
+    fact_table = models.store.name("fct_taxi_trips_with_weather")
+    rebuilt = full_refresh or not table_exists(models.spark, fact_table)
+    # an increment reads only the days above the fact table's mark
+    fact = load_fact(models.store, fact_rows(models, mapping, hourly), full_refresh)
+    built |= save_facts(models, fact, rebuilt)
+    built["mart_zone_analysis"] = saved_zone_analysis(models, sources.taxi_zone)
+    models.finish(files, bounds)
+    return {
+        **built,
+        "stg_zone_to_station_mapping": mapping.df,
+        "int_weather_hourly": hourly.df,
+        "fct_taxi_trips_with_weather": fact,
+    }

@@ -105,12 +105,16 @@ def hold(df: DataFrame, name: str = "held") -> Held:
     return Held(sized.df, sized.rows, sized.widths, path)
 
 
+def remove_path(spark: SparkSession, folder: str) -> None:
+    """Remove a folder with all its files, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(table: Held) -> None:
     """Remove a held table that nothing will read again."""
     if table.path is not None:
-        spark = table.df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(table.df.sparkSession, table.path)
 
 
 def measure(table: Held | DataFrame) -> Held:

@@ -11,6 +11,9 @@ from skyfare.sinks.tables import (
     laid_out,
     materialize,
     partition_columns,
+    replace_partitions,
+    replace_table,
+    table_exists,
     upsert,
 )
 
@@ -25,5 +28,8 @@ __all__ = [
     "laid_out",
     "materialize",
     "partition_columns",
+    "replace_partitions",
+    "replace_table",
+    "table_exists",
     "upsert",
 ]

@@ -6,13 +6,14 @@ and a hot date is split over several, so neither many tiny files nor one huge ta
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Collection, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyfare.operators.lookup import lookup_join
-from skyfare.scratch import discard, hold
+from skyfare.scratch import Held, discard, hold, remove_path
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -62,6 +63,57 @@ def materialize(
     return df.sparkSession.table(name)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    """Where a table's files are."""
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return about["Location"].rstrip("/")
+
+
+def _drop(spark: SparkSession, table: str) -> None:
+    """Drop a table with its files, also an external one's."""
+    if spark.catalog.tableExists(table):
+        location = _location(spark, table)
+        spark.sql(f"DROP TABLE {table}")
+        remove_path(spark, location)
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    """Whether the table exists. A replacement of it that broke off between its two renames is finished first."""
+    following, former = f"{name}__next", f"{name}__former"
+    exists = spark.catalog.tableExists(name)
+    if spark.catalog.tableExists(former):
+        if not exists and spark.catalog.tableExists(following):
+            spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+            exists = True
+        if exists:
+            _drop(spark, former)
+    return exists
+
+
+def replace_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+) -> DataFrame:
+    """Put `df` in the place of table `name`, which `df` may read.
+
+    It is written in full to a second location, as a table of its own; the two tables then change names,
+    which touches none of the new files, and the former one is removed. Whatever fails while it is
+    written leaves the old table whole. What fails between the renames is made good by the next
+    `table_exists`. The table then lies beside its former place, on a path of its own: ask the catalog for it.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        return materialize(df, name, "overwrite", partition_by, cluster_by)
+    following, former = f"{name}__next", f"{name}__former"
+    path = f"{_location(spark, name).split('__at_')[0]}__at_{uuid.uuid4().hex}"
+    _drop(spark, following)  # of an earlier attempt
+    materialize(df, following, "overwrite", partition_by, cluster_by, path)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+    _drop(spark, former)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
@@ -75,16 +127,23 @@ def ensure_table(
     path: str | None = None,
 ) -> None:
     """Create an empty table unless it exists."""
-    if not spark.catalog.tableExists(name):
+    if not table_exists(spark, name):
         materialize(spark.createDataFrame([], schema), name, "error", partition_by, path=path)
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
+_DOUBLE_DIGITS = 15
+_DOUBLE_WHOLE = 1 << 53  # up to here a double holds every whole number
 
 
 def wider(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The narrowest type that holds the values of both; TypeError if there is none."""
+    """The narrowest type that holds the values of both; TypeError if there is none.
+
+    Whole numbers and fractions are a double, which holds whole numbers up to 2**53 only: `evolve` and the
+    loads look at the values first. Decimals of more than 15 digits beside fractions, or that no decimal
+    holds together, are text.
+    """
     if a == b or isinstance(b, T.NullType):
         return a
     if isinstance(a, T.NullType):
@@ -94,11 +153,12 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType:
         return max(pair, key=lambda x: _INTEGRAL.index(type(x)))
     if all(isinstance(x, (*_INTEGRAL, *_FLOATING, T.DecimalType)) for x in pair):
         if any(isinstance(x, _FLOATING) for x in pair):
-            return T.DoubleType()
+            long = any(isinstance(x, T.DecimalType) and x.precision > _DOUBLE_DIGITS for x in pair)
+            return T.StringType() if long else T.DoubleType()
         decimals = [x if isinstance(x, T.DecimalType) else T.DecimalType(20, 0) for x in pair]
         scale = max(x.scale for x in decimals)
         whole = max(x.precision - x.scale for x in decimals)
-        return T.DecimalType(min(38, whole + scale), scale) if whole + scale <= 38 else T.DoubleType()
+        return T.DecimalType(min(38, whole + scale), scale) if whole + scale <= 38 else T.StringType()
     if any(isinstance(x, T.StringType) for x in pair) and not any(
         isinstance(x, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for x in pair
     ):
@@ -109,13 +169,43 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType:
     raise TypeError(f"no type holds both {a.simpleString()} and {b.simpleString()}")
 
 
-def widened(have: T.StructType, more: T.StructType) -> T.StructType:
+_wider = wider
+
+
+def beyond_double(df: DataFrame, columns: Collection[str]) -> set[str]:
+    """Which of the whole-number `columns` (any letter case) hold a value that a double cannot; names in lower case.
+
+    One aggregate over these columns alone, and none if `df` has none of them as whole numbers.
+    """
+    wanted = {c.lower() for c in columns}
+    whole = [f.name for f in df.schema.fields if f.name.lower() in wanted and isinstance(f.dataType, T.LongType)]
+    if not whole:
+        return set()
+    far = [(F.max(F.col(f"`{c}`")) > _DOUBLE_WHOLE) | (F.min(F.col(f"`{c}`")) < -_DOUBLE_WHOLE) for c in whole]
+    found = df.agg(*[x.alias(str(i)) for i, x in enumerate(far)]).first()
+    return {c.lower() for c, x in zip(whole, found, strict=True) if x}
+
+
+def doubled(have: T.StructType, more: T.StructType) -> set[str]:
+    """Columns (lower case) that are whole numbers in one schema and fractions in the other."""
+    named = {f.name.lower(): f.dataType for f in more.fields}
+    pairs = [(f.name.lower(), {type(f.dataType), type(named[f.name.lower()])}) for f in have.fields if f.name.lower() in named]
+    return {name for name, kinds in pairs if T.LongType in kinds and kinds & {T.FloatType, T.DoubleType}}
+
+
+def widened(have: T.StructType, more: T.StructType, as_text: Collection[str] = ()) -> T.StructType:
     """The columns of `have`, then those that only `more` has, each in a type that holds both. Names
-    are matched without regard to letter case, as Spark does; `have` decides how they are written."""
+    are matched without regard to letter case, as Spark does; `have` decides how they are written.
+    Columns of `as_text` (lower case) are text where they would be doubles."""
+
+    def wider(a: T.DataType, b: T.DataType, name: str = "") -> T.DataType:
+        kind = _wider(a, b)
+        return T.StringType() if kind == T.DoubleType() and name in as_text else kind
+
     named = {f.name.lower(): f for f in more.fields}
     known = {f.name.lower() for f in have.fields}
     both = [
-        T.StructField(f.name, wider(f.dataType, named[f.name.lower()].dataType) if f.name.lower() in named else f.dataType)
+        T.StructField(f.name, wider(f.dataType, named[f.name.lower()].dataType, f.name.lower()) if f.name.lower() in named else f.dataType)
         for f in have.fields
     ]
     added = [T.StructField(f.name, f.dataType) for f in more.fields if f.name.lower() not in known]
@@ -146,6 +236,8 @@ def _must_fit(df: DataFrame, table: str, schema: T.StructType) -> None:
     if surplus:
         raise ValueError(f"{table} has no column {', '.join(surplus)}")
     for now, then in zip(schema.fields, widened(schema, df.schema).fields, strict=True):
+        if isinstance(now.dataType, T.DoubleType) and now.name.lower() in beyond_double(df, doubled(schema, df.schema)):
+            raise ValueError(f"{table}.{now.name} is double and cannot hold whole numbers beyond 2**53")
         if now.dataType != then.dataType:
             raise ValueError(
                 f"{table}.{now.name} is {now.dataType.simpleString()} and needs {then.dataType.simpleString()}"
@@ -164,20 +256,21 @@ def append(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
     laid_out(rows, partition_columns(spark, table), cluster_by).write.insertInto(table)
 
 
-def _external_path(spark: SparkSession, table: str) -> str | None:
-    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    return about.get("Location") if about.get("Type") == "EXTERNAL" else None
-
-
-def evolve(spark: SparkSession, table: str, schema: T.StructType) -> None:
+def evolve(
+    spark: SparkSession, table: str, schema: T.StructType, as_text: Collection[str] = ()
+) -> None:
     """Give an existing table the columns of `schema` that it lacks, NULL in its rows, and types that
-    hold those of `schema` too. A column whose type changes makes the table be written anew."""
+    hold those of `schema` too.
+
+    A column whose type changes makes the table be written anew, beside the old one, which stays whole
+    until it is replaced. A column of whole numbers beyond 2**53 that meets fractions becomes text, which
+    keeps both; so do the columns `as_text`, whose new values are such.
+    """
     have = spark.table(table).schema
-    want = widened(have, schema)
+    far = beyond_double(spark.table(table), doubled(have, schema))
+    want = widened(have, schema, {*as_text, *far})
     if any(now.dataType != then.dataType for now, then in zip(have.fields, want.fields, strict=False)):
-        parts = partition_columns(spark, table)
-        ready = hold(aligned(spark.table(table), want), "widened").df
-        materialize(ready, table, "overwrite", parts, path=_external_path(spark, table))
+        replace_table(aligned(spark.table(table), want), table, partition_columns(spark, table))
         return
     added = want.fields[len(have.fields) :]
     if added:
@@ -188,7 +281,11 @@ def evolve(spark: SparkSession, table: str, schema: T.StructType) -> None:
 def append_evolving(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
     """Add rows to an existing table; columns the table lacks are added to it first, and are NULL
     in the rows it already has; a type that cannot hold the new values becomes wider."""
-    evolve(df.sparkSession, table, df.schema)
+    spark = df.sparkSession
+    table_exists(spark, table)
+    have = spark.table(table).schema
+    far = beyond_double(df, doubled(have, df.schema))
+    evolve(spark, table, df.schema, far)
     append(df, table, cluster_by)
 
 
@@ -206,7 +303,7 @@ def incremental(
     mark, and a full refresh ignores it: then all rows are to be loaded.
     """
     spark = df.sparkSession
-    if full_refresh or not spark.catalog.tableExists(table):
+    if full_refresh or not table_exists(spark, table):
         return df
     target = spark.table(table)
     return df if target.isEmpty() else above_high_water(df, target, column)
@@ -250,12 +347,42 @@ def upsert(
     kept = in_reach.join(rows.select(*keys).distinct(), list(keys), "left_anti")
     merged = kept.select(*target.columns).unionByName(aligned(rows, target.schema))
     # a table cannot be overwritten while it is read, so the merged partitions are held first
-    ready = hold(merged, "upsert-merged")
+    _overwrite_partitions(hold(merged, "upsert-merged"), table, partition_by, cluster_by)
+    discard(copy)
+
+
+def _overwrite_partitions(ready: Held, table: str, partition_by: str, cluster_by: Sequence[str]) -> None:
+    """Put the rows of a held table in the place of the partitions that they are in; the copy is removed."""
+    spark = ready.df.sparkSession
     # the mode belongs to a session, and others may be writing in this one
     apart = spark.newSession()
     apart.conf.set(_OVERWRITE_MODE, "dynamic")
     again = apart.read.schema(ready.df.schema).parquet(ready.path)
     laid_out(again, [partition_by], cluster_by).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
-    discard(copy)
     discard(ready)
+
+
+def replace_partitions(
+    df: DataFrame, table: str, partition_by: str, values: Collection[object] = (), cluster_by: Sequence[str] = ()
+) -> None:
+    """Replace the partitions of `table` that `df`, which may read the table, has rows in.
+
+    Partitions of `values` that `df` has no rows in are removed. Partitions are swapped in one after another:
+    if that breaks off, doing it again puts it right.
+    """
+    spark = df.sparkSession
+    ready = hold(aligned(df, spark.table(table).schema), "partitions")
+    present = {r[0] for r in ready.df.select(partition_by).distinct().collect()} if values else set()
+    if ready.rows:
+        _overwrite_partitions(ready, table, partition_by, cluster_by)
+    gone = set(values) - present
+    if gone:
+        stored = {r[0] for r in spark.table(table).select(partition_by).distinct().collect()}
+        location = _location(spark, table)
+        for value in gone & stored:
+            label = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+            spec = "NULL" if value is None else f"'{value}'"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {spec})")
+            remove_path(spark, f"{location}/{partition_by}={label}")
+        spark.catalog.refreshTable(table)

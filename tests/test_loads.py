@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 import uuid
 
@@ -12,7 +13,7 @@ from skyfare.operators import lookup, quality
 from skyfare.operators.lookup import lookup_join, salts_for
 from skyfare.plans import Check, ChecksFailed, enforce_checks, ingest, ingest_trips, run_checks
 from skyfare.scratch import hold, measure
-from skyfare.sinks import append, append_evolving, materialize, upsert
+from skyfare.sinks import append, append_evolving, materialize, replace_partitions, tables, upsert
 from skyfare.sinks.tables import wider, widened
 from skyfare.streaming import stream_trips
 
@@ -58,7 +59,72 @@ def test_append_evolving_widens_a_partitioned_table(spark, name, tmp_path):
     append_evolving(spark.sql("SELECT 1.75D AS A, 'y' AS P, 7 AS more"), name)
     assert rows(spark.table(name).select("a", "p", "more")) == [(1.0, "x", None), (1.75, "y", 7)]
     assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["p"]
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    where = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location"][0]
+    assert spark.read.parquet(where).count() == 2
+    assert [p.name for p in tmp_path.iterdir()] == [where.split("/")[-1]]  # the former files are gone
+
+
+def test_whole_numbers_beyond_a_double_become_text(spark, name):
+    far = 2**53 + 1
+    materialize(spark.sql(f"SELECT {far}L AS a, 7L AS b, 1.5D AS c, 2.5D AS d"), name)
+    append_evolving(spark.sql(f"SELECT 0.5D AS a, 0.5D AS b, {far}L AS c, 3L AS d"), name)
+    assert spark.table(name).schema.simpleString() == "struct<a:string,b:double,c:string,d:double>"
+    assert rows(spark.table(name)) == [("0.5", 0.5, str(far), 3.0), (str(far), 7.0, "1.5", 2.5)]
+    other = f"{name}_b"
+    materialize(spark.sql("SELECT 1.5D AS c"), other)
+    with pytest.raises(ValueError, match="beyond 2"):
+        append(spark.sql(f"SELECT {far}L AS c"), other)
+    assert wider(T.DecimalType(18, 2), T.DoubleType()) == T.StringType()
+    assert wider(T.DecimalType(10, 2), T.DoubleType()) == T.DoubleType()
+    assert wider(T.DecimalType(38, 0), T.DecimalType(10, 9)) == T.StringType()
+
+
+@pytest.mark.parametrize("external", [False, True])
+@pytest.mark.parametrize("broken", ["materialize", "RENAME TO former", "RENAME TO name", "drop"])
+def test_a_replacement_that_breaks_off(spark, name, tmp_path, monkeypatch, broken, external):
+    """The old table is whole until the new one is, and what breaks off later is finished by the next use."""
+    path = str(tmp_path / "t") if external else None
+    materialize(spark.sql("SELECT 1 AS a, 'x' AS p"), name, partition_by=["p"], path=path)
+    new = spark.sql("SELECT 1.5D AS a, 'y' AS p")
+
+    class Lost(Exception):
+        pass
+
+    def lost(*_, **__):
+        raise Lost
+
+    real_sql = spark.sql
+
+    def sql(text, *args):
+        if broken.startswith("RENAME") and text.endswith(broken.replace("former", f"{name}__former").replace("name", name)):
+            raise Lost
+        return real_sql(text, *args)
+
+    with monkeypatch.context() as m:
+        if broken == "materialize":
+            m.setattr(tables, "materialize", lost)
+        elif broken == "drop":
+            real_drop = tables._drop
+            m.setattr(tables, "_drop", lambda s, t: lost() if t.endswith("__former") else real_drop(s, t))
+        else:
+            m.setattr(spark, "sql", sql)
+        with pytest.raises(Lost):
+            append_evolving(new, name)
+    if broken in ("materialize", "RENAME TO former"):
+        assert rows(spark.table(name)) == [(1, "x")]
+    append_evolving(new, name)
+    assert rows(spark.table(name)) == [(1.0, "x"), (1.5, "y")]
+    assert not spark.catalog.tableExists(f"{name}__next") and not spark.catalog.tableExists(f"{name}__former")
+
+
+def test_partitions_are_replaced_and_removed(spark, name):
+    df = spark.sql("SELECT * FROM VALUES (1, date'2024-01-01'), (2, date'2024-01-02'), (3, null), (4, date'2024-01-04') AS t(a, d)")
+    materialize(df, name, partition_by=["d"])
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None, dt.date(2024, 1, 9)]
+    replace_partitions(spark.table(name).where("a = 2").withColumn("a", F.col("a") * 10), name, "d", days)
+    assert rows(spark.table(name).select("a")) == [(20,), (4,)]
+    replace_partitions(spark.table(name).where("false"), name, "d", [dt.date(2024, 1, 4)])
+    assert rows(spark.table(name).select("a")) == [(20,)]
 
 
 @pytest.fixture

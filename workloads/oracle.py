@@ -468,6 +468,81 @@ mart_daily_weather_impact AS ({WEATHER_IMPACT}),
 mart_zone_weather_performance AS ({ZONE_WEATHER})"""
 
 
+# The second build: what its first load had, and the last settled day then.
+SECOND_TRIPS = "(pu >= TIMESTAMP '2024-01-21' OR (CAST(pu AS DATE) = DATE '2024-01-05' AND minute(pu) < 20))"
+LATE_WEATHER = "(valid >= TIMESTAMP '2024-01-23' OR (CAST(valid AS DATE) = DATE '2024-01-10' AND minute(valid) < 30))"
+LOCATED = VAL_A[VAL_A.index("located AS") : VAL_A.index("named AS")]
+FACT_ONLY = FACT_A[len(VAL_A) :]
+FIRST_FACT = (
+    RAW + "," + staged(f"(SELECT * FROM trips_a WHERE NOT {SECOND_TRIPS})")
+    + DIMENSIONS.replace("FROM obs", f"FROM (SELECT * FROM obs WHERE NOT {LATE_WEATHER})")
+    + "," + LOCATED + labelled("2024-01-03", "2024-01-22", "located").lstrip() + FACT_ONLY
+)
+SECOND_RUN = (
+    VAL_A + FACT_ONLY.replace("fact AS (", "fact_now AS (")
+    + f""",
+fact_first AS (WITH {FIRST_FACT.strip()} SELECT * FROM fact),
+fact AS (
+    SELECT * FROM fact_first
+    UNION ALL BY NAME
+    SELECT * FROM fact_now WHERE pu_date > (SELECT max(pu_date) FROM fact_first))"""
+)
+
+
+def content(model: str, table: str, numbers: str = "", text: str = "", days: str = "", times: str = "") -> str:
+    """One row per column: values that are there, and their sum; of text its length, of days those since 2020,
+    of times their hours. A column is `name` or `name=expression`."""
+    forms = ((numbers, "{}"), (text, "length({})"), (days, "datediff('day', DATE '2020-01-01', CAST({} AS DATE))"), (times, "hour({})"))
+    rows = []
+    for columns, form in forms:
+        for column in filter(None, (c.strip() for c in columns.split(";"))):
+            name, _, expression = column.partition("=")
+            value = expression or name
+            total = f"round(sum(CAST({form.format(value)} AS DOUBLE)) + 3e-9, 3)"
+            rows.append(f"""SELECT '{model}' AS model, '{name}' AS "column", count({value}) AS n, {total} AS total FROM {table}""")
+    return "\n    UNION ALL ".join(rows)
+
+
+def second_run() -> str:
+    trip = (
+        "passenger_count=pass; trip_distance=dist; ratecode_id=1; pickup_location_id=pu_zone; dropoff_location_id=do_zone;"
+        "payment_type_id=pay; fare_amount=fare; extra=0; mta_tax=0; tip_amount=tip; tolls_amount=0; improvement_surcharge=0;"
+        "total_amount=total; congestion_surcharge=0; pickup_year=year(pu); pickup_month=month(pu); pickup_day=day(pu);"
+        "pickup_hour=hour(pu); pickup_weekday=dayofweek(pu) + 1; trip_duration_seconds=secs;"
+    )
+    words, moments = "vendor_id=vendor; store_and_fwd_flag='N';", "pickup_datetime=pu; dropoff_datetime=doff;"
+    hour = "; ".join(HOUR_NUMBERS.split())
+    observed = (
+        "lat; lon; temperature_f=tmpf; temperature_c=(tmpf - 32) * 5 / 9; precipitation_inches=p01i; visibility_miles=vsby;"
+        "wind_speed_knots=sknt; wind_gust_knots=gust; hour_of_day=hour(valid); day_of_week=dayofweek(valid) + 1"
+    )
+    all_days = "(" + daily_all("x AS (SELECT 1)").split("\n", 1)[1] + ")"
+    valid_days = "(" + daily_valid("x AS (SELECT 1)").split("\n", 1)[1] + ")"
+    quality_days = "(" + daily_quality("x AS (SELECT 1)").split("\n", 1)[1] + ")"
+    zones = "(" + zones_of("x AS (SELECT 1)").split("\n", 1)[1] + ")"
+    daily = "total_trips; active_vendors; total_passengers; avg_distance; avg_duration_minutes; total_fare; total_tips; total_revenue; avg_tip_percentage"
+    parts = [
+        content("stg_yellow_trips", "stg", trip, words, "pickup_date=pu_date", moments + "pickup_hour_rounded=pu_hour"),
+        content("stg_weather_data", "obs", observed, "station; station_name; station_zone; sky_condition=skyc1; weather_codes=wxcodes", "observation_date=valid", "observation_time=valid; observation_hour=valid"),
+        content("stg_zone_to_station_mapping", "mapping", "taxi_zone_id", "taxi_zone_name; taxi_borough; station_id; station_name; station_zone"),
+        content("int_weather_hourly", "hourly", f"{hour}; hour_of_day; observation_count", "station; station_name; station_zone; weather_condition", "observation_date", "observation_hour"),
+        content(
+            "int_yellow_trips_validated", "val",
+            trip + "is_valid_pickup_date=CAST(is_valid_pickup_date AS INTEGER); is_valid_dropoff_date=CAST(is_valid_dropoff_date AS INTEGER)",
+            words + "station_id; station_name; station_zone; weather_condition; data_quality_check; missing_values_flag",
+            "pickup_date=pu_date", moments + "pickup_hour_rounded=pu_hour",
+        ),
+        content("fct_taxi_trips_with_weather", "fact", trip + hour, words + "weather_station; station_name; station_zone; weather_condition; data_quality_check; missing_values_flag", "pickup_date=pu_date", moments),
+        content("mart_daily_trips_all", all_days, daily, "", "trip_date"),
+        content("mart_daily_trips_valid", valid_days, daily + "; avg_passengers_per_trip", "", "trip_date"),
+        content("mart_daily_trips_data_quality", quality_days, "total_records; valid_records; invalid_records; invalid_duration; zero_distance; negative_fare; invalid_passengers; incomplete_records; valid_rate; complete_rate", "", "report_date"),
+        content("mart_zone_analysis", zones, "LocationID; pickup_trips; dropoff_trips; total_trips; avg_pickup_fare; avg_dropoff_fare; avg_pickup_distance; avg_dropoff_distance; pickup_revenue; dropoff_revenue", "Borough; Zone; service_zone; primary_zone_role"),
+        content("mart_daily_weather_impact", f"({WEATHER_IMPACT})", "trip_count; active_pickup_zones; active_dropoff_zones;" + "; ".join(IMPACT_NUMBERS.split()), "weather_condition", "pickup_date"),
+        content("mart_zone_weather_performance", f"({ZONE_WEATHER})", "pickup_location_id; total_trips;" + "; ".join(ZONE_WEATHER_NUMBERS.split()), "weather_condition"),
+    ]
+    return sql(SECOND_RUN, "\n    UNION ALL ".join(parts))
+
+
 def oracle_sql() -> dict[str, str]:
     queries = {
         "stg_trips": sql(STG_A, f"SELECT {TRIP_COLUMNS}, {stamp('pu_hour')} AS pickup_hour_rounded FROM stg"),
@@ -536,6 +611,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'mart_zone_analysis', count(*) FROM zones
             UNION ALL SELECT 'mart_daily_weather_impact', count(DISTINCT (pu_date, weather_condition)) FROM fact
             UNION ALL SELECT 'mart_zone_weather_performance', count(DISTINCT (pu_zone, weather_condition)) FROM fact"""),
+        "build_models_second_run": second_run(),
         "quality_label_counts_b": sql(VAL_B, "SELECT data_quality_check, count(*) AS trips FROM val GROUP BY 1"),
         "daily_trips_all_b": daily_all(VAL_B),
         "daily_trips_valid_b": daily_valid(VAL_B),
@@ -645,6 +721,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
                    CASE WHEN l_returnflag = 'N' THEN 'N' END AS l_returnflag
             FROM lineitem""",
+        "append_wide_integers": f"""
+            SELECT l_orderkey,
+                   CASE WHEN l_returnflag = 'N' THEN CAST(CAST(l_quantity + 0.5 AS DOUBLE) AS VARCHAR)
+                        ELSE CAST(l_orderkey + 9007199254740992 AS VARCHAR) END AS far,
+                   {num("CASE WHEN l_returnflag = 'N' THEN l_quantity + 0.5 ELSE l_orderkey END")} AS near
+            FROM lineitem""",
         "append_widening": f"""
             SELECT l_orderkey, {num("CASE WHEN l_returnflag = 'N' THEN l_extendedprice ELSE floor(l_quantity) END")} AS amount
             FROM lineitem""",

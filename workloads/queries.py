@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from skyfare import operators as op
 from skyfare.functions import safe_double, safe_int
@@ -262,6 +262,54 @@ def model_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+FIRST_AS_OF = dt.date(2024, 3, 22)  # the last settled day is then the 22nd, and later the 28th of January
+
+
+def second_run_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips of two files: the second has the later days and some late trips of the 5th."""
+    at = F.col("tpep_pickup_datetime")
+    late = (F.to_date(at) == F.lit(dt.date(2024, 1, 5))) & (F.minute(at) < 20)
+    second = (at >= F.lit("2024-01-21").cast("timestamp_ntz")) | late
+    return fx.trips_a(spark, sf).withColumn("source_file", F.when(second, "second").otherwise("first"))
+
+
+def second_run_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather, of which some of the 10th and all after the 22nd comes late."""
+    at = F.col("valid")
+    late = (at >= F.lit("2024-01-23").cast("timestamp_ntz")) | ((F.to_date(at) == F.lit(dt.date(2024, 1, 10))) & (F.minute(at) < 30))
+    return fx.weather_a(spark, sf).withColumn("late", late)
+
+
+def _content(model: str, df: DataFrame) -> DataFrame:
+    """(model, column, n, total): values that are there, and their sum; of text its length, of days those since 2020."""
+
+    def total(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            c = F.length(c)
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_diff(c, F.lit(dt.date(2020, 1, 1)))
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            c = F.hour(c)
+        return F.round(F.sum(c.cast("double")) + F.lit(TIE), 3)
+
+    columns = [f for f in df.schema.fields]
+    parts = [F.struct(F.lit(f.name).alias("column"), F.count(f"`{f.name}`").alias("n"), total(f).alias("total")) for f in columns]
+    return df.agg(F.array(*parts).alias("c")).select(F.lit(model).alias("model"), F.inline("c"))
+
+
+@query
+def build_models_second_run(spark: SparkSession, sf: str) -> DataFrame:
+    """All twelve tables after a second load and build, column by column: late trips, late weather, a later day."""
+    run = uuid.uuid4().hex
+    store = TableStore(f"skyfare_{run}_", scratch_path(spark, "models"))
+    trips, weather, zones = second_run_trips(spark, sf), second_run_weather(spark, sf), fx.taxi_zone(spark, sf)
+    first = Sources(trips.where("source_file = 'first'"), weather.where("NOT late"), zones)
+    build_models(spark, first, FIRST_AS_OF, fx.A_MIN_DATE, fx.BOROUGHS, store)
+    models = build_models(spark, Sources(trips, weather, zones), fx.A_AS_OF, fx.A_MIN_DATE, fx.BOROUGHS, store)
+    return reduce(DataFrame.unionByName, [_content(name, df) for name, df in models.items()])
+
+
 # --- fixture B: volume ---------------------------------------------------------------------------
 
 
@@ -768,6 +816,19 @@ def _amounts(spark: SparkSession, sf: str, what: str, later_name: str, whole: bo
     return tidy(spark.table(name).select("l_orderkey", "amount"))
 
 
+@query
+def append_wide_integers(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers, then fractions: beyond 2**53 both are kept as text, below it as doubles."""
+    name, path = new_table(spark, "wide_integers")
+    lines = fx.table(spark, sf, "lineitem")
+    far = F.col("l_orderkey") + F.lit(2**53)
+    whole = lines.where("l_returnflag <> 'N'").select("l_orderkey", far.alias("far"), F.col("l_orderkey").alias("near"))
+    materialize(whole, name, path=path)
+    half = (F.col("l_quantity") + 0.5).cast("double")
+    append_evolving(lines.where("l_returnflag = 'N'").select("l_orderkey", half.alias("far"), half.alias("near")), name)
+    return tidy(spark.table(name))
+
+
 @query
 def append_widening(spark: SparkSession, sf: str) -> DataFrame:
     """Amounts with fractions come to a table of whole ones."""
