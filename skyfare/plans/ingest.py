@@ -12,15 +12,34 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from skyfare.functions.names import scanned_file
 from skyfare.operators.projection import clean_numeric, parse_valid, project, with_lineage
 from skyfare.operators.stations import station_lookup
+from skyfare.plans.ledger import Ledger
 from skyfare.schemas import TRIPS, WEATHER
 from skyfare.scratch import Held, hold
-from skyfare.sinks.tables import aligned, append, append_evolving, ensure_table, evolve, wider
+from skyfare.sinks.tables import (
+    aligned,
+    append,
+    append_evolving,
+    beyond_double,
+    doubled,
+    ensure_table,
+    evolve,
+    table_exists,
+    wider,
+)
 from skyfare.sources.dimensions import stations_frame
-from skyfare.sources.files import file_stats, list_files, loaded_files, new_files, prune_files
+from skyfare.sources.files import list_files, new_files, prune_files
 from skyfare.sources.trips import read_trips
-from skyfare.sources.weather import MARK, files_without_header, parse_weather_lines, weather_headers, weather_lines
+from skyfare.sources.weather import (
+    MARK,
+    data_lines,
+    files_without_header,
+    parse_weather_lines,
+    weather_headers,
+    weather_lines,
+)
 
 FILES_PER_LOAD = 4096
 WEATHER_TABLE = T.StructType([*WEATHER.fields, T.StructField("valid_date", T.DateType())])
@@ -75,28 +94,19 @@ def file_schemas(spark: SparkSession, paths: Sequence[str]) -> tuple[dict[str, l
     return groups, failures + failed
 
 
-def _report(
-    spark: SparkSession, todo: DataFrame, table: str, ledger_column: str, failures: Failures, detailed: bool
-) -> DataFrame:
-    """(source_file, rows) of the files of this load; detailed: also outcome and reason."""
-    none = F.lit(0).cast("bigint")
-    if spark.catalog.tableExists(table):
-        of_load = spark.table(table).select(F.col(ledger_column).alias("source_file"))
-        counts = file_stats(of_load.join(todo.select("source_file"), "source_file", "left_semi"))
-        report = todo.join(counts, "source_file", "left").withColumn("rows", F.coalesce("rows", none))
-    else:
-        report = todo.withColumn("rows", none)
-    if not detailed:
-        return report.select("source_file", "rows")
-    known = spark.createDataFrame([(p.split("/")[-1], r) for p, r in failures], "source_file string, reason string")
-    outcome = F.when(F.col("reason").isNotNull(), "failed").when(F.col("rows") == 0, "empty").otherwise("loaded")
-    return report.join(known, "source_file", "left").select("source_file", "rows", outcome.alias("outcome"), "reason")
-
-
-def _batches(todo: DataFrame) -> Iterator[tuple[str, ...]]:
-    """Paths, a bounded number at a time. Only file names pass through the driver, where Spark keeps
-    the names of the files of a scan."""
-    return batched((row.path for row in todo.orderBy("path").toLocalIterator()), FILES_PER_LOAD)
+def _batches(todo: DataFrame) -> Iterator[DataFrame]:
+    """Files (path, source_file), a bounded number at a time. Only file names pass through the driver, where
+    Spark keeps the names of the files of a scan."""
+    names = todo.select("path", "source_file").orderBy("path").toLocalIterator()
+    for some in batched(names, FILES_PER_LOAD):
+        yield todo.sparkSession.createDataFrame([tuple(r) for r in some], "path string, source_file string")
+
+
+def _paths(files: DataFrame) -> list[str]:
+    return [r.path for r in files.collect()]  # one batch's
+
+
+_COUNTS = "path string, rows bigint"
 
 
 def weather_rows(
@@ -130,36 +140,42 @@ def ingest_weather(
     """
     moment = processed_at or dt.datetime.now(dt.timezone.utc)
     listed = prune_files(list_files(spark, path, "*.csv"), start, end)
+    ledger = Ledger(spark, table)
+    ledger.settle()
     ensure_table(spark, table, WEATHER_TABLE, ["valid_date"], table_path)
     known = stations_frame(spark, stations)
 
-    todo = hold(new_files(listed, loaded_files(spark, table)), "new-files").df
-    failures = load_weather_files(spark, todo, known, table, moment, mark)
-    return _report(spark, todo, table, "source_file", failures, detailed)
+    todo = hold(new_files(listed, ledger.loaded()), "new-files").df
+    load_weather_files(ledger, todo, known, moment, mark)
+    return ledger.report(detailed)
 
 
 def load_weather_files(
-    spark: SparkSession,
+    ledger: Ledger,
     todo: DataFrame,
     stations: Held | DataFrame,
-    table: str,
     moment: dt.datetime,
     mark: str | None = MARK,
-) -> Failures:
-    """Append the weather files that `todo` (path) lists; files without a header are failures."""
-
-    headless: Failures = []
-
-    def load(paths: Sequence[str]) -> None:
-        lines = weather_lines(spark, *paths)
-        headers = weather_headers(lines, mark)
-        rows = weather_rows(parse_weather_lines(lines, mark, headers), stations, moment)
-        append_evolving(rows, table, ["station"])
-        # names of the files of this load
-        headless.extend((r.file_path, "no header line") for r in files_without_header(lines, headers).collect())
-
-    failures = [failure for paths in _batches(todo) for failure in _load_or_split(paths, load)]
-    return failures + headless
+) -> None:
+    """Append the weather files that `todo` (path, source_file) lists, and enter them into the ledger; files
+    without a header are failures. The text is read once; what follows reads the lines held."""
+    spark = ledger.spark
+    for files in _batches(todo):
+        counts, headless = [spark.createDataFrame([], _COUNTS)], []
+
+        def load(paths: Sequence[str], counts: list[DataFrame] = counts, headless: Failures = headless) -> None:
+            lines = hold(weather_lines(spark, *paths), "weather-lines").df
+            headers = weather_headers(lines, mark)
+            rows = weather_rows(parse_weather_lines(lines, mark, headers), stations, moment)
+            append_evolving(rows, ledger.table, ["station"])
+            counted = data_lines(lines, headers, mark).groupBy(F.col("file_path").alias("path"))
+            counts.append(counted.agg(F.count(F.lit(1)).alias("rows")))
+            # names of the files of this load
+            headless.extend((r.file_path, "no header line") for r in files_without_header(lines, headers).collect())
+
+        ledger.begin(files)
+        failures = _load_or_split(_paths(files), load)
+        ledger.end(files, reduce(DataFrame.unionByName, counts), failures + headless)
 
 
 def trip_rows(
@@ -193,51 +209,77 @@ def _table_schema(schemas: Sequence[T.StructType], table: T.StructType | None) -
 
 
 def load_trip_files(
-    spark: SparkSession,
+    ledger: Ledger,
     todo: DataFrame,
-    table: str,
     fields: Sequence[Mapping[str, str]] | None,
     table_path: str | None,
-    ledger_column: str,
-) -> Failures:
-    """Append the trip files that `todo` (path) lists.
+) -> None:
+    """Append the trip files that `todo` (path, source_file) lists, and enter them into the ledger.
 
     The footers of all of them decide the table's columns and types before the first row is stored;
     files are then read by schema, each group in one scan, and stored in one append per load.
     """
-    failures: Failures = []
-    loads: list[dict[str, list[str]]] = []
-    for paths in _batches(todo):
-        groups, bad = file_schemas(spark, paths)
-        loads.append(groups)
-        failures += bad
+    spark, table = ledger.spark, ledger.table
+    loads: list[tuple[DataFrame, dict[str, list[str]], Failures]] = []
+    for files in _batches(todo):
+        loads.append((files, *file_schemas(spark, _paths(files))))
 
     def rows_of(schema: str, paths: Sequence[str]) -> DataFrame:
         raw = read_trips(spark, *paths, schema=T.StructType.fromJson(json.loads(schema)))
-        return trip_rows(raw, fields, ledger_column)
+        return trip_rows(raw, fields, ledger.column)
 
-    results = {s: rows_of(s, files[:1]).schema for groups in loads for s, files in groups.items()}
-    if not results:
-        return failures
-    exists = spark.catalog.tableExists(table)
-    schema = _table_schema(list(results.values()), spark.table(table).schema if exists else None)
-    if exists:
-        evolve(spark, table, schema)
-    else:
-        ensure_table(spark, table, schema, path=table_path)
-    for groups in loads:
-        group_of = {path: s for s, files in groups.items() for path in files}
+    results = {s: rows_of(s, files[:1]).schema for _, groups, _ in loads for s, files in groups.items()}
+    schema = _loaded_schema(ledger, results, loads, rows_of, table_path) if results else None
+    for files, groups, unread in loads:
+        group_of = {path: s for s, paths in groups.items() for path in paths}
+        counts = [spark.createDataFrame([], _COUNTS)]
 
-        def load(paths: Sequence[str], group_of: Mapping[str, str] = group_of) -> None:
+        def load(paths: Sequence[str], group_of: Mapping[str, str] = group_of, counts: list[DataFrame] = counts) -> None:
             by_schema: dict[str, list[str]] = {}
             for path in paths:
                 by_schema.setdefault(group_of[path], []).append(path)
             parts = [aligned(rows_of(s, files), schema) for s, files in by_schema.items()]
             append(reduce(DataFrame.unionByName, parts), table)
+            for s, some in by_schema.items():  # from the files' footers: no column is read
+                read = spark.read.schema(T.StructType.fromJson(json.loads(s))).parquet(*some)
+                counts.append(read.groupBy(scanned_file("path").alias("path")).agg(F.count(F.lit(1)).alias("rows")))
+
+        ledger.begin(files)
+        failures = unread + (_load_or_split(sorted(group_of), load) if group_of else [])
+        ledger.end(files, reduce(DataFrame.unionByName, counts), failures)
+
 
-        if group_of:
-            failures += _load_or_split(sorted(group_of), load)
-    return failures
+def _loaded_schema(
+    ledger: Ledger,
+    results: Mapping[str, T.StructType],
+    loads: Sequence[tuple[DataFrame, Mapping[str, Sequence[str]], Failures]],
+    rows_of: Callable[[str, Sequence[str]], DataFrame],
+    table_path: str | None,
+) -> T.StructType:
+    """The columns that the table has for this load, made or widened where needed.
+
+    Whole numbers that meet fractions, in the table, in other files or in what the models expect, are looked at:
+    those beyond 2**53 make the column text.
+    """
+    spark, table = ledger.spark, ledger.table
+    exists = table_exists(spark, table)
+    have = spark.table(table).schema if exists else None
+    schema = _table_schema(list(results.values()), have)
+    far: set[str] = set()
+    for s, kind in results.items():
+        met = doubled(kind, schema)
+        if met:
+            for _, groups, _ in loads:
+                if s in groups:
+                    far |= beyond_double(rows_of(s, groups[s]), met)
+    if far:
+        text = [T.StructField(f.name, T.StringType() if f.name.lower() in far else f.dataType) for f in schema.fields]
+        schema = T.StructType(text)
+    if exists:
+        evolve(spark, table, schema, far)
+        return spark.table(table).schema
+    ensure_table(spark, table, schema, path=table_path)
+    return schema
 
 
 def ingest_trips(
@@ -254,7 +296,8 @@ def ingest_trips(
 
     `ledger_column` is the table's column with the name of each row's file.
     """
-    listed = list_files(spark, path, "*.parquet")
-    todo = hold(new_files(listed, loaded_files(spark, table, ledger_column)), "new-files").df
-    failures = load_trip_files(spark, todo, table, fields, table_path, ledger_column)
-    return _report(spark, todo, table, ledger_column, failures, detailed)
+    ledger = Ledger(spark, table, ledger_column)
+    ledger.settle()
+    todo = hold(new_files(list_files(spark, path, "*.parquet"), ledger.loaded()), "new-files").df
+    load_trip_files(ledger, todo, fields, table_path)
+    return ledger.report(detailed)

@@ -69,7 +69,7 @@ def _location(spark: SparkSession, table: str) -> str:
     return about["Location"].rstrip("/")
 
 
-def _drop(spark: SparkSession, table: str) -> None:
+def drop_table(spark: SparkSession, table: str) -> None:
     """Drop a table with its files, also an external one's."""
     if spark.catalog.tableExists(table):
         location = _location(spark, table)
@@ -86,7 +86,7 @@ def table_exists(spark: SparkSession, name: str) -> bool:
             spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
             exists = True
         if exists:
-            _drop(spark, former)
+            drop_table(spark, former)
     return exists
 
 
@@ -105,11 +105,11 @@ def replace_table(
         return materialize(df, name, "overwrite", partition_by, cluster_by)
     following, former = f"{name}__next", f"{name}__former"
     path = f"{_location(spark, name).split('__at_')[0]}__at_{uuid.uuid4().hex}"
-    _drop(spark, following)  # of an earlier attempt
+    drop_table(spark, following)  # of an earlier attempt
     materialize(df, following, "overwrite", partition_by, cluster_by, path)
     spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
-    _drop(spark, former)
+    drop_table(spark, former)
     spark.catalog.refreshTable(name)
     return spark.table(name)
 

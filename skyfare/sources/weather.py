@@ -2,7 +2,8 @@
 
 Preamble lines are those with a mark, or, without a mark, all lines before the header.
 
-Files are read as lines, all in one scan. Each file's header decides which field is which, so files
+Files are read as lines, in one scan: the lines are held, and headers, rows and counts are taken from
+the held table. Each file's header decides which field is which, so files
 with different columns or column orders can be read together. A line is taken for a header when one
 of its fields is the name of a weather field, which no data row has as a value.
 """
@@ -65,20 +66,25 @@ def _unmarked(lines: DataFrame, mark: str | None) -> DataFrame:
     return lines if mark is None else lines.where(~F.col("value").startswith(mark))
 
 
+def data_lines(lines: DataFrame, headers: Held, mark: str | None = MARK) -> DataFrame:
+    """The lines that are rows, each with its file's header."""
+    is_header = F.col("value").rlike(_HEADER_LINE)
+    known = lookup_join(_unmarked(lines, mark).where(~is_header), headers, {"file_path": "file_path"}, how="inner")
+    return known if mark is not None else known.where(F.col("position") > F.col("header_position"))
+
+
 def parse_weather_lines(lines: DataFrame, mark: str | None = MARK, headers: Held | None = None) -> DataFrame:
     """Rows of weather files as text columns, with the file name and the station it is named after.
 
     Fields a file lacks are NULL. A file with a header but no rows gives no rows. With `mark` None all
     lines before a file's header are its preamble, which needs the lines' `position`.
     """
-    headers = headers or weather_headers(lines, mark)
-    lines = _unmarked(lines, mark)
-    is_header = F.col("value").rlike(_HEADER_LINE)
+    if headers is None:
+        lines = hold(lines, "weather-lines").df
+        headers = weather_headers(lines, mark)
     width = headers.df.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
     names = F.transform(F.split("header", ","), lambda name: F.trim(F.replace(name, F.lit('"'))))
-    known = lookup_join(lines.where(~is_header), headers, {"file_path": "file_path"}, how="inner")
-    if mark is None:
-        known = known.where(F.col("position") > F.col("header_position"))
+    known = data_lines(lines, headers, mark)
     rows = (
         known.select("source_file", names.alias("names"), _fields(F.col("value"), width).alias("fields"))
     )

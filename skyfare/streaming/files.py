@@ -1,7 +1,9 @@
-"""Ingest as a stream: the stream's checkpoint is the file ledger.
+"""Ingest as a stream of file names.
 
 Each call takes in the files that have appeared since the last one and stops. A micro-batch that is
-repeated after a failure leaves out the files the table already has, so it does not add them twice.
+repeated after a failure leaves out the files that the ledger has as loaded, so it does not add them twice.
+A file that cannot be read stays in the ledger as failed, and every later call tries it again until it
+loads, although the stream's own checkpoint has its name as done.
 """
 
 from __future__ import annotations
@@ -12,10 +14,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyfare.plans.ingest import WEATHER_TABLE, load_trip_files, load_weather_files
+from skyfare.plans.ledger import Ledger
 from skyfare.scratch import hold
 from skyfare.sinks.tables import ensure_table
 from skyfare.sources.dimensions import stations_frame
-from skyfare.sources.files import loaded_files, new_files
+from skyfare.sources.files import list_files, new_files
+from skyfare.sources.weather import MARK
 
 
 def _new_names(spark: SparkSession, path: str, glob: str, files_per_batch: int) -> DataFrame:
@@ -32,12 +36,26 @@ def _new_names(spark: SparkSession, path: str, glob: str, files_per_batch: int)
 
 
 def _drain(
-    names: DataFrame, load: Callable[[DataFrame], None], checkpoint: str, table: str, ledger_column: str
-) -> None:
+    spark: SparkSession,
+    path: str,
+    glob: str,
+    files_per_batch: int,
+    checkpoint: str,
+    ledger: Ledger,
+    load: Callable[[Ledger, DataFrame], None],
+) -> DataFrame:
+    """Load what failed before and is still there, then what is new; gives the outcome of each file."""
+    failed = ledger.failed().select("source_file")
+    again = hold(list_files(spark, path, glob).join(failed, "source_file", "left_semi").select("path", "source_file"), "failed-files")
+    if again.rows:
+        load(ledger, again.df)
+
     def write(batch: DataFrame, _: int) -> None:
+        own = Ledger(batch.sparkSession, ledger.table, ledger.column, ledger.load)
         listed = hold(batch, "stream-files").df
-        load(hold(new_files(listed, loaded_files(listed.sparkSession, table, ledger_column)), "new-files").df)
+        load(own, hold(new_files(listed, own.loaded()), "new-files").df)
 
+    names = _new_names(spark, path, glob, files_per_batch)
     query = (
         names.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -46,8 +64,9 @@ def _drain(
     )
     query.awaitTermination()
     # micro-batches write from a session of their own
-    if names.sparkSession.catalog.tableExists(table):
-        names.sparkSession.catalog.refreshTable(table)
+    if spark.catalog.tableExists(ledger.table):
+        spark.catalog.refreshTable(ledger.table)
+    return ledger.report(detailed=True)
 
 
 def stream_trips(
@@ -59,17 +78,20 @@ def stream_trips(
     files_per_batch: int = 1000,
     table_path: str | None = None,
     ledger_column: str = "source_file",
-) -> None:
-    """Append the trips of new Parquet files below `path` to `table`.
+) -> DataFrame:
+    """Append the trips of new Parquet files below `path` to `table`; source_file, rows, outcome and reason
+    of every file that this call has tried.
 
     The stream is of file names; each micro-batch loads its files as `ingest_trips` does, with all
-    their columns. A file that cannot be read is left out, and not tried again by this stream.
+    their columns. A file that cannot be read is reported as failed and tried again by the next call.
     """
+    ledger = Ledger(spark, table, ledger_column)
+    ledger.settle()
 
-    def load(todo: DataFrame) -> None:
-        load_trip_files(todo.sparkSession, todo, table, fields, table_path, ledger_column)
+    def load(own: Ledger, todo: DataFrame) -> None:
+        load_trip_files(own, todo, fields, table_path)
 
-    _drain(_new_names(spark, path, "*.parquet", files_per_batch), load, checkpoint, table, ledger_column)
+    return _drain(spark, path, "*.parquet", files_per_batch, checkpoint, ledger, load)
 
 
 def stream_weather(
@@ -81,13 +103,16 @@ def stream_weather(
     processed_at: dt.datetime | None = None,
     files_per_batch: int = 1000,
     table_path: str | None = None,
-) -> None:
-    """Append the observations of new weather files below `path` to `table`."""
+    mark: str | None = MARK,
+) -> DataFrame:
+    """Append the observations of new weather files below `path` to `table`, and report as `stream_trips` does.
+    `mark` tells a file's preamble, as for `ingest_weather`."""
+    ledger = Ledger(spark, table)
+    ledger.settle()
     ensure_table(spark, table, WEATHER_TABLE, ["valid_date"], table_path)
 
-    def load(todo: DataFrame) -> None:
-        session = todo.sparkSession
+    def load(own: Ledger, todo: DataFrame) -> None:
         moment = processed_at or dt.datetime.now(dt.timezone.utc)
-        load_weather_files(session, todo, stations_frame(session, stations), table, moment)
+        load_weather_files(own, todo, stations_frame(own.spark, stations), moment, mark)
 
-    _drain(_new_names(spark, path, "*.csv", files_per_batch), load, checkpoint, table, "source_file")
+    return _drain(spark, path, "*.csv", files_per_batch, checkpoint, ledger, load)

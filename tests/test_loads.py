@@ -104,8 +104,8 @@ def test_a_replacement_that_breaks_off(spark, name, tmp_path, monkeypatch, broke
         if broken == "materialize":
             m.setattr(tables, "materialize", lost)
         elif broken == "drop":
-            real_drop = tables._drop
-            m.setattr(tables, "_drop", lambda s, t: lost() if t.endswith("__former") else real_drop(s, t))
+            real_drop = tables.drop_table
+            m.setattr(tables, "drop_table", lambda s, t: lost() if t.endswith("__former") else real_drop(s, t))
         else:
             m.setattr(spark, "sql", sql)
         with pytest.raises(Lost):

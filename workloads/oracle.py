@@ -692,6 +692,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_type AS source_file, count(*) AS "rows", 'loaded' AS outcome, CAST(NULL AS VARCHAR) AS reason
             FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY 1
             UNION ALL SELECT 'none', 0, 'empty', NULL""",
+        "stream_report": """
+            SELECT CAST(1 AS BIGINT) AS run, event_type AS source_file, 'loaded' AS outcome, count(*) AS "rows", FALSE AS has_reason
+            FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY event_type
+            UNION ALL SELECT 1, 'late', 'failed', 0, TRUE
+            UNION ALL SELECT 2, 'late', 'loaded', count(*), FALSE FROM events WHERE event_type = 'view'""",
         "ingest_trips_fields": sql(RAW, f"""
             SELECT {stamp('pu')} AS tpep_pickup_datetime, {num('dist')} AS trip_distance,
                    pu_zone AS PULocationID, {num('total - tip')} AS net_amount, event_type AS source_file

@@ -727,6 +727,31 @@ def ingest_report(spark: SparkSession, sf: str) -> DataFrame:
     return totals.select("source_file", "rows", F.when(F.lit(agreed), outcome).alias("outcome"), "reason")
 
 
+@query
+def stream_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of a stream: a file that cannot be read fails in the first and is taken in by the second."""
+    path = _write_trip_files(spark, sf)
+    late = fx.trips_a(spark, sf).where("source_file = 'view'").drop("source_file").coalesce(1)
+    good = scratch_path(spark, "late-file")
+    late.write.option("mapreduce.output.basename", "late_2024").parquet(good)
+    files = spark._jvm.org.apache.hadoop.fs
+    store = files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    broken = files.Path(f"{path}/late_2024.parquet")
+    out = store.create(broken, True)
+    out.writeBytes("not a Parquet file")
+    out.close()
+    name, place = new_table(spark, "trips")
+    checkpoint = scratch_path(spark, "stream")
+    first = hold(stream_trips(spark, path, name, checkpoint, table_path=place), "report").df
+    store.delete(broken, False)
+    made = next(s.getPath() for s in store.listStatus(files.Path(good)) if s.getPath().getName().endswith(".parquet"))
+    store.rename(made, broken)
+    second = stream_trips(spark, path, name, checkpoint, table_path=place)
+    kind = F.substring_index("source_file", "_", 1).alias("source_file")
+    of = [r.groupBy(kind, "outcome").agg(F.sum("rows").alias("rows"), F.max(F.col("reason").isNotNull()).alias("has_reason")).select(F.lit(n).alias("run"), "*") for n, r in ((1, first), (2, second))]
+    return tidy(of[0].unionByName(of[1]))
+
+
 # --- tables --------------------------------------------------------------------------------------
 
 FACT_KEYS = ["pickup_datetime", "pickup_location_id", "dropoff_location_id", "vendor_id"]
