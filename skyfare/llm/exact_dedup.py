@@ -125,7 +125,13 @@ def _is_kept() -> Column:
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per row of `docs` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+
+    Null text counts as empty, and all empty texts are copies of each other. The row with the largest doc_id
+    stays; of rows that repeat it the last one in file order, and a row without a doc_id only if its group has
+    no other. Texts of any length are compared whole. An empty table gives an empty result; other columns are
+    not looked at.
+    """
     return copy_groups(docs).select(
         "doc_id",
         F.col("stays.doc_id").alias("keep_id"),

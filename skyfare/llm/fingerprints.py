@@ -179,7 +179,9 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     near_edited, near_next.
 
     The edited text has the last quarter of the code points replaced by as many from the start of the
-    next document's text (all of it, if shorter). Null text counts as empty.
+    next document's text (all of it, if shorter). Null text counts as empty. Texts of any length are taken
+    whole. Rows that repeat are each returned. An empty table gives an empty result; other columns are not
+    looked at.
     """
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")

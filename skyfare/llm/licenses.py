@@ -246,7 +246,9 @@ def scan_licenses(
     """One row per row of `docs` (doc_id, text): doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Null text counts as empty: no words, no labels, score 0. The score is 1 where a base phrase stands,
-    else the largest share of a template that stands at one place, if it is enough for a label.
+    else the largest share of a template that stands at one place, if it is enough for a label. Whole texts
+    of any length are searched; labels are sorted and each stands once. Rows that repeat are each returned.
+    An empty table gives an empty result; other columns are not looked at.
     """
     vocabulary = frozenset(w for _, text in templates for w in words_of(text))
     index = TemplateIndex(templates, word_counts(docs, vocabulary), contained)

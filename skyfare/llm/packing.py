@@ -259,7 +259,12 @@ def packed(pieces: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, tokenizer_path: str, s: Settings = Settings()) -> DataFrame:
-    """One row per piece of every row of `docs`: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """One row per piece of every row of `docs` (doc_id, text): doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Null text counts as empty and is one piece, the closing id alone. Texts of any length are cut, none is
+    shortened. Rows that repeat, also their ids, are packed each. An empty table gives an empty result; other
+    columns are not looked at.
+    """
     pieces = held(token_pieces(docs, tokenizer_path, s.capacity), "pieces")
     return pieces.join(packed(pieces, s), "uid").select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"

@@ -249,7 +249,10 @@ def score(docs: DataFrame, pooling: Pooling, network: Network) -> Column:
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of `docs` (doc_id, text).
 
-    held_out marks ids with crc32 remainder 2 (a null id is not held out, but has no label either).
+    held_out marks ids with crc32 remainder 2 (a null id is not held out, but has no label either). Null and
+    empty texts have the score of an empty vector; texts of any length are scored whole, and equal texts alike.
+    Rows that repeat are each returned; ids with clashing labels are not learned from. An empty table gives an
+    empty result; other columns are not looked at.
     """
     scored = docs.select(
         docs["doc_id"],
@@ -260,5 +263,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs` with a score of at least `threshold`, with all their columns."""
+    """The rows of `docs` with a score of at least `threshold`, with all their columns, whatever their names.
+
+    Scores are those of `quality_scores`; a row is judged by its text alone, so equal texts stay or go together.
+    """
     return docs.filter(score(docs, *fit(docs, labels)) >= threshold)
