@@ -6,8 +6,10 @@ content, counted on labelled pages: a bounded sample of the pages whose markup n
 (`article` or `main`). They depend on the tag, on whether a word stands in a link, in running text or
 in a part that is no content, and, on pages that name their content, on whether it lies there. What
 stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments is never part of the text; a name says so only of an element that does not hold the content. On pages that name their content it weighs nothing, so a long
-advert parts no article; on others it has its weight in the sum.
+comments is never part of the text; a name says so only of an element that does not hold the content,
+and a name that may as well be the subject of a section, such as "discussion", not of the most of an
+article. On pages that name their content such parts weigh nothing, so a long advert parts no article,
+nor does what stands between two articles side by side; on others they have their weight in the sum.
 """
 
 from __future__ import annotations
@@ -47,6 +49,11 @@ _CLOSES_P = frozenset(
 )
 _ITEM = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _HOLDS_ITEMS = frozenset("ul ol menu dl table select tbody thead tfoot".split())
+_OTHER_TAGS = frozenset(
+    "audio body caption col colgroup datalist head html legend map math meter object optgroup option output picture"
+    " progress slot svg tbody template tfoot thead tr video".split()
+)
+_TAGS = _VOID | _RAW | _INLINE | _CLOSES_P | _HOLDS_ITEMS | _OTHER_TAGS | frozenset(_ITEM)
 _SCOPE = frozenset("html body div article main section aside nav header footer form td th li blockquote table button".split())
 
 # Parts of a page that are no content
@@ -68,6 +75,16 @@ _TOP_NAMES = frozenset("header masthead topbar".split())  # no content unless in
 _OTHERS = frozenset(
     "comment comments disqus reply replies respond discussion discussions responses feedback related recommended".split()
 )
+# Names that may as well be the subject of a section
+_SUBJECTS = frozenset(
+    "discussion discussions responses feedback related recommended social login sharing search notice alert promotion"
+    " copyright disclaimer consent subscription navigation pagination".split()
+)
+# Names and tags inside such a section that show it to be what its name says
+_NAMES_OF_USERS = frozenset(
+    "comment comments disqus reply replies response author user username avatar commenter teaser card".split()
+)
+_CONTROLS = frozenset("form button input select textarea label article".split())
 # What may follow such a name and still only says how the part is laid out; "alert-history" says more
 _LAYOUT = frozenset(
     "add area article articles author background backdrop bar block body bottom box boxes btn button buttons card close"
@@ -90,6 +107,7 @@ class Piece:
     block: int = -1  # of text that may be content
     text: str = ""
     aside: bool = False  # inside a part that is no content
+    between: bool = False  # between two articles side by side
 
 
 @dataclass
@@ -106,6 +124,18 @@ class _Open:
     words: int = 0  # of running text inside
     main: bool = False  # it holds a part of this name
     article: bool = False
+    root: _Open | None = None  # the article or main around it, or itself
+    firm: bool = False  # no content by a name that can mean nothing else, its own or one around it
+    item: bool = False  # in a list
+    plain: int = 0  # words of running text inside, but for those in firm parts
+    other: int = 0  # words in links and lists
+    users: bool = False  # it holds controls, articles or names that show it to be other people's text
+
+    def subject(self) -> bool:
+        """Whether its name is the subject of a section, which is most of an article and written like one."""
+        if self.cut not in _SUBJECTS or self.root is None or self.root is self:
+            return False
+        return 2 * self.plain > self.root.plain and not self.users and 2 * self.other <= self.plain
 
 
 @dataclass
@@ -118,6 +148,11 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
 
+def _of_users(attributes: dict[str, str]) -> bool:
+    names = attributes.get("class", "") + " " + attributes.get("id", "")
+    return any(p.lower() in _NAMES_OF_USERS for p in _PARTS_OF_NAME.findall(names))
+
+
 def _hidden(attributes: dict[str, str]) -> bool:
     """Whether role or hiding say that an element is no content."""
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
@@ -148,23 +183,29 @@ def read_page(source: str) -> Page:
     """The tags and texts of a page in order, with what encloses them. Works on any text, broken markup too.
 
     A name of no content does not leave an element out that holds the page's `main`, or most of its
-    running text and an article, or most of it where nothing else is named as content.
+    running text and an article, or most of it where nothing else is named as content; nor does one that may
+    be the subject of a section leave out the most of an article.
     """
     page, cut, words = _read(source, frozenset())
     kept = {
         o.at
         for o in cut
-        if o.main or (o.cut not in _OTHERS and 2 * o.words > words and (o.article or not page.names_content))
+        if o.main or o.subject() or (o.cut not in _OTHERS and 2 * o.words > words and (o.article or not page.names_content))
     }
     return _read(source, frozenset(kept))[0] if kept else page
 
 
+def _tag(tag: str) -> str:
+    return f"tag {tag}" if tag in _TAGS else "tag other"
+
+
 def _read(source: str, kept: frozenset[int]) -> tuple[Page, list[_Open], int]:
     """The page, the elements that a name may leave out, and the words of running text.
 
     Names do not count at the places `kept`.
     """
     page, stack, block, cut, words = Page(), [], 0, [], 0
+    siblings: dict[int, list[int]] = {}  # by their parent: where the first of several articles starts, and the last
     top = _Open("", False, False, False)
 
     def add_text(raw: str) -> None:
@@ -176,9 +217,13 @@ def _read(source: str, kept: frozenset[int]) -> tuple[Page, list[_Open], int]:
         text = html.unescape(raw) if "&" in raw else raw
         where = "aside" if top.aside else "link" if top.link else "text"
         n = len(text.split())
-        if not top.hard and not top.link:
-            top.words += n
-            words += n
+        if not top.hard:
+            if not top.link:
+                top.words += n
+                words += n
+            if not top.firm:
+                top.plain += 0 if top.link else n
+                top.other += n if top.link or top.item else 0
         page.pieces.append(Piece(f"word {where}", n, top.named, -1 if top.aside else block, text, top.aside))
 
     def pop_to(depth: int) -> None:
@@ -191,6 +236,9 @@ def _read(source: str, kept: frozenset[int]) -> tuple[Page, list[_Open], int]:
                 stack[-1].words += done.words
                 stack[-1].main |= done.main
                 stack[-1].article |= done.article
+                stack[-1].plain += done.plain
+                stack[-1].other += done.other
+                stack[-1].users |= done.users or done.tag in _CONTROLS
         top = stack[-1] if stack else _Open("", False, False, False)
 
     def close(tags: tuple[str, ...], stop: frozenset[str]) -> None:
@@ -218,30 +266,40 @@ def _read(source: str, kept: frozenset[int]) -> tuple[Page, list[_Open], int]:
                 close(_ITEM[tag], _HOLDS_ITEMS)
             if tag not in _INLINE:
                 block += 1
+            if tag in _CONTROLS:
+                top.users = True
             named = top.named or tag in ("article", "main")
-            own, name, raw = tag in _ASIDE or (tag == "header" and not top.named), "", m["attributes"]
+            users, own, name, raw = False, tag in _ASIDE or (tag == "header" and not top.named), "", m["attributes"]
             hard = top.hard or own
             if tag in ("article", "main") and top.hard and all(not o.own or o.tag == "form" for o in stack):
                 hard = False  # a form around the whole page
             if not hard and raw and tag not in ("html", "body", "main") and tag not in _VOID:
                 attributes = _attributes(raw)
                 own = hard = _hidden(attributes)
+                users = top.root is not None and _of_users(attributes)
                 name = "" if hard else _aside_name(attributes, top.named or tag == "article")
             soft = top.soft or (name != "" and m.start() not in kept)
+            top.users |= users
             aside = hard or soft
             page.names_content |= named and not aside
-            page.pieces.append(Piece(f"tag {tag}", 1, named and not aside, aside=aside))
+            if tag == "article" and not top.named and not aside:
+                siblings.setdefault(top.at, [len(page.pieces), 0])[1] = len(page.pieces)
+            page.pieces.append(Piece(_tag(tag), 1, named and not aside, aside=aside))
             if tag in _RAW:
                 finish = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(source, at)
                 at = finish.start() if finish else end
                 continue
             if tag not in _VOID and not raw.endswith("/"):
-                top = _Open(tag, aside, named and not aside, top.link or tag == "a", hard, own, soft, m.start(), name)
+                around = top
+                top = _Open(tag, aside, named and not aside, around.link or tag == "a", hard, own, soft, m.start(), name)
+                top.root = top if tag in ("article", "main") else around.root
+                top.firm = around.firm or (name != "" and name not in _SUBJECTS)
+                top.item = around.item or tag in ("li", "dd")
                 top.main, top.article = tag == "main" and not hard, tag == "article" and not hard and not name
                 stack.append(top)
         elif m["close"]:
             tag = m["close"].lower()
-            page.pieces.append(Piece(f"tag {tag}", 1, top.named, aside=top.aside))
+            page.pieces.append(Piece(_tag(tag), 1, top.named, aside=top.aside))
             close((tag,), frozenset())
             if tag not in _INLINE:
                 block += 1
@@ -251,6 +309,14 @@ def _read(source: str, kept: frozenset[int]) -> tuple[Page, list[_Open], int]:
             if page.pieces:
                 page.pieces[-1].text, page.pieces[-1].block = " ", (-1 if top.aside else block)
     pop_to(0)
+    edges: Counter = Counter()
+    for first, last in siblings.values():
+        edges[first] += 1
+        edges[last] -= 1
+    open_ranges = 0
+    for i, piece in enumerate(page.pieces if siblings else ()):
+        open_ranges += edges.get(i, 0)
+        piece.between = open_ranges > 0 and not piece.named
     return page, cut, words
 
 
@@ -297,19 +363,19 @@ def learn_weights(pages: DataFrame, most: int = LABELLED) -> dict[str, float]:
                 page = read_page(source)
                 if page.names_content:
                     found.update(feature_counts(page))
-        rows = [(n, inside, c) for (n, inside), c in found.items() if len(n) < 24]
+        rows = [(n, inside, c) for (n, inside), c in found.items()]
         yield pd.DataFrame(rows, columns=["feature", "inside", "n"])
 
     every = pages.select("page_id", whole_text(pages, "html").alias("html"))
     named = every.filter(F.col("html").rlike("(?i)<(article|main)")).filter(names_content("html"))
     few = bounded_sample(named, "page_id", most)
     totals = few.mapInPandas(count, "feature string, inside boolean, n bigint").groupBy("feature", "inside").agg(F.sum("n").alias("n"))
-    return log_odds({(r.feature, r.inside): r.n for r in totals.orderBy(F.desc("n"), "feature").limit(2000).collect()})
+    return log_odds({(r.feature, r.inside): r.n for r in totals.collect()})  # some hundred names
 
 
 def weight(piece: Piece, names_content: bool, weights: dict[str, float]) -> float:
-    if piece.aside and names_content:
-        return 0.0  # left out of the text anyway
+    if names_content and (piece.aside or piece.between):
+        return 0.0  # left out of the text anyway, or between two articles
     where = ("in " if piece.named else "out ") if names_content else "any "
     known = weights.get(where + piece.feature)
     if known is None:
@@ -346,8 +412,9 @@ def main_text(source: str, weights: dict[str, float]) -> str:
 def extract_text(pages: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of `pages` (page_id, url, html).
 
-    Null html counts as empty; a page without content has an empty text. Repeated rows are each
-    returned. Other columns of `pages` are not looked at.
+    Null html counts as empty; a page without content has an empty text. Pages of any length are read whole.
+    Repeated rows are each returned, null ids too; of regions with equal sums the first is taken. An empty table
+    gives an empty result. Other columns of `pages`, whatever their names, are not looked at.
     """
     weights = learn_weights(pages, labelled)
 

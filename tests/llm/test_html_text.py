@@ -130,3 +130,51 @@ def test_weights_come_from_the_pages_that_name_their_content(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, html string")
     want = learn_weights(pages.filter("page_id % 100 = 0"), 20)
     assert want and learn_weights(pages, 20) == want
+
+
+SECTION = "What we found in the end is told in plain words here. " * 8
+NAMES = "discussion responses feedback social login related".split()
+
+
+@pytest.mark.parametrize("weights", [{}, LEARNED])
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("kind", ["id", "class"])
+def test_section_that_is_most_of_an_article_stays(name, kind, weights):
+    body = f"<article><h1>Head</h1><p>short intro</p><section {kind}='{name}'><h2>Title</h2><p>{SECTION}</p></section><p>the end</p></article>"
+    assert main_text(body, weights) == f"Head\n\nshort intro\n\nTitle\n\n{SECTION.strip()}\n\nthe end"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f"<section class='discussion'><div class='comment'><p>{SECTION}</p></div></section>",
+        f"<section class='responses'><span class='author'>Ann</span><p>{SECTION}</p></section>",
+        f"<section class='feedback'><p>{SECTION}</p><form><input></form></section>",
+        f"<section class='related'><p><a href='/'>{SECTION}</a></p></section>",
+        f"<section class='discussion'><ol><li><p>{SECTION}</p></li></ol></section>",
+        f"<section class='related'><article><p>{SECTION}</p></article></section>",
+        f"<section class='comments'><p>{SECTION}</p></section>",
+    ],
+)
+def test_section_of_others_goes_however_long(part):
+    assert main_text(f"<article><p>short intro</p>{part}<p>the end</p></article>", {}) == "short intro\n\nthe end"
+
+
+def test_short_section_of_such_a_name_goes():
+    body = f"<article><p>{WORDS}</p><section class='social'><p>follow us there</p></section></article>"
+    assert main_text(body, {}) == WORDS.strip()
+
+
+@pytest.mark.parametrize("weights", [{}, LEARNED])
+def test_articles_side_by_side_all_stay(weights):
+    one, between, two = (f"{w} " * n for w, n in (("one", 30), ("plain", 50), ("two", 30)))
+    body = f"<nav>menu</nav><div><article><p>{one}</p></article><p>{between}</p><article><p>{two}</p></article><p>{between}</p></div>"
+    assert main_text(body, weights) == "\n\n".join(t.strip() for t in (one, between, two))
+
+
+def test_tags_of_no_standard_count_as_one():
+    from skyfare.llm.html_text import feature_counts, read_page
+
+    made_up = "".join(f"<x-{i}-with-a-name-of-great-length>word</x-{i}-with-a-name-of-great-length>" for i in range(50))
+    found = feature_counts(read_page(f"<article>{made_up}</article>"))
+    assert found["in tag other", True] == 100 and {n for n, _ in found} == {f"{w} {x}" for w in ("in", "any") for x in ("tag other", "tag article", "word text")}
