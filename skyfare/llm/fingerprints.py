@@ -10,14 +10,16 @@ Two bins agree by chance once in 16, and the likeness takes that out. Built-in e
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyfare.llm.common import held, whole_text
 
 BINS, BITS, WORDS, PROBES = 256, 4, 5, 8
-BUCKET_ROWS, MOST_BUCKETS = 20_000, 16_384
+BUCKET_ROWS, BUCKET_BYTES, MOST_BUCKETS = 5_000, 16 << 20, 65_536
 _PER_LONG = 64 // BITS
 _LONGS = BINS // _PER_LONG
 _SPACE = " \t\n\x0b\f\r"
@@ -114,31 +116,45 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(estimate)
 
 
-def _id_buckets(docs: DataFrame, key: Column) -> Column:
-    """The bucket of each row: a range of ids of about `BUCKET_ROWS` rows, numbered in their order."""
-    rows = docs.count()
-    n = max(1, min(MOST_BUCKETS, rows // BUCKET_ROWS))
+def _numbers(values: list, of: str) -> Column:
+    """An array of fixed numbers, as one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{of}>")
+
+
+def _id_buckets(docs: DataFrame, key: Column, tie: Column) -> Column:
+    """The bucket of each row: a range of (key, tie) of about `BUCKET_ROWS` rows and at most about `BUCKET_BYTES`.
+
+    Buckets are numbered in the order of (key, tie). A key that fills several ranges by itself is parted by its ties.
+    """
+    total = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(whole_text(docs))).alias("b")).first()
+    n = max(1, min(MOST_BUCKETS, max(total.n // BUCKET_ROWS, (total.b or 0) // BUCKET_BYTES), total.n))
     if n == 1:
         return F.lit(0)
-    shares = [k / n for k in range(1, n)]
-    cuts = docs.agg(F.percentile_approx(key, shares, max(10_000, 10 * n)).alias("c")).first().c
-    cuts = sorted(set(cuts))
+    shares = _numbers([k / n for k in range(1, n)], "double")
+    found = Counter(docs.agg(F.percentile_approx(key, shares, max(10_000, 10 * n)).alias("c")).first().c)
+    cuts = sorted(found)
+    # a range begins at each cut; one that begins with a key found often has as many parts for it, and one for the rest
+    parts = [1] + [found[c] for c in cuts]
+    starts = list(accumulate((p if p == 1 else p + 1 for p in parts), initial=0))[:-1]
     step = max(1, round(len(cuts) ** 0.5))
-    coarse = F.lit(cuts[::step])
-    fine = F.lit(cuts)
-    at = F.greatest(F.size(F.filter(coarse, lambda c: c <= key)) - 1, F.lit(0)) * step
-    return at + F.size(F.filter(F.slice(fine, at + 1, F.lit(step)), lambda c: c <= key))
+    at = F.greatest(F.size(F.filter(_numbers(cuts[::step], "bigint"), lambda c: c <= key)) - 1, F.lit(0)) * step
+    fine = _numbers(cuts, "bigint")
+    nth = at + F.size(F.filter(F.slice(fine, at + 1, F.lit(step)), lambda c: c <= key))
+    own = F.get(_numbers(parts, "int"), nth)
+    in_key = F.least(F.floor((tie / F.lit(2.0**64) + 0.5) * own).cast("int"), own - 1)
+    within = F.when(own == 1, 0).when(F.get(fine, nth - 1) == key, in_key).otherwise(own)
+    return F.get(_numbers(starts, "int"), nth) + within
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, fp, next_text, next_fp): every row beside the next one by doc_id; after the last the first.
 
     Null ids come first; rows that repeat an id are taken in the order of a hash of their text. Rows
-    go to buckets of neighbouring ids, one shuffle of the texts; only the first row of each bucket is
-    looked up from another one.
+    go to buckets of neighbours in this order, one shuffle of the texts; only the first row of each bucket
+    is looked up from another one.
     """
     key = F.coalesce(docs["doc_id"], F.lit(_LEAST_ID))
-    bucket = _id_buckets(docs, key)
+    bucket = _id_buckets(docs, key, F.xxhash64(whole_text(docs)))
     rows = docs.select(
         docs["doc_id"], whole_text(docs).alias("text"), bucket.cast("int").alias("bucket"), key.alias("key")
     )

@@ -72,3 +72,28 @@ def test_likeness_of_short_texts(spark):
 def test_no_python_in_the_plan(docs):
     plan = fp.document_fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("hot", ["NULL", "17"])
+def test_an_id_of_very_many_rows_is_parted(spark, monkeypatch, hot):
+    monkeypatch.setattr(fp, "BUCKET_ROWS", 10)
+    docs = spark.range(400).selectExpr(
+        f"IF(id % 3 = 0, {hot}, id) AS doc_id", "concat_ws(' ', 'text', id, 'of some words', id * id, id + 7) AS text"
+    )
+    tie = F.xxhash64("text")
+    key = F.coalesce("doc_id", F.lit(fp._LEAST_ID))
+    placed = docs.select(fp._id_buckets(docs, key, tie).alias("bucket"), key.alias("key"), tie.alias("tie"), "text")
+    ordered = sorted(placed.collect(), key=lambda r: (r.key, r.tie))
+    buckets = [r.bucket for r in ordered]
+    assert buckets == sorted(buckets)
+    assert max(buckets.count(b) for b in set(buckets)) <= 40
+    texts = [r.text for r in ordered]
+    want = sorted(sha256(e.encode()).hexdigest() for e, _ in edited(texts))
+    assert sorted(r.edited_sha256 for r in fp.document_fingerprints(docs).collect()) == want
+
+
+def test_buckets_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(fp, "BUCKET_BYTES", 1000)
+    docs = spark.range(100).selectExpr("id AS doc_id", "repeat('word ', 20) AS text")
+    buckets = [r.bucket for r in docs.select(fp._id_buckets(docs, docs["doc_id"], F.xxhash64("text")).alias("bucket")).collect()]
+    assert len(set(buckets)) == 10 and max(map(buckets.count, set(buckets))) <= 20
