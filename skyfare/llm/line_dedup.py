@@ -3,7 +3,8 @@
 A line is the set of its words; it is removed if an earlier line (by doc_id, then line) has a Jaccard
 likeness of at least 4/5 with it. Built-in expressions only.
 
-1. Lines with one and the same set of words meet under a digest of the set.
+1. Lines with one and the same set of words meet under a digest of the set: 128 bits of SHA-256 over the
+   words themselves. A document is told by its id and as many bits of its text.
 2. Words are ordered by rarity. How often each of 65,536 word classes occurs in all lines is counted,
    and a word's place in the order is the frequency of its class, then its hash: a total order of all
    words, in which frequent words come last.
@@ -30,12 +31,18 @@ _SPACE = "[ \\\\t\\\\x0B\\\\f\\\\r]+"
 _CLASSES = 1 << 16
 
 
+def _digest(text: str) -> str:
+    return f"substring(unhex(sha2(CAST({text} AS binary), 256)), 1, 16)"
+
+
+def _doc_of(docs: DataFrame) -> Column:
+    """What tells documents apart, also texts that share a doc_id: the id, then a digest of the text."""
+    return F.struct(docs["doc_id"].alias("id"), F.call_function("substring", F.unhex(F.sha2(whole_text(docs).cast("binary"), 256)), F.lit(1), F.lit(16)).alias("digest"))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, line, text): a row per line of `docs`; `doc` tells texts apart that share a doc_id."""
-    text = whole_text(docs)
-    return docs.select(
-        docs["doc_id"], F.xxhash64(docs["doc_id"], text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("line", "text")
-    )
+    """(doc, line, text): a row per line of `docs`; `doc` is (doc_id, digest of the text)."""
+    return docs.select(_doc_of(docs).alias("doc"), F.posexplode(F.split(whole_text(docs), "\n")).alias("line", "text"))
 
 
 def _with_words(lines: DataFrame) -> DataFrame:
@@ -99,20 +106,21 @@ def _entries(tokened: DataFrame) -> DataFrame:
     """(token, digest, e): a row per prefix word of each line, and one for its whole set of words.
 
     e is the place in the order of lines and what the filters need. The row of the set has place -1
-    and a negative token, which no word has; token and digest together are 127 bits of the set.
+    and a negative token, which no word has; its digest is of the words, in order, with a space between them.
     """
     need = _ceil_div(f"{NUM} * n", DEN)
     prefix = f"IF(n >= {LEAST_WORDS}, int(n - {need} + 1), 0)"
-    words = f"transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t AS token, 0L AS digest, i AS at))"
-    whole = "array(struct(xxhash64(tokens) | bigint('-9223372036854775808') AS token, xxhash64(tokens, 1) AS digest, -1 AS at))"
+    words = f"transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t AS token, CAST('' AS binary) AS digest, i AS at))"
+    digest = _digest("array_join(array_sort(words), ' ')")
+    whole = f"array(struct(xxhash64(tokens) | bigint('-9223372036854775808') AS token, {digest} AS digest, -1 AS at))"
     return (
         tokened.withColumn("x", F.explode(F.expr(f"concat({words}, {whole})")))
-        .select("x.token", "x.digest", F.struct("doc_id", "doc", "line", "n", F.col("x.at").alias("at"), "map").alias("e"))
+        .select("x.token", "x.digest", F.struct("doc", "line", "n", F.col("x.at").alias("at"), "map").alias("e"))
     )
 
 
 def _order(e: str) -> Column:
-    return F.struct(f"{e}.doc_id", f"{e}.doc", f"{e}.line")
+    return F.struct(f"{e}.doc", f"{e}.line")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -133,7 +141,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def lines_of_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc, line, text) of the lines that `wanted` (doc, lines) names."""
     text = whole_text(docs)
-    rows = docs.select(F.xxhash64(docs["doc_id"], text).alias("doc"), text.alias("text")).join(wanted, "doc")
+    rows = docs.select(_doc_of(docs).alias("doc"), text.alias("text")).join(wanted, "doc")
     each = rows.withColumn("split", F.split("text", "\n")).select(
         "doc", F.explode("lines").alias("line"), F.col("split").alias("split")
     )
@@ -201,7 +209,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     """`docs` with `_text`, and `_gone`: the numbers of the lines to remove."""
     text = whole_text(docs)
     gone = held(removed_lines(docs).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("_gone")), "removed")
-    rows = docs.withColumns({"_doc": F.xxhash64(docs["doc_id"], text), "_text": text})
+    rows = docs.withColumns({"_doc": _doc_of(docs), "_text": text})
     return rows.join(gone.withColumnRenamed("doc", "_doc"), "_doc", "left").drop("_doc")
 
 
@@ -212,7 +220,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     stay. Rows that repeat both doc_id and text count as one document and fare alike; null ids come first.
     """
     text = whole_text(docs)
-    counted = docs.select(docs["doc_id"], F.xxhash64(docs["doc_id"], text).alias("doc"), F.size(F.split(text, "\n")).cast("bigint").alias("n_lines"))
+    counted = docs.select(docs["doc_id"], _doc_of(docs).alias("doc"), F.size(F.split(text, "\n")).cast("bigint").alias("n_lines"))
     gone = removed_lines(docs).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
     return counted.join(gone, "doc", "left").select(
         "doc_id", "n_lines", F.coalesce("removed", F.expr("CAST(array() AS array<int>)")).alias("removed")

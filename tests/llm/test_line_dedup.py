@@ -77,3 +77,22 @@ def test_text_of_the_lines_that_stay(spark):
     rows = [(1, "one two three four\n\nfive six"), (2, "x\nONE two  three four\nfive six seven"), (3, None)]
     cleaned = dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id: r.text for r in cleaned} == {1: "one two three four\n\nfive six", 2: "x\nfive six seven", 3: ""}
+
+
+def test_documents_without_id_are_told_apart(spark):
+    rows = [(None, f"first line of {i} here\nsecond line of {i // 2} there") for i in range(40)]
+    found = line_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sum(len(r.removed) for r in found) == 20
+    assert all(r.n_lines == 2 and r.removed in ([], [1]) for r in found)
+
+
+def test_digests_cover_the_words(spark):
+    """128 bits over the words of a set, whatever their order and letter case."""
+    from skyfare.llm import line_dedup as ld
+
+    docs = spark.createDataFrame([(1, "b a\nA  b\na\nab\nb a c")], "doc_id bigint, text string")
+    lines = ld.lines_of(docs)
+    sets = ld._entries(ld._with_tokens(ld._with_words(lines), ld.word_classes(lines))).filter("e.at < 0")
+    digests = {r.line: bytes(r.digest) for r in sets.select("e.line", "digest").collect()}
+    assert all(len(d) == 16 for d in digests.values())
+    assert digests[0] == digests[1] and len(set(digests.values())) == 4
