@@ -2,13 +2,15 @@
 
 Rows are ordered by (hash of the text, doc_id). A size-weighted sample of keys gives quantiles, which
 cut the order into many ranges of like size; ranges that turn out overfull are sampled again and
-subdivided. Ranges are cut between texts, so copies of a text share a range; only where copies of
-one text are a large part of a shard is it cut between them. Each range is sorted on its own, and
-the exact sizes of the ranges before it place its rows in the whole order and so in a shard.
+subdivided, between texts where it holds several, else between the copies of its one text. Each range is
+sorted on its own, and the exact sizes of the ranges before it place its rows in the whole order and so in a
+shard. Copies of a text go where the first of them goes; only where they are a large part of a shard are
+they parted.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +25,7 @@ LEAST_RANGES, MOST_RANGES, RANGE_ROWS = 512, 1 << 16, 50_000
 PER_RANGE = 8  # sampled keys
 ONE_TEXT = 16  # copies of one text are parted if they are more than this part of a shard
 _KEY = ["h", "id", "uid"]
-_FIRST = -(1 << 63)
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
 _ROUNDS = 20
 
 
@@ -89,14 +91,14 @@ def _range_sizes(rows: DataFrame, splitters: Splitters) -> list[T.Row]:
     )  # a row per range
 
 
-def _splitters(rows: DataFrame, n_rows: int, total: int, one_text: float) -> tuple[Splitters, list[T.Row]]:
+def _splitters(rows: DataFrame, n_rows: int, total: int) -> tuple[Splitters, list[T.Row]]:
     n = min(MOST_RANGES, max(LEAST_RANGES, n_rows // RANGE_ROWS))
     sample = _sampled(rows, PER_RANGE * n / total, 0)
     splitters = Splitters.of([(h, _FIRST, _FIRST) for h, _, _ in _quantiles(sample, n)])
     most = 2 * total / n
     sizes = _range_sizes(rows, splitters)
     for seed in range(1, _ROUNDS):
-        overfull = {r.range: r for r in sizes if r.n > 1 and r.bytes > (most if r.low < r.high else max(most, one_text))}
+        overfull = {r.range: r for r in sizes if r.n > 1 and r.bytes > most}
         if not overfull:
             break
         inside = held(_with_range(rows, splitters).filter(F.col("range").isin(list(overfull))), "overfull")
@@ -110,10 +112,12 @@ def _splitters(rows: DataFrame, n_rows: int, total: int, one_text: float) -> tup
         for k, r in overfull.items():
             parts = max(2, int(np.ceil(r.bytes / most)) * 2)
             new = _quantiles(keys[k], parts)
-            # between texts if there are several, else between the copies of the one text
-            cuts += [(h, _FIRST, _FIRST) for h, _, _ in new if h > r.low] if r.low < r.high else new
-            if r.low < r.high:
-                cuts.append((r.high, _FIRST, _FIRST))
+            if r.low == r.high:  # between the copies of the one text
+                cuts += new
+                continue
+            # before and behind texts, so that one with many copies comes to have ranges of its own
+            cuts += [(h, _FIRST, _FIRST) for h in {*(h for h, _, _ in new), r.high} if h > r.low]
+            cuts += [(h, _LAST, _LAST) for h in {h for h, _, _ in new} if h < r.high]
         splitters = Splitters.of(cuts)
         if len(splitters.h) == before:
             continue
@@ -142,14 +146,23 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
     rows = table.df
     total = rows.agg(F.sum("size").alias("s")).first().s or 1
-    splitters, sizes = _splitters(rows, table.rows, total, total / (shards * ONE_TEXT))
+    splitters, sizes = _splitters(rows, table.rows, total)
     before, n, starts = 0, 0, []
-    cut = set(splitters.h[splitters.rest[:, 0] != _FIRST].tolist())  # texts whose copies are parted
+    of_text: Counter = Counter()  # bytes of texts that have ranges of their own, which begin with the text
+    first: dict[int, int] = {}
     for r in sizes:
-        starts.append((r.range, before, n, r.low == r.high and r.low in cut))
+        if r.low == r.high:
+            of_text[r.low] += r.bytes
+            first.setdefault(r.low, before)
+        starts.append((r, before, n))
         before, n = before + r.bytes, n + r.n
+    parted = {h for h, size in of_text.items() if size > total / (shards * ONE_TEXT)}
     places = docs.sparkSession.createDataFrame(
-        starts, "range bigint, bytes_before bigint, rows_before bigint, one_text boolean"
+        [
+            (r.range, b, k, r.low == r.high and r.low in parted, first[r.low] if r.low == r.high else None)
+            for r, b, k in starts
+        ],
+        "range bigint, bytes_before bigint, rows_before bigint, parted boolean, from_text bigint",
     )  # a row per range, at most a few times MOST_RANGES
     in_range = Window.partitionBy("range").orderBy(*_KEY)
     ahead = in_range.rowsBetween(Window.unboundedPreceding, -1)
@@ -159,7 +172,12 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .withColumn("nth", F.row_number().over(in_range))
         .withColumn("text_ahead", F.min("ahead").over(Window.partitionBy("range", "h")))
         .join(F.broadcast(places), "range")
-        .withColumn("from", F.col("bytes_before") + F.when(F.col("one_text"), F.col("ahead")).otherwise(F.col("text_ahead")))
+        .withColumn(
+            "from",
+            F.when(F.col("parted"), F.col("bytes_before") + F.col("ahead")).otherwise(
+                F.coalesce("from_text", F.col("bytes_before") + F.col("text_ahead"))
+            ),
+        )
         .select(
             "doc_id",
             "size",

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from skyfare.llm import sharding
 from skyfare.llm.sharding import Splitters, shard_rows
 from tests.llm.conftest import ODD_TEXTS
 
@@ -70,3 +71,27 @@ def test_ranges_against_plain_comparison(n):
     splitters = Splitters.of(keys[:n])
     got = splitters.ranges(*np.array(keys, np.int64).T)
     assert got.tolist() == [sum(c <= k for c in set(keys[:n])) for k in keys]
+
+
+def test_no_range_holds_many_copies(spark, monkeypatch):
+    """Groups of copies that stay in one shard lie in many ranges, so no task sorts such a group whole."""
+    seen = []
+    plain = sharding._splitters
+
+    def splitters(*given):
+        found = plain(*given)
+        seen.extend(found[1])
+        return found
+
+    monkeypatch.setattr(sharding, "_splitters", splitters)
+    docs = spark.range(40_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 200 == 0, "a text with two hundred copies").otherwise(F.concat(F.lit("text number "), F.col("id"))).alias("text"),
+    )
+    rows = shard_rows(docs).collect()
+    sizes = check(rows)
+    assert max(sizes.values()) <= 1.02 * min(sizes.values())
+    copies = [r for r in rows if r.doc_id % 200 == 0]
+    assert len({r.shard for r in copies}) == 1
+    assert sum(r.bytes for r in seen) == sum(sizes.values())
+    assert max(r.bytes for r in seen) <= 2 * sum(sizes.values()) / sharding.LEAST_RANGES
