@@ -216,7 +216,7 @@ def _labelled(labels: DataFrame, most: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> tuple[Pooling, Network]:
-    """Word vectors over all of `docs`; the network on at most `most` labelled documents."""
+    """Word vectors over all of `docs`; the network on at most `most` labelled documents, one of each doc_id."""
     pooling = Pooling.over(*corpus_vectors(docs))
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,9 +229,12 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> tuple[Pooli
         docs.select(docs["doc_id"].alias("id"), whole_text(docs).alias("text"))
         .join(F.broadcast(sample), "id")
         .mapInPandas(vectors, "id bigint, y int, x binary")
+        .groupBy("id")
+        .agg(F.min(F.struct("y", "x")).alias("one"))  # one text of an id that repeats: `most` rows at most
+        .select("id", "one.*")
         .collect()
     )
-    rows.sort(key=lambda r: (r.id, r.x))
+    rows.sort(key=lambda r: r.id)
     x = np.array([np.frombuffer(r.x, "<f8") for r in rows]).reshape(len(rows), 2 * DIMS + 1)
     return pooling, fit_network(x, np.array([r.y for r in rows], float))
 

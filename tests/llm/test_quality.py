@@ -81,3 +81,50 @@ def test_corpus_vectors_cover_all_documents(docs, texts):
     sums = sums.reshape(q.ROWS, q.DIMS)
     length = np.linalg.norm(sums, axis=1, keepdims=True)
     assert np.allclose(vectors, sums / np.where(length > 0, length, 1))
+
+
+def plain_vector(text, counts, contexts):
+    """The vector of a text, word by word."""
+    places, signs = q.index_vectors()
+    total, context, own, weights, again = counts.sum(), np.zeros(q.DIMS), np.zeros(q.DIMS), 0.0, 0
+    rows = q.token_rows(text).tolist()
+    for r in rows:
+        w = 1e-3 / (1e-3 + counts[r] / total)
+        context += w * contexts[r]
+        for place, sign in zip(places[r], signs[r], strict=True):
+            own[place] += w * sign
+        weights += w
+        again += r == 0
+    return np.append(np.append(context, own) / weights, again / len(rows)) if rows else np.zeros(2 * q.DIMS + 1)
+
+
+def test_scores_against_a_plain_loop(docs, texts, labels):
+    """Pooling, both layers and the temperature, text by text and number by number."""
+    counts, contexts = q.corpus_vectors(docs)
+    _, network = q.fit(docs, labels)
+    found = {r.doc_id: r.score for r in q.quality_scores(docs, labels).collect()}
+    for i, text in texts[:60]:
+        x = plain_vector(text, counts, contexts)
+        logit = network.b2
+        for unit in range(len(network.b1)):
+            inside = network.b1[unit] + sum((x[d] - network.mean[d]) / network.spread[d] * network.w1[d, unit] for d in range(len(x)))
+            logit += np.tanh(inside) * network.w2[unit]
+        want = 1 / (1 + np.exp(-logit / network.temperature))
+        assert abs(found[i] - want) < 1e-4
+
+
+def test_temperature_lowers_the_loss_of_what_the_fit_did_not_see():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 2 * q.DIMS + 1))
+    y = (x[:, 0] + rng.normal(scale=1.5, size=400) > 0).astype(float)
+    network = q.fit_network(x, y)
+    aside = np.random.default_rng(11).permutation(400) < 80
+    losses = {t: q._log_loss(1 / (1 + np.exp(-network.logits(x[aside]) / t)), y[aside]) for t in (0.5, 1.0, 2.0, network.temperature)}
+    assert network.temperature > 1 and losses[network.temperature] == min(losses.values())
+
+
+def test_ids_that_repeat_are_learned_from_once(docs, labels):
+    """However often a labelled id repeats, the network is fitted on one row of it."""
+    many = docs.unionByName(docs).unionByName(docs)
+    (_, once), (_, thrice) = q.fit(docs, labels), q.fit(many, labels)
+    assert np.allclose(once.w1, thrice.w1, atol=0.2) and np.allclose(once.mean, thrice.mean, atol=1e-3)
