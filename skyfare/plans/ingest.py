@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import batched
 
@@ -42,12 +43,15 @@ from skyfare.sources.weather import (
 )
 
 FILES_PER_LOAD = 4096
+FOOTERS_AT_ONCE = 32
 WEATHER_TABLE = T.StructType([*WEATHER.fields, T.StructField("valid_date", T.DateType())])
 
 # How Spark reports a file that it cannot read, and files whose schemas do not fit together.
 _BAD_FILE = ("FAILED_READ_FILE", "is not a Parquet file", "CANNOT_READ_FILE_FOOTER")
 _CLASH = ("CANNOT_MERGE", "COLUMN_ALREADY_EXISTS", "Failed to merge")
 
+_SPARK_SCHEMA = "org.apache.spark.sql.parquet.row.metadata"  # Spark's own entry in a footer
+
 Failures = list[tuple[str, str]]  # (path, reason)
 
 
@@ -70,28 +74,72 @@ def _load_or_split(paths: Sequence[str], load: Callable[[Sequence[str]], None])
     return _load_or_split(paths[:middle], load) + _load_or_split(paths[middle:], load)
 
 
+def _footer(spark: SparkSession, path: str) -> str:
+    """A file's columns as its footer has them, read without a job; of a file without a readable one, its path."""
+    parquet, conf = spark._jvm.org.apache.parquet, spark._jsc.hadoopConfiguration()
+    no_rows = parquet.format.converter.ParquetMetadataConverter.SKIP_ROW_GROUPS
+    try:
+        file = parquet.hadoop.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(path), conf)
+        options = parquet.HadoopReadOptions.builder(conf).withMetadataFilter(no_rows).build()
+        reader = parquet.hadoop.ParquetFileReader.open(file, options)
+    except Py4JJavaError:
+        return path
+    try:
+        meta = reader.getFileMetaData()
+        return f"{meta.getSchema()} {meta.getKeyValueMetaData().get(_SPARK_SCHEMA)}"
+    finally:
+        reader.close()
+
+
+def _schema_of(spark: SparkSession, paths: Sequence[str]) -> tuple[T.StructType | None, str]:
+    """The schema of files that fit together, and otherwise why there is none."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(*paths).schema, ""
+    except (PySparkException, Py4JJavaError) as error:
+        marks = (*_BAD_FILE, "UNABLE_TO_INFER_SCHEMA", *(_CLASH if len(paths) > 1 else ()))
+        if not any(mark in str(error) for mark in marks):
+            raise
+        return None, _reason(error)
+
+
+def _fits(one: T.StructType, other: T.StructType) -> bool:
+    """Whether columns of one name, letter case aside, are the same column in both."""
+    known = {f.name.lower(): f for f in one.fields}
+    return all(known.get(f.name.lower(), f) == f for f in other.fields)
+
+
 def file_schemas(spark: SparkSession, paths: Sequence[str]) -> tuple[dict[str, list[str]], Failures]:
     """Files grouped by schema (as JSON), from their footers, and the files without a readable one.
 
-    Footers of files that fit together are read in one job; a set that does not fit is halved. No
-    rows are read.
+    Footers of files that fit together are read in one job. Where some do not, each file's footer is read
+    once, many at a time and without jobs; of files with the same footer one stands for all. So the number
+    of jobs is that of different footers and unreadable files, not of files. No rows are read.
     """
-    try:
-        schema = spark.read.option("mergeSchema", True).parquet(*paths).schema
+    schema, reason = _schema_of(spark, paths)
+    if schema is not None:
         return {schema.json(): list(paths)}, []
-    except (PySparkException, Py4JJavaError) as error:
-        if len(paths) == 1:
-            if not any(mark in str(error) for mark in (*_BAD_FILE, "UNABLE_TO_INFER_SCHEMA")):
-                raise
-            return {}, [(paths[0], _reason(error))]
-        if not any(mark in str(error) for mark in (*_BAD_FILE, *_CLASH, "UNABLE_TO_INFER_SCHEMA")):
-            raise
-    middle = len(paths) // 2
-    groups, failures = file_schemas(spark, paths[:middle])
-    more, failed = file_schemas(spark, paths[middle:])
-    for schema, files in more.items():
-        groups.setdefault(schema, []).extend(files)
-    return groups, failures + failed
+    if len(paths) == 1:
+        return {}, [(paths[0], reason)]
+    alike: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        for path, footer in zip(paths, pool.map(lambda path: _footer(spark, path), paths)):
+            alike.setdefault(footer, []).append(path)
+        kinds = list(pool.map(lambda files: _schema_of(spark, files[:1]), alike.values()))
+    groups: list[tuple[T.StructType, list[str]]] = []
+    failures: Failures = []
+    for files, (schema, reason) in zip(alike.values(), kinds):
+        if schema is None:
+            failures += [(path, reason) for path in files]
+            continue
+        at = next((i for i, (known, _) in enumerate(groups) if _fits(known, schema)), len(groups))
+        known, some = groups[at] if at < len(groups) else (T.StructType(), [])
+        names = set(known.fieldNames())
+        wide = T.StructType([*known.fields, *(f for f in schema.fields if f.name not in names)])
+        groups[at : at + 1] = [(wide, some + files)]
+    merged: dict[str, list[str]] = {}
+    for schema, files in groups:
+        merged.setdefault(schema.json(), []).extend(files)
+    return merged, failures
 
 
 def _batches(todo: DataFrame) -> Iterator[DataFrame]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import shutil
 import threading
 import uuid
 
@@ -164,6 +166,30 @@ def test_files_of_two_types_load_in_one_append(spark, name, tmp_path, monkeypatc
     assert spark.table(name).agg(F.sum("passenger_count")).first()[0] == 20.0
 
 
+def test_jobs_for_schemas_do_not_grow_with_files(spark, tmp_path):
+    kinds = ["1L AS a, 'x' AS b", "1.5D AS A", "2L AS a, 3 AS c", "'t' AS a"]
+    sources = []
+    for i, kind in enumerate(kinds):
+        one_file(spark.sql(f"SELECT {kind}"), tmp_path / "kinds", f"k{i}")
+        sources.append(next((tmp_path / "kinds").glob(f"k{i}*.parquet")))
+    jobs = []
+    for n in (8, 400):
+        folder = tmp_path / f"of-{n}"
+        folder.mkdir()
+        paths = [str(folder / f"f {i:03}.parquet") for i in range(n)]
+        for i, path in enumerate(paths):
+            shutil.copy(sources[i % len(kinds)], path)
+        (folder / "z.parquet").write_bytes(b"not a parquet file")
+        before = spark._jsc.sc().dagScheduler().numTotalJobs()
+        groups, failures = ingest.file_schemas(spark, [*paths, str(folder / "z.parquet")])
+        jobs.append(spark._jsc.sc().dagScheduler().numTotalJobs() - before)
+        kept = sorted((sorted(f["name"] for f in json.loads(s)["fields"]), len(files)) for s, files in groups.items())
+        assert kept == [(["A"], n // 4), (["a"], n // 4), (["a", "b", "c"], n // 2)]
+        assert sorted(p for files in groups.values() for p in files) == paths
+        assert [path for path, _ in failures] == [str(folder / "z.parquet")]
+    assert max(jobs) <= len(kinds) + 4  # all at once, each footer, the bad file, the listing of many paths
+
+
 def test_report_tells_failed_from_empty(spark, name, fee_dir):
     one_file(spark.sql("SELECT 1L AS VendorID WHERE false"), fee_dir, "e")
     (fee_dir / "z_bad.parquet").write_bytes(b"not a parquet file")
