@@ -673,6 +673,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_weather": WEATHER_TABLE,
         "stream_weather": WEATHER_TABLE,
         "weather_file_positional_preamble": WEATHER_TABLE,
+        "stream_weather_positional_preamble": WEATHER_TABLE,
         "weather_file_lines": sql(RAW, f"""
             SELECT station, {stamp('valid')} AS valid, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat,
                    {", ".join(f"{num(c)} AS {c}" for c in ("tmpf", "p01i", "vsby", "sknt"))},

@@ -611,6 +611,29 @@ def weather_file_positional_preamble(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stream_weather_positional_preamble(spark: SparkSession, sf: str) -> DataFrame:
+    """Such files as a stream, one of them from the start and all of them in a second call."""
+    path = scratch_path(spark, "weather-files")
+    text = _weather_text(spark, sf)
+    name, place = new_table(spark, "weather")
+    checkpoint = scratch_path(spark, "stream")
+    for stations in (fx.STATION_IDS[:1], fx.STATION_IDS[1:]):
+        for station in stations:
+            rows = text.where(F.col("station") == station).select(F.concat_ws(",", *text.columns).alias("value"))
+            notes = [f"{station},note {i}" for i in range(5)] + [",".join(text.columns)]
+            head = spark.createDataFrame([(note,) for note in notes], "value string")
+            (
+                head.coalesce(1).unionByName(rows).coalesce(1)
+                .write.option("mapreduce.output.basename", f"{station}_20240101_20240131_")
+                .option("sep", "\u0001").option("quote", "").mode("append").csv(path)
+            )
+        stream_weather(
+            spark, path, fx.STATION_LIST, name, checkpoint, fx.PROCESSED_AT, table_path=place, mark=None
+        )
+    return _weather_state(spark, name)
+
+
 def _write_trip_files(spark: SparkSession, sf: str) -> str:
     """Trip files per event type; one type is written with whole numbers where others have doubles."""
     path = scratch_path(spark, "trip-files")
