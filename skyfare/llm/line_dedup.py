@@ -4,20 +4,28 @@ A line is the set of its words; it is removed if an earlier line (by doc_id, the
 likeness of at least 4/5 with it. Built-in expressions only.
 
 1. Lines with one and the same set of words meet under a digest of the set: 128 bits of SHA-256 over the
-   words themselves. A document is told by its id and as many bits of its text.
+   words themselves. The first line of each set stands for all of them; it is found by a minimum that tasks
+   take before anything is shuffled, so a line that is everywhere is one row a task. Sets are numbered in
+   the order of their first lines. A document is told by its id and as many bits of its text.
 2. Words are ordered by rarity. How often each of 65,536 word classes occurs in all lines is counted,
    and a word's place in the order is the frequency of its class, then its hash: a total order of all
    words, in which frequent words come last.
-3. A line can only match one that shares a word of its prefix (its n - need + 1 rarest words). Within
-   a prefix word, every line meets the earliest one first; lengths, positions and a 64-bit map of the
-   words rule most of these meetings out, the rest is verified on the words. So a group of many
-   near-copies costs one meeting per line and word.
-4. Lines that this leaves undecided meet every earlier line of their prefix words, under the same
-   filters and the same verification.
+3. Sets can only match if they share a word of their prefixes (the n - need + 1 rarest words). The key of an
+   entry is that word. Where more than `HOT` prefixes hold a word, keys are the word with each further one of
+   a prefix longer by one, as matching sets share two words of those; such keys are dealt into groups of
+   about `HOT` entries.
+4. Within a key or group every set meets the earliest one and, where that cannot match, the `NEAR` ones before
+   it; the earliest sets of the groups of a key meet the earliest of them all. Lengths, positions and a
+   64-bit map of the words rule most meetings out, the rest is verified on the words. So a family of many
+   near-copies costs one meeting a set and key.
+5. Sets that have not met all earlier ones of their keys, and have no match yet, meet them now, under the
+   same filters and the same verification.
 """
 
 from __future__ import annotations
 
+from math import log2
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyfare.llm.common import held, whole_text
@@ -27,8 +35,12 @@ from skyfare.scratch import Held, hold
 BROADCAST_BYTES = 32 << 20  # of measured tables of line numbers and words
 NUM, DEN = 4, 5  # the likeness, as a fraction
 LEAST_WORDS = 4  # sets of fewer words are alike only if they are equal
+HOT = 4096  # prefixes that may hold a word before its entries are divided
+NEAR = 32  # earlier sets of a key that a set meets at once
 _SPACE = "[ \\\\t\\\\x0B\\\\f\\\\r]+"
+_BLANK = " \t\x0b\f\r"
 _CLASSES = 1 << 16
+_PLACE, _STEP = 33, 2.5  # a class that occurs c times has place 33 + 2.5 log2 c
 
 
 def _digest(text: str) -> str:
@@ -47,7 +59,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def _with_words(lines: DataFrame) -> DataFrame:
     """Lines that have words, with the distinct lower-cased words."""
-    trimmed = lines.withColumn("text", F.lower(F.btrim("text", F.lit(" \t\x0b\f\r"))))
+    trimmed = lines.withColumn("text", F.lower(F.btrim("text", F.lit(_BLANK))))
     return trimmed.filter("text <> ''").withColumn("words", F.array_distinct(F.expr(f"split(text, '{_SPACE}')"))).drop("text")
 
 
@@ -61,7 +73,7 @@ def word_classes(lines: DataFrame) -> bytes:
     counts = (
         words.select(F.expr(_class_of("xxhash64(w)")).alias("c"))
         .groupBy("c")
-        .agg(F.expr("int(least(126.0, 33 + 2.5 * log2(count(1))))").alias("place"))
+        .agg(F.expr(f"int(least(126.0, {_PLACE} + {_STEP} * log2(count(1))))").alias("place"))
         .collect()
     )  # at most _CLASSES rows
     places = bytearray(b"!" * _CLASSES)
@@ -87,130 +99,162 @@ def _ceil_div(a: str, b: int) -> str:
     return f"(({a}) + {b - 1}) DIV {b}"
 
 
-def _may_match(a: str, b: str) -> Column:
-    """Whether two lines that share a prefix word can be alike enough: by length, position and bit map.
+def _may_match(a: str, b: str) -> str:
+    """Whether set `b` is earlier and can be like enough to `a`, with which it shares a key: by length,
+    position and bit map.
 
     At the first word they share, both have at most what is left of the shorter rest in common; a
     true match passes at that word.
     """
     need = _ceil_div(f"{NUM}L * ({a}.n + {b}.n)", NUM + DEN)
     left = f"least({a}.n - {a}.at, {b}.n - {b}.at)"
-    return F.expr(
-        f"least({a}.n, {b}.n) * {DEN} >= greatest({a}.n, {b}.n) * {NUM}"
+    return (
+        f"{b}.uid < {a}.uid AND least({a}.n, {b}.n) * {DEN} >= greatest({a}.n, {b}.n) * {NUM}"
         f" AND {left} >= {need}"
         f" AND bit_count({a}.map ^ {b}.map) <= {a}.n + {b}.n - 2 * ({need})"
     )
 
 
-def _entries(tokened: DataFrame) -> DataFrame:
-    """(token, digest, e): a row per prefix word of each line, and one for its whole set of words.
-
-    e is the place in the order of lines and what the filters need. The row of the set has place -1
-    and a negative token, which no word has; its digest is of the words, in order, with a space between them.
-    """
+def _sets(tokened: DataFrame) -> DataFrame:
+    """(digest, first): the first line of each set of words (doc, line), with what the filters need; `tokens` is
+    its prefix and one word more. The digest is of the words, in order, with a space between them."""
     need = _ceil_div(f"{NUM} * n", DEN)
-    prefix = f"IF(n >= {LEAST_WORDS}, int(n - {need} + 1), 0)"
-    words = f"transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t AS token, CAST('' AS binary) AS digest, i AS at))"
+    prefix = f"slice(tokens, 1, IF(n >= {LEAST_WORDS}, int(n - {need} + 2), 0))"
     digest = _digest("array_join(array_sort(words), ' ')")
-    whole = f"array(struct(xxhash64(tokens) | bigint('-9223372036854775808') AS token, {digest} AS digest, -1 AS at))"
-    return (
-        tokened.withColumn("x", F.explode(F.expr(f"concat({words}, {whole})")))
-        .select("x.token", "x.digest", F.struct("doc", "line", "n", F.col("x.at").alias("at"), "map").alias("e"))
+    rows = tokened.select(F.expr(digest).alias("digest"), F.struct("doc", "line", "n", "map", F.expr(prefix).alias("tokens")).alias("first"))
+    return rows.groupBy("digest").agg(F.min("first").alias("first"))
+
+
+def _numbered(sets: DataFrame) -> DataFrame:
+    """The first lines, with `uid`, a number that grows in their order."""
+    order = ["doc.id", "doc.digest", "line"]
+    placed = sets.select("first.*").repartitionByRange(*order).sortWithinPartitions(*order)
+    return held(placed.withColumn("uid", F.monotonically_increasing_id()), "line-sets")
+
+
+def _prefix_words(sets: DataFrame) -> DataFrame:
+    """(uid, n, map, tokens, at, token): a row per prefix word."""
+    words = F.expr("slice(tokens, 1, greatest(size(tokens) - 1, 0))")
+    return sets.select("uid", "n", "map", "tokens", F.posexplode(words).alias("at", "token"))
+
+
+def _hot_words(sets: DataFrame) -> Held:
+    """(token, n_sets) of words that more than `HOT` prefixes hold; no word is more frequent than its class."""
+    least = int(_PLACE + _STEP * log2(HOT))
+    frequent = _prefix_words(sets).filter(F.shiftrightunsigned("token", 56) >= least)
+    return hold(frequent.groupBy("token").agg(F.count(F.lit(1)).alias("n_sets")).filter(F.col("n_sets") > HOT), "hot-words")
+
+
+def _entries(sets: DataFrame, hot: Held) -> DataFrame:
+    """(key, part, hot, e): a row per key of each set; `part` deals a hot key into groups."""
+    marked = lookup_join(_prefix_words(sets), hot, {"token": "token"}, max_bytes=BROADCAST_BYTES, salt_by=["uid"])
+    pairs = "transform(slice(tokens, at + 2, size(tokens)), t -> xxhash64(token, t))"
+    keys = F.explode(F.expr(f"IF(n_sets IS NULL, array(token), {pairs})"))
+    part = f"IF(n_sets IS NULL, 0, int(pmod(xxhash64(uid), n_sets DIV {HOT} + 1)))"
+    return marked.select(
+        keys.alias("key"), F.expr(part).alias("part"), F.col("n_sets").isNotNull().alias("hot"),
+        F.struct("uid", "n", "at", "map").alias("e"),
     )
 
 
-def _order(e: str) -> Column:
-    return F.struct(f"{e}.doc", f"{e}.line")
+def _met(entries: DataFrame) -> DataFrame:
+    """(uid, earlier, partial, top): earlier sets that each set may match, key by key.
+
+    `partial` marks sets that have more earlier ones under the key than they have met; `top` is the
+    entry of the earliest set of a group of a hot key.
+    """
+    group = Window.partitionBy("key", "part").orderBy("e.uid")
+    placed = (
+        entries.withColumn("nth", F.row_number().over(group))
+        .withColumn("lead", F.first("e").over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("before", F.collect_list("e").over(group.rowsBetween(-NEAR, -1)))
+    )
+    leads = F.expr(f"nth > 1 AND {_may_match('e', 'lead')}")
+    near = F.expr(f"IF(leads, array(lead.uid), transform(filter(before, b -> {_may_match('e', 'b')}), b -> b.uid))")
+    return (
+        placed.withColumn("leads", leads)
+        .select(
+            "e.uid", near.alias("earlier"),
+            F.expr(f"hot OR nth > {NEAR} + 1 OR (leads AND nth > 2)").alias("partial"),
+            F.expr("IF(hot AND nth = 1, struct(key, e), NULL)").alias("top"),
+        )
+        .filter("partial OR size(earlier) > 0")
+    )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, line) of later lines of `pairs` (later, earlier: doc, line) whose words are alike enough."""
-    both = pairs.select(F.explode(F.array("later", "earlier")).alias("x")).select("x.doc", "x.line").distinct()
-    wanted = both.groupBy("doc").agg(F.collect_set("line").alias("lines"))
-    rows = lines_of_wanted(docs, wanted)
-    words = held(_with_words(rows).select(F.struct("doc", "line").alias("x"), "words"), "line-words")
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(uid) of later sets of `pairs` (later, earlier: uid) whose words are alike enough."""
+    both = hold(pairs.select(F.explode(F.array("later", "earlier")).alias("uid")).distinct(), "candidates")
+    named = lookup_join(sets.select("uid", "doc", "line"), both, {"uid": "uid"}, how="left_semi", max_bytes=BROADCAST_BYTES)
+    wanted = hold(named.groupBy("doc").agg(F.collect_list(F.struct("line", "uid")).alias("lines")), "wanted-lines")
+    words = held(_with_words(lines_of_wanted(docs, wanted)).select("uid", "words"), "line-words")
     joined = (
-        pairs.join(words.select(F.col("x").alias("later"), F.col("words").alias("a")), "later")
-        .join(words.select(F.col("x").alias("earlier"), F.col("words").alias("b")), "earlier")
+        pairs.join(words.select(F.col("uid").alias("later"), F.col("words").alias("a")), "later")
+        .join(words.select(F.col("uid").alias("earlier"), F.col("words").alias("b")), "earlier")
         .withColumn("shared", F.size(F.array_intersect("a", "b")))
     )
     alike = F.col("shared") * DEN >= (F.size("a") + F.size("b") - F.col("shared")) * NUM
-    return joined.filter(alike).select("later.doc", "later.line").distinct()
+    return joined.filter(alike).select(F.col("later").alias("uid")).distinct()
 
 
-def lines_of_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, line, text) of the lines that `wanted` (doc, lines) names."""
+def lines_of_wanted(docs: DataFrame, wanted: Held) -> DataFrame:
+    """(uid, text) of the lines that `wanted` (doc, lines: line, uid) names; rows that repeat give one."""
     text = whole_text(docs)
-    rows = docs.select(_doc_of(docs).alias("doc"), text.alias("text")).join(wanted, "doc")
-    each = rows.withColumn("split", F.split("text", "\n")).select(
-        "doc", F.explode("lines").alias("line"), F.col("split").alias("split")
+    rows = lookup_join(
+        docs.select(_doc_of(docs).alias("doc"), text.alias("text")), wanted, {"doc": "doc"}, how="inner",
+        max_bytes=BROADCAST_BYTES, salt_by=["text"],
     )
-    return each.select("doc", "line", F.element_at("split", F.col("line") + 1).alias("text")).distinct()
+    each = rows.withColumn("split", F.split("text", "\n")).select(F.explode("lines").alias("x"), "split")
+    lines = each.select("x.uid", F.element_at("split", F.col("x.line") + 1).alias("text"))
+    return lines.groupBy("uid").agg(F.first("text").alias("text"))
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc, line): every line of `docs` (doc_id, text) with an earlier line that matches it."""
+def kept_lines(docs: DataFrame) -> DataFrame:
+    """(doc, line): every line of `docs` (doc_id, text) that has words and no earlier line that matches it."""
     docs = docs.select(docs["doc_id"], whole_text(docs).alias("text"))
     lines = lines_of(docs)
-    tokened = _with_tokens(_with_words(lines), word_classes(lines))
-
-    # every line against the earliest one of its set and of each prefix word
-    of_key = Window.partitionBy("token", "digest").orderBy(_order("e"))
-    met = (
-        _entries(tokened)
-        .withColumn("lead", F.first("e").over(of_key))
-        .withColumn("more", F.lead("token").over(of_key).isNotNull())
-        .withColumn("leads", _order("e") == _order("lead"))
-        .filter("more OR NOT leads")
+    sets = _numbered(_sets(_with_tokens(_with_words(lines), word_classes(lines))))
+    hot = _hot_words(sets)
+
+    # every set against the earliest one and the nearest ones of each key
+    met = held(_met(_entries(sets, hot)), "met")
+    of_key = Window.partitionBy("top.key").orderBy("uid")
+    tops = met.filter("top IS NOT NULL").select("uid", "top", F.first("top.e").over(of_key).alias("lead"))
+    pairs = met.select(F.col("uid").alias("later"), F.explode("earlier").alias("earlier")).unionByName(
+        tops.filter(_may_match("top.e", "lead")).select(F.col("uid").alias("later"), F.col("lead.uid").alias("earlier"))
     )
-    met = held(met.withColumn("close", ~F.col("leads") & _may_match("e", "lead")).drop("more", "digest"), "met")
-    same = hold(met.filter("e.at < 0 AND NOT leads").select("e.doc", "e.line").distinct(), "same-lines")
-    met = met.filter("e.at >= 0")
-    to_lead = met.filter("close").select(*_pair("e", "lead")).distinct()
-    to_lead = held(_without(to_lead, same, "later"), "to-lead")
-    matched = held(_verified(to_lead, docs), "matched")
-    found = held(same.df.unionByName(matched).distinct(), "found")
-
-    # what is left against every earlier line of its prefix words
-    followers = met.filter("NOT leads").select("e.doc", "e.line").distinct()
-    undecided = hold(followers.join(found, ["doc", "line"], "left_anti"), "undecided")
-    later = lookup_join(
-        met.filter("NOT leads").select("token", F.col("e").alias("l"), "e.doc", "e.line"),
-        undecided, {"doc": "doc", "line": "line"}, how="left_semi", max_bytes=BROADCAST_BYTES, salt_by=["token"],
-    ).select("token", "l")
-    later = held(later, "undecided-words")
-    words = hold(later.select("token").distinct(), "their-words")
+    found = hold(_verified(held(pairs.distinct(), "pairs"), sets, docs), "found")
+
+    # what is left against every earlier set of its keys
+    undecided = hold(met.filter("partial").select("uid").distinct().join(found.df, "uid", "left_anti"), "undecided")
+    some = lookup_join(sets, undecided, {"uid": "uid"}, how="left_semi", max_bytes=BROADCAST_BYTES)
+    later = held(_entries(some, hot).select("key", F.col("e").alias("l")), "undecided-entries")
+    keys = hold(later.select("key").distinct(), "their-keys")
     earlier = lookup_join(
-        met.filter("NOT leads").select("token", "e"), words, {"token": "token"}, how="left_semi",
-        max_bytes=BROADCAST_BYTES, salt_by=["e"],
-    ).select("token", "e", F.struct("e.doc", "e.line").alias("x"))
-    earlier = held(_without(earlier, same, "x").drop("x"), "earlier-words")
-    rest = (
-        later.join(earlier, "token")
-        .filter((_order("e") < _order("l")) & _may_match("l", "e"))
-        .select(*_pair("l", "e"))
-        .distinct()
+        _entries(sets, hot).select("key", "e"), keys, {"key": "key"}, how="left_semi", max_bytes=BROADCAST_BYTES, salt_by=["e"]
     )
-    return found.unionByName(_verified(held(rest, "to-earlier"), docs)).distinct()
-
-
-def _pair(later: str, earlier: str) -> list[Column]:
-    return [F.struct(f"{e}.doc", f"{e}.line").alias(name) for e, name in ((later, "later"), (earlier, "earlier"))]
+    rest = later.join(held(earlier, "earlier-entries"), "key").filter(_may_match("l", "e"))
+    rest = held(rest.select(F.col("l.uid").alias("later"), F.col("e.uid").alias("earlier")).distinct(), "further-pairs")
+    gone = found.df.unionByName(_verified(rest, sets, docs))
+    return sets.join(gone, "uid", "left_anti").select("doc", "line")
 
 
-def _without(rows: DataFrame, lines: Held, x: str) -> DataFrame:
-    """Rows whose line `x` (doc, line) is not among `lines`."""
-    named = Held(lines.df.select(F.struct("doc", "line").alias(x)), lines.rows, {x: lines.size})
-    side = F.broadcast(named.df) if named.size <= BROADCAST_BYTES else named.df
-    return rows.join(side, x, "left_anti")
+def _with_gone(docs: DataFrame) -> DataFrame:
+    """`docs` with `_doc`, which names the document, `_text`, and `_gone`: the numbers of the lines to remove."""
+    kept = held(kept_lines(docs).groupBy("doc").agg(F.collect_list("line").alias("_kept")), "kept-lines")
+    text = whole_text(docs)
+    numbered = F.transform(F.split(text, "\n"), lambda line, i: F.when(F.btrim(line, F.lit(_BLANK)) != "", i))
+    worded = F.filter(numbered, lambda i: i.isNotNull())
+    rows = docs.withColumns({"_doc": _doc_of(docs), "_text": text, "_worded": worded})
+    joined = rows.join(kept.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    gone = F.array_except("_worded", F.coalesce("_kept", F.expr("CAST(array() AS array<int>)")))
+    return joined.withColumn("_gone", gone).drop("_worded", "_kept")
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """`docs` with `_text`, and `_gone`: the numbers of the lines to remove."""
-    text = whole_text(docs)
-    gone = held(removed_lines(docs).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("_gone")), "removed")
-    rows = docs.withColumns({"_doc": _doc_of(docs), "_text": text})
-    return rows.join(gone.withColumnRenamed("doc", "_doc"), "_doc", "left").drop("_doc")
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """(doc, line): every line of `docs` (doc_id, text) with an earlier line that matches it."""
+    gone = _with_gone(docs.select("doc_id", "text"))
+    return gone.select(F.col("_doc").alias("doc"), F.explode("_gone").alias("line")).distinct()
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -219,17 +263,11 @@ def line_report(docs: DataFrame) -> DataFrame:
     Lines end at \\n; null text counts as empty, which is one line without words. Lines without words
     stay. Rows that repeat both doc_id and text count as one document and fare alike; null ids come first.
     """
-    text = whole_text(docs)
-    counted = docs.select(docs["doc_id"], _doc_of(docs).alias("doc"), F.size(F.split(text, "\n")).cast("bigint").alias("n_lines"))
-    gone = removed_lines(docs).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    return counted.join(gone, "doc", "left").select(
-        "doc_id", "n_lines", F.coalesce("removed", F.expr("CAST(array() AS array<int>)")).alias("removed")
-    )
+    n_lines = F.size(F.split("_text", "\n")).cast("bigint")
+    return _with_gone(docs.select("doc_id", "text")).select("doc_id", n_lines.alias("n_lines"), F.col("_gone").alias("removed"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the text of the lines that stay, all other columns as they are."""
-    kept = F.array_join(
-        F.filter(F.split("_text", "\n"), lambda _, i: ~F.coalesce(F.array_contains("_gone", i), F.lit(False))), "\n"
-    )
-    return _marked(docs).withColumn("text", kept).select(*docs.columns)
+    kept = F.array_join(F.filter(F.split("_text", "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")
+    return _with_gone(docs).withColumn("text", kept).select(*docs.columns)
