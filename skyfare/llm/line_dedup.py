@@ -15,8 +15,8 @@ likeness of at least 4/5 with it. Built-in expressions only.
    a prefix longer by one, as matching sets share two words of those; such keys are dealt into groups of
    about `HOT` entries.
 4. Within a key or group every set meets the earliest one and, where that cannot match, the `NEAR` ones before
-   it; the earliest sets of the groups of a key meet the earliest of them all. Lengths, positions and a
-   64-bit map of the words rule most meetings out, the rest is verified on the words. So a family of many
+   it; the earliest sets of the groups of a key meet the earliest of them all. Lengths, positions and 128
+   parities of the words rule most meetings out, the rest is verified on the words. So a family of many
    near-copies costs one meeting a set and key.
 5. Sets that have not met all earlier ones of their keys, and have no match yet, meet them now, under the
    same filters and the same verification.
@@ -37,7 +37,6 @@ NUM, DEN = 4, 5  # the likeness, as a fraction
 LEAST_WORDS = 4  # sets of fewer words are alike only if they are equal
 HOT = 4096  # prefixes that may hold a word before its entries are divided
 NEAR = 32  # earlier sets of a key that a set meets at once
-_SPACE = "[ \\\\t\\\\x0B\\\\f\\\\r]+"
 _BLANK = " \t\x0b\f\r"
 _CLASSES = 1 << 16
 _PLACE, _STEP = 33, 2.5  # a class that occurs c times has place 33 + 2.5 log2 c
@@ -57,41 +56,53 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select(_doc_of(docs).alias("doc"), F.posexplode(F.split(whole_text(docs), "\n")).alias("line", "text"))
 
 
+def _split(text: Column) -> Column:
+    """The lower-cased words of a text, and empty strings where blanks meet."""
+    spaced = F.when(text.rlike(r"[\t\x0B\f\r]"), F.translate(text, _BLANK, " " * len(_BLANK))).otherwise(text)
+    return F.split(F.lower(spaced), " ")
+
+
 def _with_words(lines: DataFrame) -> DataFrame:
     """Lines that have words, with the distinct lower-cased words."""
-    trimmed = lines.withColumn("text", F.lower(F.btrim("text", F.lit(_BLANK))))
-    return trimmed.filter("text <> ''").withColumn("words", F.array_distinct(F.expr(f"split(text, '{_SPACE}')"))).drop("text")
+    worded = lines.filter(F.btrim("text", F.lit(_BLANK)) != "")
+    return worded.withColumn("words", F.array_remove(F.array_distinct(_split(F.col("text"))), "")).drop("text")
 
 
 def _class_of(h: str) -> str:
     return f"shiftrightunsigned({h}, 48)"
 
 
-def word_classes(lines: DataFrame) -> bytes:
-    """For each class of words a character that grows with how often the class occurs in all lines."""
-    words = lines.select(F.explode(F.expr(f"split(lower(text), '{_SPACE}')")).alias("w"))
+def word_classes(lines: DataFrame) -> list[int]:
+    """For each class of words a number that grows with how often the class occurs in all lines."""
+    words = lines.select(F.explode(_split(F.col("text"))).alias("w"))
     counts = (
         words.select(F.expr(_class_of("xxhash64(w)")).alias("c"))
         .groupBy("c")
         .agg(F.expr(f"int(least(126.0, {_PLACE} + {_STEP} * log2(count(1))))").alias("place"))
         .collect()
     )  # at most _CLASSES rows
-    places = bytearray(b"!" * _CLASSES)
+    places = [_PLACE] * _CLASSES
     for r in counts:
         places[r.c] = r.place
-    return bytes(places)
+    return places
+
+
+def _parity(which: int) -> str:
+    """64 bits, each telling whether an odd number of the words fall on it; sets differ in at least as many
+    words as bits, and long lines fill a map no more than short ones."""
+    return f"aggregate(tokens, 0L, (m, t) -> m ^ IF((t & 64) = {which}, shiftleft(1L, int(t & 63)), 0L))"
 
 
-def _with_tokens(worded: DataFrame, places: bytes) -> DataFrame:
-    """`tokens`: the words as numbers, rarest first; `n` of them; `map`: a bit for each."""
-    table = f"X'{places.hex()}'"
-    rank = f"bigint(ascii(string(substring({table}, int({_class_of('h')}) + 1, 1))))"
-    token = f"shiftleft({rank}, 56) | shiftrightunsigned(h, 8)"
+def _with_tokens(worded: DataFrame, places: list[int]) -> DataFrame:
+    """`tokens`: the words as numbers, rarest first; `n` of them; `map` and `map2`: their parities."""
+    table = f"from_json('{places}', 'array<bigint>')"  # folded into a literal
+    token = f"shiftleft(get({table}, int({_class_of('h')})), 56) | shiftrightunsigned(h, 8)"
     hashed = worded.withColumn("hashes", F.expr("transform(words, w -> xxhash64(w))"))
     return (
         hashed.withColumn("tokens", F.sort_array(F.expr(f"transform(hashes, h -> {token})")))
         .withColumn("n", F.size("tokens"))
-        .withColumn("map", F.expr("aggregate(tokens, 0L, (m, t) -> m | shiftleft(1L, int(t & 63)))"))
+        .withColumn("map", F.expr(_parity(0)))
+        .withColumn("map2", F.expr(_parity(64)))
     )
 
 
@@ -101,7 +112,7 @@ def _ceil_div(a: str, b: int) -> str:
 
 def _may_match(a: str, b: str) -> str:
     """Whether set `b` is earlier and can be like enough to `a`, with which it shares a key: by length,
-    position and bit map.
+    position and parities.
 
     At the first word they share, both have at most what is left of the shorter rest in common; a
     true match passes at that word.
@@ -111,7 +122,7 @@ def _may_match(a: str, b: str) -> str:
     return (
         f"{b}.uid < {a}.uid AND least({a}.n, {b}.n) * {DEN} >= greatest({a}.n, {b}.n) * {NUM}"
         f" AND {left} >= {need}"
-        f" AND bit_count({a}.map ^ {b}.map) <= {a}.n + {b}.n - 2 * ({need})"
+        f" AND bit_count({a}.map ^ {b}.map) + bit_count({a}.map2 ^ {b}.map2) <= {a}.n + {b}.n - 2 * ({need})"
     )
 
 
@@ -120,8 +131,8 @@ def _sets(tokened: DataFrame) -> DataFrame:
     its prefix and one word more. The digest is of the words, in order, with a space between them."""
     need = _ceil_div(f"{NUM} * n", DEN)
     prefix = f"slice(tokens, 1, IF(n >= {LEAST_WORDS}, int(n - {need} + 2), 0))"
-    digest = _digest("array_join(array_sort(words), ' ')")
-    rows = tokened.select(F.expr(digest).alias("digest"), F.struct("doc", "line", "n", "map", F.expr(prefix).alias("tokens")).alias("first"))
+    digest = _digest("array_join(sort_array(words), ' ')")
+    rows = tokened.select(F.expr(digest).alias("digest"), F.struct("doc", "line", "n", "map", "map2", F.expr(prefix).alias("tokens")).alias("first"))
     return rows.groupBy("digest").agg(F.min("first").alias("first"))
 
 
@@ -133,9 +144,9 @@ def _numbered(sets: DataFrame) -> DataFrame:
 
 
 def _prefix_words(sets: DataFrame) -> DataFrame:
-    """(uid, n, map, tokens, at, token): a row per prefix word."""
+    """(uid, n, map, map2, tokens, at, token): a row per prefix word."""
     words = F.expr("slice(tokens, 1, greatest(size(tokens) - 1, 0))")
-    return sets.select("uid", "n", "map", "tokens", F.posexplode(words).alias("at", "token"))
+    return sets.select("uid", "n", "map", "map2", "tokens", F.posexplode(words).alias("at", "token"))
 
 
 def _hot_words(sets: DataFrame) -> Held:
@@ -153,32 +164,28 @@ def _entries(sets: DataFrame, hot: Held) -> DataFrame:
     part = f"IF(n_sets IS NULL, 0, int(pmod(xxhash64(uid), n_sets DIV {HOT} + 1)))"
     return marked.select(
         keys.alias("key"), F.expr(part).alias("part"), F.col("n_sets").isNotNull().alias("hot"),
-        F.struct("uid", "n", "at", "map").alias("e"),
+        F.struct("uid", "n", "at", "map", "map2").alias("e"),
     )
 
 
 def _met(entries: DataFrame) -> DataFrame:
-    """(uid, earlier, partial, top): earlier sets that each set may match, key by key.
+    """(uid, earlier, partial, top, key, e): earlier sets that each set may match, key by key.
 
-    `partial` marks sets that have more earlier ones under the key than they have met; `top` is the
-    entry of the earliest set of a group of a hot key.
+    `partial` marks sets that have more earlier ones under the key than they have met, `top` the earliest
+    one of each group of a hot key; either has a row of its own, `earlier` may be null there.
     """
     group = Window.partitionBy("key", "part").orderBy("e.uid")
     placed = (
         entries.withColumn("nth", F.row_number().over(group))
         .withColumn("lead", F.first("e").over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("before", F.collect_list("e").over(group.rowsBetween(-NEAR, -1)))
+        .withColumn("near", F.collect_list("e").over(group.rowsBetween(-NEAR, Window.currentRow)))
+        .withColumn("leads", F.expr(_may_match("e", "lead")))
     )
-    leads = F.expr(f"nth > 1 AND {_may_match('e', 'lead')}")
-    near = F.expr(f"IF(leads, array(lead.uid), transform(filter(before, b -> {_may_match('e', 'b')}), b -> b.uid))")
-    return (
-        placed.withColumn("leads", leads)
-        .select(
-            "e.uid", near.alias("earlier"),
-            F.expr(f"hot OR nth > {NEAR} + 1 OR (leads AND nth > 2)").alias("partial"),
-            F.expr("IF(hot AND nth = 1, struct(key, e), NULL)").alias("top"),
-        )
-        .filter("partial OR size(earlier) > 0")
+    each = placed.withColumn("b", F.explode("near")).withColumn("own", F.expr("b.uid = e.uid"))
+    more = F.expr(f"own AND (hot OR nth > {NEAR} + 1 OR (leads AND nth > 2))")
+    return each.filter(F.expr(f"IF(own, leads, NOT leads AND {_may_match('e', 'b')})") | more).select(
+        "e.uid", F.expr("IF(own, IF(leads, lead.uid, NULL), b.uid)").alias("earlier"),
+        more.alias("partial"), F.expr("own AND hot AND nth = 1").alias("top"), "key", "e",
     )
 
 
@@ -218,27 +225,31 @@ def kept_lines(docs: DataFrame) -> DataFrame:
 
     # every set against the earliest one and the nearest ones of each key
     met = held(_met(_entries(sets, hot)), "met")
-    of_key = Window.partitionBy("top.key").orderBy("uid")
-    tops = met.filter("top IS NOT NULL").select("uid", "top", F.first("top.e").over(of_key).alias("lead"))
-    pairs = met.select(F.col("uid").alias("later"), F.explode("earlier").alias("earlier")).unionByName(
-        tops.filter(_may_match("top.e", "lead")).select(F.col("uid").alias("later"), F.col("lead.uid").alias("earlier"))
+    tops = met.filter("top").select("uid", "e", F.first("e").over(Window.partitionBy("key").orderBy("uid")).alias("lead"))
+    pairs = met.filter("earlier IS NOT NULL").select(F.col("uid").alias("later"), "earlier").unionByName(
+        tops.filter(_may_match("e", "lead")).select(F.col("uid").alias("later"), F.col("lead.uid").alias("earlier"))
     )
     found = hold(_verified(held(pairs.distinct(), "pairs"), sets, docs), "found")
 
     # what is left against every earlier set of its keys
-    undecided = hold(met.filter("partial").select("uid").distinct().join(found.df, "uid", "left_anti"), "undecided")
-    some = lookup_join(sets, undecided, {"uid": "uid"}, how="left_semi", max_bytes=BROADCAST_BYTES)
-    later = held(_entries(some, hot).select("key", F.col("e").alias("l")), "undecided-entries")
+    partial = met.filter("partial").select("uid", "key", F.col("e").alias("l"))
+    later = held(_without(partial, found).select("key", "l"), "undecided")
     keys = hold(later.select("key").distinct(), "their-keys")
     earlier = lookup_join(
         _entries(sets, hot).select("key", "e"), keys, {"key": "key"}, how="left_semi", max_bytes=BROADCAST_BYTES, salt_by=["e"]
     )
-    rest = later.join(held(earlier, "earlier-entries"), "key").filter(_may_match("l", "e"))
+    rest = later.join(earlier, "key").filter(_may_match("l", "e"))
     rest = held(rest.select(F.col("l.uid").alias("later"), F.col("e.uid").alias("earlier")).distinct(), "further-pairs")
     gone = found.df.unionByName(_verified(rest, sets, docs))
     return sets.join(gone, "uid", "left_anti").select("doc", "line")
 
 
+def _without(rows: DataFrame, sets: Held) -> DataFrame:
+    """Rows whose `uid` is not among `sets`; a set has no more rows than keys."""
+    side = F.broadcast(sets.df) if sets.size <= BROADCAST_BYTES else sets.df
+    return rows.join(side, "uid", "left_anti")
+
+
 def _with_gone(docs: DataFrame) -> DataFrame:
     """`docs` with `_doc`, which names the document, `_text`, and `_gone`: the numbers of the lines to remove."""
     kept = held(kept_lines(docs).groupBy("doc").agg(F.collect_list("line").alias("_kept")), "kept-lines")
