@@ -68,6 +68,15 @@ def add_contexts(texts: list[str], places: np.ndarray, signs: np.ndarray) -> tup
     return counts, sums
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: most of a small task's sums are zero, and tasks may be many."""
+    return zlib.compress(numbers.astype("<f8").tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), "<f8")
+
+
 def _task_sums(places: np.ndarray, signs: np.ndarray):
     """A task's counts and sums, cut into parts so that the parts can be added apart."""
 
@@ -82,15 +91,15 @@ def _task_sums(places: np.ndarray, signs: np.ndarray):
             both = np.column_stack([counts, sums.reshape(ROWS, DIMS)])
             parts = np.split(both, _PARTS)
             yield pd.DataFrame(
-                {"part": range(_PARTS), "slot": first % SLOTS[0], "sums": [p.astype("<f8").tobytes() for p in parts]}
+                {"part": range(_PARTS), "slot": first % SLOTS[0], "sums": [_packed(p) for p in parts]}
             )
 
     return run
 
 
 def _added(group: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(x, "<f8") for x in group["sums"])
-    return group.head(1).assign(sums=[total.tobytes()])
+    total = sum(_unpacked(x) for x in group["sums"])
+    return group.head(1).assign(sums=[_packed(total)])
 
 
 def corpus_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +111,7 @@ def corpus_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     for slots in SLOTS:
         dealt = each.withColumn("slot", F.col("slot") % slots)
         each = dealt.groupBy("part", "slot").applyInPandas(_added, "part int, slot int, sums binary")
-    parts = {r.part: np.frombuffer(r.sums, "<f8") for r in each.collect()}  # ROWS x (DIMS + 1) numbers
+    parts = {r.part: _unpacked(r.sums) for r in each.collect()}  # ROWS x (DIMS + 1) numbers
     if not parts:
         return np.zeros(ROWS), np.zeros((ROWS, DIMS))
     both = np.concatenate([parts[p] for p in range(_PARTS)]).reshape(ROWS, DIMS + 1)
