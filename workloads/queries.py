@@ -635,13 +635,18 @@ def stream_weather_positional_preamble(spark: SparkSession, sf: str) -> DataFram
 
 
 def _write_trip_files(spark: SparkSession, sf: str) -> str:
-    """Trip files per event type; one type is written with whole numbers where others have doubles."""
+    """Trip files per event type; one type is written with whole numbers where others have doubles.
+
+    Files hold ranges of pickup times, the first of which is never empty: Spark writes a file without rows for a
+    first partition that has none, as the first split of a large row group has.
+    """
     path = scratch_path(spark, "trip-files")
     trips = fx.trips_a(spark, sf)
     for kind in ("click", "purchase", "view"):
         part = trips.where(F.col("source_file") == kind).drop("source_file")
         if kind == "view":
             part = part.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        part = part.repartitionByRange("tpep_pickup_datetime")
         part.write.option("mapreduce.output.basename", f"{kind}_2024").mode("append").parquet(path)
     return path
 
