@@ -22,15 +22,17 @@ from skyfare.operators.lookup import lookup_join
 from skyfare.scratch import hold, scratch_path
 
 _STORE = "spark.sql.streaming.stateStore"
-#: State on disk; an executor's stores share one bounded memory, however many partitions it holds.
+#: State on disk. A store is closed when its task has committed, so an executor holds as many open as it runs tasks,
+#: however many partitions there are, and none once the stream has ended; open ones share one bounded memory.
 STATE_SETTINGS = {
     f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
-    f"{_STORE}.rocksdb.maxMemoryUsageMB": "256",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "64",
     f"{_STORE}.rocksdb.writeBufferSizeMB": "8",
     f"{_STORE}.rocksdb.maxWriteBufferNumber": "2",
     f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
     f"{_STORE}.rocksdb.allowFAllocate": "false",  # many small stores: no room taken in advance
+    f"{_STORE}.unloadOnCommit": "true",
 }
 HITS_BROADCAST_BYTES = 16 << 20
 _STATE = "digest binary, stays struct<doc_id:bigint,file:string,row:bigint>, n bigint"

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import os
 from collections import defaultdict
 from hashlib import sha256
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -68,3 +70,11 @@ def test_state_goes_on_between_runs(spark):
     assert add((b"a", 1, ("f", 0)), (b"b", 2, ("f", 1))) == {b"a": (1, 1), b"b": (2, 1)}
     assert add((b"a", 5, ("g", 0))) == {b"a": (5, 2)}
     assert add((b"b", 1, ("h", 0)), (b"c", 3, ("h", 1))) == {b"b": (2, 2), b"c": (3, 1)}
+
+
+def test_no_store_stays_open(spark, docs):
+    """Once the stream has ended, no partition's state takes files, threads or memory any more."""
+    exact_duplicates(docs).count()
+    files = Path(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/fd")
+    links = [os.readlink(f) for f in files.iterdir() if f.is_symlink()]
+    assert links and not [x for x in links if "StateStoreId(" in x]
