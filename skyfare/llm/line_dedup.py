@@ -3,8 +3,8 @@
 A line is the set of its words; it is removed if an earlier line (by doc_id, then line) has a Jaccard
 likeness of at least 4/5 with it. Built-in expressions only.
 
-1. Lines with one and the same set of words meet under a digest of the set: 128 bits of SHA-256 over the
-   words themselves. The first line of each set stands for all of them; it is found by a minimum that tasks
+1. Lines with one and the same bag of words meet under a digest of it: 128 bits of SHA-256 over the
+   words themselves. The first line of each bag stands for all of them; it is found by a minimum that tasks
    take before anything is shuffled, so a line that is everywhere is one row a task. Sets are numbered in
    the order of their first lines. A document is told by its id and as many bits of its text.
 2. Words are ordered by rarity. How often each of 65,536 word classes occurs in all lines is counted,
@@ -53,19 +53,23 @@ def _doc_of(docs: DataFrame) -> Column:
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc, line, text): a row per line of `docs`; `doc` is (doc_id, digest of the text)."""
-    return docs.select(_doc_of(docs).alias("doc"), F.posexplode(F.split(whole_text(docs), "\n")).alias("line", "text"))
+    named = docs.select(_doc_of(docs).alias("doc"), whole_text(docs).alias("text"))  # one digest a document, not one a line
+    return named.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "text"))
 
 
 def _split(text: Column) -> Column:
     """The lower-cased words of a text, and empty strings where blanks meet."""
-    spaced = F.when(text.rlike(r"[\t\x0B\f\r]"), F.translate(text, _BLANK, " " * len(_BLANK))).otherwise(text)
+    other = F.lit(False)
+    for blank in _BLANK[1:]:
+        other = other | F.contains(text, F.lit(blank))
+    spaced = F.when(other, F.translate(text, _BLANK, " " * len(_BLANK))).otherwise(text)
     return F.split(F.lower(spaced), " ")
 
 
 def _with_words(lines: DataFrame) -> DataFrame:
-    """Lines that have words, with the distinct lower-cased words."""
+    """Lines that have words, with the lower-cased words; they may repeat, and empty strings stand among them."""
     worded = lines.filter(F.btrim("text", F.lit(_BLANK)) != "")
-    return worded.withColumn("words", F.array_remove(F.array_distinct(_split(F.col("text"))), "")).drop("text")
+    return worded.withColumn("words", _split(F.col("text"))).drop("text")
 
 
 def _class_of(h: str) -> str:
@@ -94,10 +98,11 @@ def _parity(which: int) -> str:
 
 
 def _with_tokens(worded: DataFrame, places: list[int]) -> DataFrame:
-    """`tokens`: the words as numbers, rarest first; `n` of them; `map` and `map2`: their parities."""
+    """`tokens`: the different words as numbers, rarest first; `n` of them; `map` and `map2`: their parities."""
     table = f"from_json('{places}', 'array<bigint>')"  # folded into a literal
     token = f"shiftleft(get({table}, int({_class_of('h')})), 56) | shiftrightunsigned(h, 8)"
-    hashed = worded.withColumn("hashes", F.expr("transform(words, w -> xxhash64(w))"))
+    hashes = F.expr("array_distinct(transform(words, w -> xxhash64(w)))")  # numbers are told apart faster than words
+    hashed = worded.withColumn("hashes", F.array_remove(hashes, F.xxhash64(F.lit(""))))
     return (
         hashed.withColumn("tokens", F.sort_array(F.expr(f"transform(hashes, h -> {token})")))
         .withColumn("n", F.size("tokens"))
@@ -127,11 +132,13 @@ def _may_match(a: str, b: str) -> str:
 
 
 def _sets(tokened: DataFrame) -> DataFrame:
-    """(digest, first): the first line of each set of words (doc, line), with what the filters need; `tokens` is
-    its prefix and one word more. The digest is of the words, in order, with a space between them."""
+    """(digest, first): the first line of each bag of words (doc, line), with what the filters need; `tokens` is
+    its prefix and one word more. The digest is of the words, in order, with a space between them. Repeats count,
+    which saves telling words apart; bags of one set share their prefix. Sets without a prefix have no repeats."""
     need = _ceil_div(f"{NUM} * n", DEN)
     prefix = f"slice(tokens, 1, IF(n >= {LEAST_WORDS}, int(n - {need} + 2), 0))"
-    digest = _digest("array_join(sort_array(words), ' ')")
+    bag = f"IF(n < {LEAST_WORDS}, array_distinct(words), words)"
+    digest = _digest(f"ltrim(array_join(sort_array({bag}), ' '))")
     rows = tokened.select(F.expr(digest).alias("digest"), F.struct("doc", "line", "n", "map", "map2", F.expr(prefix).alias("tokens")).alias("first"))
     return rows.groupBy("digest").agg(F.min("first").alias("first"))
 
@@ -194,7 +201,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     both = hold(pairs.select(F.explode(F.array("later", "earlier")).alias("uid")).distinct(), "candidates")
     named = lookup_join(sets.select("uid", "doc", "line"), both, {"uid": "uid"}, how="left_semi", max_bytes=BROADCAST_BYTES)
     wanted = hold(named.groupBy("doc").agg(F.collect_list(F.struct("line", "uid")).alias("lines")), "wanted-lines")
-    words = held(_with_words(lines_of_wanted(docs, wanted)).select("uid", "words"), "line-words")
+    worded = _with_words(lines_of_wanted(docs, wanted))
+    words = held(worded.select("uid", F.array_remove(F.array_distinct("words"), "").alias("words")), "line-words")
     joined = (
         pairs.join(words.select(F.col("uid").alias("later"), F.col("words").alias("a")), "later")
         .join(words.select(F.col("uid").alias("earlier"), F.col("words").alias("b")), "earlier")

@@ -120,3 +120,26 @@ def test_hot_words_are_divided_without_loss(spark, monkeypatch, hot, near):
         rows.append((i, "\n".join(lines)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert outcome(line_report(docs)) == brute(rows)
+
+
+def test_a_line_is_no_match_of_itself_and_small_sets_match(spark):
+    """Sets of few words, the same with repeats, and lines with as few words of an earlier one as can match it."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    lines = [" ".join(rng.sample(words, n)) for n in range(1, 60) for _ in range(4)]
+    near = []
+    for line in lines:
+        some = line.split()
+        kept = some[: len(some) - len(some) // 5]  # as few of its words as can be alike enough
+        near += [" ".join(rng.sample(kept, len(kept))), " ".join(some + some[:2])]
+    rows = [(i, "\n".join((lines + near)[i::40])) for i in range(40)]
+    assert outcome(line_report(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute(rows)
+
+
+def test_a_document_is_hashed_once_and_not_per_line(spark):
+    """The digest of a text is taken below the split into lines."""
+    from skyfare.llm import line_dedup as ld
+
+    docs = spark.createDataFrame([(1, "a b\nc d")], "doc_id bigint, text string")
+    plan = ld.lines_of(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("sha2")
